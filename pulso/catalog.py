@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.matching import match_labels, unmatched
 from .plans import kpis
+from .plans.question_matrix import question_matrix
 from .sources import fixtures as fx
+from .sources.dims import question_dim
 
 # Fixed parameters of the ID-filter queries: literal ids (with padding to
 # exercise trimming, plus one that matches nothing).
@@ -81,6 +84,70 @@ def q_survey_kpis_by_id(spark, sf_dir):
                             universe=_universe(spark, sf_dir), ids=ID_FILTER_IDS)
 
 
+def q_question_matrix(spark, sf_dir):
+    return question_matrix(fx.answers(spark, sf_dir), fx.respondents(spark, sf_dir), fx.FIXTURE_QUESTIONS)
+
+
+def _perturbed_labels(spark, sf_dir):
+    """One wanted label per part row: a question label kept, with a dropped
+    character, upper-cased with punctuation, or replaced by the part name."""
+    labels = F.array(*[F.lit(q.label) for q in fx.FIXTURE_QUESTIONS])
+    p = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    k = F.col("p_partkey")
+    lab = F.element_at(labels, (k % len(fx.FIXTURE_QUESTIONS) + 1).cast("int"))
+    pos = (k % 20 + 1).cast("int")
+    kind = (F.floor(k / len(fx.FIXTURE_QUESTIONS)) % 4).cast("int")
+    wanted = (F.when(kind == 0, lab)
+              .when(kind == 1, F.concat(F.substring(lab, 1, pos - 1), F.expr("substring(__lab, __pos + 1)")))
+              .when(kind == 2, F.concat(F.lit("¡"), F.upper(lab), F.lit("!")))
+              .otherwise(F.col("p_name")))
+    return (p.withColumn("__lab", lab).withColumn("__pos", pos)
+            .select("p_partkey", wanted.alias("wanted")))
+
+
+def q_label_match(spark, sf_dir):
+    qdim = question_dim(spark, fx.FIXTURE_QUESTIONS)
+    m = match_labels(_perturbed_labels(spark, sf_dir), "wanted", qdim, "label", "question_id", "ord",
+                     threshold=0.75, metric="levenshtein")
+    return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
+
+
+def q_label_match_ratcliff(spark, sf_dir):
+    qdim = question_dim(spark, fx.FIXTURE_QUESTIONS)
+    m = match_labels(_perturbed_labels(spark, sf_dir), "wanted", qdim, "label", "question_id", "ord",
+                     threshold=0.75, metric="ratcliff")
+    return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
+
+
+def q_label_unmatched(spark, sf_dir):
+    qdim = question_dim(spark, fx.FIXTURE_QUESTIONS)
+    m = match_labels(_perturbed_labels(spark, sf_dir), "wanted", qdim, "label", "question_id", "ord",
+                     threshold=0.75, metric="levenshtein")
+    return unmatched(m).select("p_partkey", "wanted")
+
+
+def _wanted_names(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    n = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # nation has a fixed 25 rows: broadcast is size-bounded.
+    j = p.join(F.broadcast(n), (p.p_partkey % 25) == n.n_nationkey)
+    k = F.col("p_partkey")
+    kind = (F.floor(k / 25) % 4).cast("int")
+    pos = (k % 5 + 1).cast("int")
+    wanted = (F.when(kind == 0, F.lower(F.col("n_name")))
+              .when(kind == 1, F.substring(F.col("n_name"), 1, 4))
+              .when(kind == 2, F.concat(F.substring(F.col("n_name"), 1, pos - 1), F.expr("substring(n_name, __pos + 1)")))
+              .otherwise(F.col("p_name")))
+    return j.withColumn("__pos", pos).select("p_partkey", wanted.alias("wanted"))
+
+
+def q_name_resolve(spark, sf_dir):
+    nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    m = match_labels(_wanted_names(spark, sf_dir), "wanted", nation, "n_name", "n_name", "n_nationkey",
+                     threshold=0.6, metric="levenshtein", mode="name")
+    return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -93,4 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climate_index": q_climate_index,
     "survey_kpis": q_survey_kpis,
     "survey_kpis_by_id": q_survey_kpis_by_id,
+    "question_matrix": q_question_matrix,
+    "label_match": q_label_match,
+    "label_match_ratcliff": q_label_match_ratcliff,
+    "label_unmatched": q_label_unmatched,
+    "name_resolve": q_name_resolve,
 }

@@ -173,6 +173,89 @@ FROM seg"""
         "\nSELECT COALESCE(round_even(avg(NULLIF(axis_score, 0.0)), 1), 0.0) AS climate_index FROM ax"
     q["survey_kpis"] = _kpis_sql(False)
     q["survey_kpis_by_id"] = _kpis_sql(True)
+    q.update(_matrix_and_matching())
+    return q
+
+
+def loose(x: str) -> str:
+    return f"regexp_replace({norm(x)}, '[^\\p{{L}}\\p{{N}} ]', '', 'g')"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _matrix_and_matching() -> dict[str, str]:
+    q = {}
+    coh = "CASE " + " ".join(f"WHEN {loose('r.cohort_raw')} IN {vs} THEN '{k}'" for k, vs in COHORTS) + " END"
+    cls = (f"CASE WHEN {loose('r.nps_raw')} IN {PROM} THEN 'promoter' WHEN {loose('r.nps_raw')} IN {PAS} THEN 'passive' "
+           f"WHEN {loose('r.nps_raw')} IN {DET} THEN 'detractor' END")
+    segs = [("general", "TRUE"), ("boomers", "cohort = 'baby boomers'"), ("generacion_x", "cohort = 'generacion x'"),
+            ("milenialls", "cohort = 'milenialls'"), ("centenialls", "cohort = 'centenialls'"),
+            ("entusiastas", "nps_class = 'promoter'"), ("pasivos", "nps_class = 'passive'"),
+            ("detractores", "nps_class = 'detractor'")]
+    cols = ", ".join(f"COALESCE({conv10(f'avg(s) FILTER (WHERE {c})')}, 0.0) AS {n}" for n, c in segs)
+    qlab = "(VALUES " + ", ".join(f"({i}, '{x.question_id}', {_q(x.label)})" for i, x in enumerate(FIXTURE_QUESTIONS)) + \
+        ") AS qd(q_ord, question_id, label)"
+    q["question_matrix"] = with_views("", "respondents", "answers").rstrip() + f""",
+seg AS (SELECT r.row_ord, {coh} AS cohort, {cls} AS nps_class FROM respondents r),
+j AS (SELECT a.question_id, g.cohort, g.nps_class, {clip(num('a.score_raw'))} AS s FROM answers a JOIN seg g ON a.row_ord = g.row_ord),
+sc AS (SELECT question_id, {cols} FROM j GROUP BY question_id)
+SELECT CAST(qd.q_ord AS BIGINT) AS template_ord, CAST(NULL AS VARCHAR) AS index, qd.label AS question,
+  CAST(NULL AS VARCHAR) AS clima, CAST(NULL AS VARCHAR) AS ife, CAST(NULL AS DOUBLE) AS weight,
+  qd.question_id, {', '.join('sc.' + n for n, _ in segs)}
+FROM {qlab} LEFT JOIN sc ON qd.question_id = sc.question_id"""
+
+    nq = len(FIXTURE_QUESTIONS)
+    lbl = "(VALUES " + ", ".join(f"({i}, '{x.question_id}', {_q(x.label)})" for i, x in enumerate(FIXTURE_QUESTIONS)) + \
+        ") AS lbl(ord, qid, label)"
+    wanted = f"""w AS (
+  SELECT p.p_partkey, CASE (p.p_partkey // {nq}) % 4
+    WHEN 0 THEN l.label
+    WHEN 1 THEN substr(l.label, 1, CAST(p.p_partkey % 20 AS INTEGER)) || substr(l.label, CAST(p.p_partkey % 20 AS INTEGER) + 2)
+    WHEN 2 THEN '¡' || upper(l.label) || '!'
+    ELSE p.p_name END AS wanted
+  FROM part p JOIN {lbl} ON l.ord = p.p_partkey % {nq})"""
+    wanted = wanted.replace("AS lbl(ord", "AS l(ord")
+    match = f"""nk AS (SELECT ord, qid, label, {loose('label')} AS nkey FROM {lbl}),
+ex AS (SELECT w.p_partkey, max_by(nk.qid, nk.ord) AS ev FROM w JOIN nk ON nk.label = w.wanted GROUP BY w.p_partkey),
+nm AS (SELECT w.p_partkey, max_by(nk.qid, nk.ord) AS nv FROM w JOIN nk ON nk.nkey = {loose('w.wanted')} GROUP BY w.p_partkey),
+sc AS (SELECT w.p_partkey, nk.qid, nk.ord,
+  1 - levenshtein(nk.nkey, {loose('w.wanted')}) / CAST(greatest(length(nk.nkey), length({loose('w.wanted')})) AS DOUBLE) AS score
+  FROM w, nk),
+best AS (SELECT p_partkey, qid AS fv, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, ord) AS rn FROM sc) t WHERE rn = 1),
+m AS (SELECT w.p_partkey, w.wanted,
+  COALESCE(ex.ev, nm.nv, CASE WHEN best.score >= 0.75 THEN best.fv END) AS match_value,
+  CASE WHEN ex.ev IS NOT NULL THEN 'exact' WHEN nm.nv IS NOT NULL THEN 'normalized'
+       WHEN best.score >= 0.75 THEN 'fuzzy' END AS match_method,
+  CASE WHEN ex.ev IS NULL AND nm.nv IS NULL AND best.score >= 0.75 THEN best.score END AS match_score
+  FROM w LEFT JOIN ex ON w.p_partkey = ex.p_partkey LEFT JOIN nm ON w.p_partkey = nm.p_partkey
+  LEFT JOIN best ON w.p_partkey = best.p_partkey)"""
+    q["label_match"] = f"WITH {wanted},\n{match}\nSELECT p_partkey, wanted, match_value, match_method, match_score FROM m"
+    q["label_unmatched"] = f"WITH {wanted},\n{match}\nSELECT p_partkey, wanted FROM m WHERE match_value IS NULL"
+
+    q["name_resolve"] = """WITH w AS (
+  SELECT p.p_partkey, CASE (p.p_partkey // 25) % 4
+    WHEN 0 THEN lower(n.n_name)
+    WHEN 1 THEN substr(n.n_name, 1, 4)
+    WHEN 2 THEN substr(n.n_name, 1, CAST(p.p_partkey % 5 AS INTEGER)) || substr(n.n_name, CAST(p.p_partkey % 5 AS INTEGER) + 2)
+    ELSE p.p_name END AS wanted
+  FROM part p JOIN nation n ON n.n_nationkey = p.p_partkey % 25),
+c AS (SELECT n_nationkey AS ord, n_name, lower(trim(n_name)) AS k FROM nation),
+pf AS (SELECT w.p_partkey, arg_min(c.n_name, c.ord) AS pv FROM w JOIN c
+       ON c.k = lower(trim(w.wanted)) OR starts_with(c.k, lower(trim(w.wanted))) GROUP BY w.p_partkey),
+fk AS (SELECT k, min(ord) AS ord, arg_min(n_name, ord) AS v FROM c GROUP BY k),
+sc AS (SELECT w.p_partkey, fk.v, fk.ord,
+  1 - levenshtein(fk.k, lower(trim(w.wanted))) / CAST(greatest(length(fk.k), length(lower(trim(w.wanted)))) AS DOUBLE) AS score
+  FROM w, fk),
+best AS (SELECT p_partkey, v AS fv, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, ord) AS rn FROM sc) t WHERE rn = 1)
+SELECT w.p_partkey, w.wanted,
+  COALESCE(pf.pv, CASE WHEN best.score >= 0.6 THEN best.fv END) AS match_value,
+  CASE WHEN pf.pv IS NOT NULL THEN 'prefix' WHEN best.score >= 0.6 THEN 'fuzzy' END AS match_method,
+  CASE WHEN pf.pv IS NULL AND best.score >= 0.6 THEN best.score END AS match_score
+FROM w LEFT JOIN pf ON w.p_partkey = pf.p_partkey LEFT JOIN best ON w.p_partkey = best.p_partkey"""
     return q
 
 

@@ -27,7 +27,7 @@ def get_session(master: str | None = None, app_name: str = "pulso", **conf: str)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)
     spark = builder.getOrCreate()
