@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.hierarchy import hierarchy_report
 from .operators.matching import match_labels, unmatched
 from .plans import kpis
 from .plans.question_matrix import question_matrix
@@ -148,6 +149,10 @@ def q_name_resolve(spark, sf_dir):
     return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
 
 
+def q_hierarchy_rollup(spark, sf_dir):
+    return hierarchy_report(fx.answers(spark, sf_dir), fx.FIXTURE_HIERARCHY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -165,4 +170,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_match_ratcliff": q_label_match_ratcliff,
     "label_unmatched": q_label_unmatched,
     "name_resolve": q_name_resolve,
+    "hierarchy_rollup": q_hierarchy_rollup,
 }

@@ -14,37 +14,72 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import likert_score, to_number
+from .segments import row_nonblank, with_segments
 
 
-def respondent_cuboid(seg: DataFrame, value_cols: dict[str, str] | None = None) -> DataFrame:
+def _segment_keys(df: DataFrame, cohort_col: str | None, nps_col: str | None,
+                  response_col: str | None) -> list[str]:
+    keys = []
+    for c in (cohort_col, nps_col, response_col or nps_col):
+        if c and c in df.columns and c not in keys:
+            keys.append(c)
+    return keys
+
+
+def respondent_cuboid(df: DataFrame, value_cols: dict[str, str] | None = None,
+                      cohort_col: str | None = "cohort_raw", nps_col: str | None = "nps_raw",
+                      response_col: str | None = None, loose: bool = False) -> DataFrame:
     """(cohort, nps_class, responded) -> n plus sum/count of each numeric value column.
 
-    ``seg`` must carry ``cohort``, ``nps_class`` and ``responded``
-    (``segments.with_segments``). ``value_cols`` maps an output prefix to a
-    raw column; values are coerced (C5) but not clipped.
+    Pre-aggregates on the *raw* label columns first: that aggregate runs
+    map-side on short strings, and label normalisation/classification then
+    runs once per distinct spelling instead of once per respondent. A second
+    tiny aggregate folds spellings into classes. ``value_cols`` maps an output
+    prefix to a raw column; values are coerced (C5) but not clipped.
     """
+    keys = _segment_keys(df, cohort_col, nps_col, response_col)
+    src = df
+    if not (response_col or nps_col) or (response_col or nps_col) not in df.columns:
+        # no response column -> any non-null cell, evaluated per row.
+        src = src.withColumn("__responded", row_nonblank(df))
+        keys = keys + ["__responded"]
     aggs = [F.count(F.lit(1)).alias("n")]
-    for name, src in (value_cols or {}).items():
-        if src and src in seg.columns:
-            v = to_number(F.col(src))
+    names = []
+    for name, col in (value_cols or {}).items():
+        names.append(name)
+        if col and col in df.columns:
+            v = to_number(F.col(col))
             aggs += [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_cnt")]
         else:
             aggs += [F.lit(None).cast("double").alias(f"{name}_sum"), F.lit(0).cast("bigint").alias(f"{name}_cnt")]
-    return seg.groupBy("cohort", "nps_class", "responded").agg(*aggs)
+    raw = src.groupBy(*keys).agg(*aggs)
+    seg = with_segments(raw, cohort_col, nps_col, response_col, loose=loose)
+    if "__responded" in keys:
+        seg = seg.withColumn("responded", F.col("__responded"))
+    folded = [F.sum("n").alias("n")]
+    for name in names:
+        folded += [F.sum(f"{name}_sum").alias(f"{name}_sum"), F.sum(f"{name}_cnt").alias(f"{name}_cnt")]
+    return seg.groupBy("cohort", "nps_class", "responded").agg(*folded)
 
 
-def answer_cuboid(answers: DataFrame, segments: DataFrame | None = None,
-                  score_col: str = "score_raw") -> DataFrame:
+def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
+                  score_col: str = "score_raw", cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
+                  loose: bool = False) -> DataFrame:
     """(question_id[, cohort, nps_class]) -> sum / count of the clipped 1..4 score.
 
-    Without ``segments`` no join is needed (General scores). With segments the
-    answers are joined to one compact row per respondent (row_ord, cohort,
-    nps_class) on ``row_ord``; the partial aggregate runs right after the join
-    in the same stage, so only cuboid cells cross the final shuffle.
+    Without ``respondents`` no join is needed (General scores). Otherwise the
+    answers are joined on ``row_ord`` to the respondents' raw segment labels
+    and aggregated by (question, raw cohort, raw NPS) right after the join
+    (partial aggregation in the join stage); classification runs on that
+    small result and a last aggregate folds spellings into classes.
     """
     s = likert_score(F.col(score_col))
-    if segments is None:
+    if respondents is None:
         return answers.groupBy("question_id").agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
-    seg = segments.select("row_ord", "cohort", "nps_class")
-    j = answers.join(seg, "row_ord")
-    return j.groupBy("question_id", "cohort", "nps_class").agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
+    keys = [c for c in (cohort_col, nps_col) if c in respondents.columns]
+    seg = respondents.select("row_ord", *keys)
+    raw = (answers.join(seg, "row_ord")
+           .groupBy("question_id", *keys).agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt")))
+    cls = with_segments(raw, cohort_col, nps_col, loose=loose)
+    return cls.groupBy("question_id", "cohort", "nps_class").agg(F.sum("s_sum").alias("s_sum"),
+                                                                 F.sum("s_cnt").alias("s_cnt"))

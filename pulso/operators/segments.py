@@ -32,9 +32,8 @@ def _normalised_variants(variants: Iterable[str], loose: bool) -> list[str]:
     return sorted(set(out))
 
 
-def classify(label: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
-    """First class whose (normalised) spellings contain the normalised label, else NULL."""
-    norm = norm_label_loose(label) if loose else norm_label(label)
+def classify_normalised(norm: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
+    """First class whose (normalised) spellings contain ``norm``, else NULL."""
     expr = None
     for key, variants in vocab.items():
         cond = norm.isin(*_normalised_variants(variants, loose))
@@ -42,6 +41,11 @@ def classify(label: Column, vocab: Mapping[str, Iterable[str]], loose: bool = Fa
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def classify(label: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
+    """First class whose (normalised) spellings contain the normalised label, else NULL."""
+    return classify_normalised(norm_label_loose(label) if loose else norm_label(label), vocab, loose)
+
+
 def cohort_of(label: Column | str, vocab: Mapping[str, Iterable[str]] = COHORT_VARIANTS,
               loose: bool = False) -> Column:
     """cohort key or NULL (blank / unknown cohorts stay in the denominators)."""
@@ -61,16 +65,30 @@ def with_segments(df: DataFrame, cohort_col: str | None = "cohort_raw", nps_col:
     """Add ``cohort``, ``nps_class`` and ``responded`` columns.
 
     ``responded`` follows F2a on ``response_col`` (default: the NPS column);
-    with neither column it is F3 (any non-null cell in the row).
+    with neither column it is F3 (any non-null cell in the row). Each label is
+    normalised once into a helper column, so the CASE branches compare a
+    plain column instead of repeating the normaliser.
     """
     out = df
-    out = out.withColumn("cohort", cohort_of(cohort_col, loose=loose) if cohort_col in df.columns
+    has_c = cohort_col is not None and cohort_col in df.columns
+    has_n = nps_col is not None and nps_col in df.columns
+    normf = norm_label_loose if loose else norm_label
+    if has_c:
+        out = out.withColumn("__cn", normf(F.col(cohort_col)))
+    if has_n:
+        out = out.withColumn("__nn", normf(F.col(nps_col)))
+    out = out.withColumn("cohort", classify_normalised(F.col("__cn"), COHORT_VARIANTS, loose) if has_c
                          else F.lit(None).cast("string"))
-    out = out.withColumn("nps_class", nps_class_of(nps_col, loose=loose) if nps_col in df.columns
-                         else F.lit("empty"))
+    if has_n:
+        known = classify_normalised(F.col("__nn"), NPS_VARIANTS, loose)
+        out = out.withColumn("nps_class", F.coalesce(
+            known, F.when(answered_label(F.col(nps_col)), F.lit("unknown")).otherwise(F.lit("empty"))))
+    else:
+        out = out.withColumn("nps_class", F.lit("empty"))
     rc = response_col or nps_col
-    out = out.withColumn("responded", answered_raw(rc) if rc in df.columns else row_nonblank(df))
-    return out
+    out = out.withColumn("responded", answered_raw(rc) if rc is not None and rc in df.columns
+                         else row_nonblank(df))
+    return out.drop(*[c for c in ("__cn", "__nn") if c in out.columns])
 
 
 def row_nonblank(df: DataFrame, columns: list[str] | None = None) -> Column:

@@ -174,9 +174,47 @@ FROM seg"""
     q["survey_kpis"] = _kpis_sql(False)
     q["survey_kpis_by_id"] = _kpis_sql(True)
     q.update(_matrix_and_matching())
+    q["hierarchy_rollup"] = _hierarchy_sql()
     return q
 
 
+def _hierarchy_sql() -> str:
+    """Fixture tree: Index -> A1 (Q1, Q2), A2 (Q3, Q4), A3 (Q5, Q6, Q7); one CTE per level."""
+    return with_views("", "answers").rstrip() + f""",
+cm AS (SELECT lower(question_id) AS col, sum(s) / count(s) AS col_mean
+       FROM (SELECT question_id, {clip(num('score_raw'))} AS s FROM answers) t
+       GROUP BY question_id HAVING count(s) > 0),
+own_edges AS (SELECT * FROM (VALUES ('Index', 'q1'), ('A1', 'q1'), ('A1', 'q2'), ('Q1', 'q1'), ('Q2', 'q2'),
+    ('A2', 'q3'), ('A2', 'q4'), ('Q3', 'q3'), ('Q4', 'q4'), ('A3', 'q5'), ('A3', 'q6'), ('A3', 'q7'),
+    ('Q5', 'q5'), ('Q6', 'q6'), ('Q7', 'q7')) AS e(label, col)),
+own AS (SELECT e.label, avg(cm.col_mean) AS r FROM own_edges e JOIN cm ON e.col = cm.col GROUP BY e.label),
+own_s AS (SELECT label, COALESCE(r, 0.0) AS real, COALESCE(round_even(r, 1), 0.0) AS e4,
+          COALESCE({conv10('round_even(r, 1)')}, 0.0) AS e10 FROM own),
+l0 AS (SELECT * FROM own_s WHERE label IN ('Q1', 'Q2', 'Q3', 'Q4', 'Q5', 'Q6', 'Q7')),
+e1 AS (SELECT * FROM (VALUES ('A1', 'Q1'), ('A1', 'Q2'), ('A2', 'Q3'), ('A2', 'Q4'),
+    ('A3', 'Q5'), ('A3', 'Q6'), ('A3', 'Q7')) AS t(parent, child)),
+g1 AS (SELECT e1.parent AS label, avg(NULLIF(l0.real, 0.0)) AS cr, avg(NULLIF(l0.e4, 0.0)) AS c4,
+       avg(NULLIF(l0.e10, 0.0)) AS c10 FROM e1 LEFT JOIN l0 ON e1.child = l0.label GROUP BY e1.parent),
+l1 AS (SELECT g1.label,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(cr, 0.0) ELSE o.real END AS real,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(round_even(c4, 1), 0.0) ELSE o.e4 END AS e4,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(round_even(c10, 1), 0.0) ELSE o.e10 END AS e10
+  FROM g1 LEFT JOIN own_s o ON g1.label = o.label),
+g2 AS (SELECT 'Index' AS label, avg(NULLIF(real, 0.0)) AS cr, avg(NULLIF(e4, 0.0)) AS c4,
+       avg(NULLIF(e10, 0.0)) AS c10 FROM l1),
+l2 AS (SELECT g2.label,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(cr, 0.0) ELSE o.real END AS real,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(round_even(c4, 1), 0.0) ELSE o.e4 END AS e4,
+  CASE WHEN cr IS NOT NULL OR c4 IS NOT NULL OR c10 IS NOT NULL THEN COALESCE(round_even(c10, 1), 0.0) ELSE o.e10 END AS e10
+  FROM g2 LEFT JOIN own_s o ON g2.label = o.label),
+allv AS (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2),
+ord AS (SELECT * FROM (VALUES (0, 'Index'), (1, 'A1'), (2, 'Q1'), (3, 'Q2'), (4, 'A2'), (5, 'Q3'), (6, 'Q4'),
+    (7, 'A3'), (8, 'Q5'), (9, 'Q6'), (10, 'Q7')) AS t(node_ord, label))
+SELECT ord.node_ord, ord.label AS node, round_even(NULLIF(a.real, 0.0), 6) AS real,
+  NULLIF(a.e4, 0.0) AS scale4, NULLIF(a.e10, 0.0) AS scale10
+FROM ord LEFT JOIN allv a ON ord.label = a.label"""
+
+
 def loose(x: str) -> str:
     return f"regexp_replace({norm(x)}, '[^\\p{{L}}\\p{{N}} ]', '', 'g')"
 

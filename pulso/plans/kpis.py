@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import or_zero, pct, safe_ratio, scale4_to_10, zero_as_null
 from ..operators.cuboid import answer_cuboid, respondent_cuboid
-from ..operators.segments import filter_ids, with_segments
+from ..operators.segments import filter_ids
 from ..sources.dims import COHORT_KEYS, COHORT_SLUG, Question
 
 _VALID_NPS = ("promoter", "passive", "detractor", "unknown")
@@ -38,8 +38,8 @@ def kpi_cube(respondents: DataFrame, ids: Iterable | None = None, cohort_col: st
              satisfaction_col: str | None = "satisfaction_raw", conditions_col: str | None = None,
              id_col: str = "id") -> DataFrame:
     sel = filter_ids(respondents, ids, id_col)
-    seg = with_segments(sel, cohort_col, nps_col, response_col)
-    return respondent_cuboid(seg, {"sat": satisfaction_col, "cond": conditions_col})
+    return respondent_cuboid(sel, {"sat": satisfaction_col, "cond": conditions_col}, cohort_col, nps_col,
+                             response_col)
 
 
 # --- single metrics (each a tiny aggregate over the cube) ----------------------
@@ -180,15 +180,29 @@ def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[
         r_cols.append(pct(_n_where(F.col("nps_class") == k), v).alias(name))
     r_row = cube.agg(*r_cols)
 
+    # Answer side in one pass: per-question scores, then one aggregate that
+    # yields every question column and every axis mean (scores > 0 only).
     qs = question_scores(answers, respondents, ids)
-    ax = axis_scores(qs, questions)
-    q_row = qs.agg(*[F.max(F.when(F.col("question_id") == q.question_id, F.col("score10"))).alias(f"q_{q.question_id}")
-                     for q in questions])
     axes = list(dict.fromkeys(q.axis for q in questions if q.axis))
-    a_row = ax.agg(*[F.max(F.when(F.col("axis") == a, F.col("axis_score"))).alias(f"axis_{a}") for a in axes],
-                   or_zero(F.bround(F.avg(zero_as_null("axis_score")), 1)).alias("indice_clima"))
+    qj = F.broadcast(_question_dim(qs.sparkSession, questions)).join(qs, "question_id", "left")
+    q_cols = [F.max(F.when(F.col("question_id") == q.question_id, F.col("score10"))).alias(f"q_{q.question_id}")
+              for q in questions]
+    q_cols += [F.bround(F.avg(F.when(F.col("axis") == a, zero_as_null("score10"))), 1).alias(f"axis_{a}")
+               for a in axes]
+    q_row = qj.agg(*q_cols)
+    # Climate index: mean of the non-zero axis scores, from the axis columns of the row.
+    valid = [F.when(F.col(f"axis_{a}") > 0, F.col(f"axis_{a}")) for a in axes]
+    if valid:
+        total = F.lit(0.0)
+        count = F.lit(0)
+        for v in valid:
+            total = total + F.coalesce(v, F.lit(0.0))
+            count = count + v.isNotNull().cast("int")
+        q_row = q_row.withColumn("indice_clima", F.bround(F.try_divide(total, count.cast("double")), 1))
+    else:
+        q_row = q_row.withColumn("indice_clima", F.lit(0.0))
 
-    parts = [r_row, q_row, a_row]
+    parts = [r_row, q_row]
     if isinstance(universe, DataFrame):
         parts.append(universe.select(u_col.cast("double").alias("total_personas")))
     folded_cols = [c for p in parts for c in p.columns]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import or_zero, scale4_to_10
 from ..operators.cuboid import answer_cuboid
 from ..operators.matching import match_labels
-from ..operators.segments import filter_ids, with_segments
+from ..operators.segments import filter_ids
 from ..sources.dims import Question, question_dim
 
 # Output segment columns, in report order: (column, filter column, filter value).
@@ -38,8 +38,7 @@ def segment_scores(answers: DataFrame, respondents: DataFrame, ids: Iterable | N
     """question_id + one 0..10 score per segment (0.0 where a segment has no valid answer)."""
     sel = filter_ids(respondents, ids)
     # This report matches labels punctuation-insensitively.
-    seg = with_segments(sel, cohort_col, nps_col, loose=True)
-    cube = answer_cuboid(answers, seg)
+    cube = answer_cuboid(answers, sel, cohort_col=cohort_col, nps_col=nps_col, loose=True)
     cols = []
     for name, fcol, fval in SEGMENTS:
         cond = F.lit(True) if fcol is None else (F.col(fcol) == F.lit(fval))

@@ -17,18 +17,35 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Declared schemas of the provided tables. Reading with a schema skips footer
+# inference on the driver (what a catalog-backed table does on a cluster).
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+               "props STRING"),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
 
 
-def _pick(key: Column, mod: int, values: list) -> Column:
-    """CASE key % mod WHEN 0 THEN values[0] ... ELSE values[-1]."""
-    k = key % F.lit(mod)
-    expr = None
-    for i, v in enumerate(values[:-1]):
-        lit = F.lit(v).cast("string")
-        expr = F.when(k == i, lit) if expr is None else expr.when(k == i, lit)
-    return expr.otherwise(F.lit(values[-1]).cast("string"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Raw spellings injected per region (cohort) and per order
@@ -42,64 +59,30 @@ _COHORT_SPELLINGS = {
 _COHORT_OTHER = [None, "N/A", "-", "Otro"]
 
 
+def _spark_sql(sql: str, tables: tuple[str, ...]) -> str:
+    out = sql.replace("AS VARCHAR", "AS STRING")
+    for t in tables:
+        out = out.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
+        if out.rstrip().endswith(f"FROM {t}"):
+            out = out.rstrip()[: -len(t)] + f"{{{t}}}"
+    return out
+
+
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_ord, id, cohort_raw, nps_raw, satisfaction_raw, dem_segment_raw, dem_status_raw.
 
-    nation/region are fixed-size (25 / 5 rows) and broadcast explicitly;
-    the customer join is left to Catalyst, which broadcasts it only below
-    the broadcast threshold and sort-merge joins it beyond.
+    Built from the FIXTURES.md view definition in one ``spark.sql`` call over
+    the schema-declared tables. Catalyst sizes the joins: nation/region (25 / 5
+    rows) and, at small scale, customer are broadcast; beyond the broadcast
+    threshold customer is sort-merge joined on the customer key.
     """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-           .join(table(spark, sf_dir, "region").select("r_regionkey"),
-                 F.col("n_regionkey") == F.col("r_regionkey")))
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-         .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
-
-    k = F.col("o_orderkey")
-    region = F.col("r_regionkey")
-    cohort = None
-    for r, spellings in _COHORT_SPELLINGS.items():
-        v = _pick(k, 4, spellings)
-        cohort = F.when(region == r, v) if cohort is None else cohort.when(region == r, v)
-    cohort = cohort.otherwise(_pick(k, 4, _COHORT_OTHER))
-
-    prio = F.col("o_orderpriority")
-    nps = (F.when(prio == "1-URGENT", _pick(k, 2, ["Entusiasta", "Promotores"]))
-           .when(prio == "2-HIGH", F.lit("Entusiastas"))
-           .when(prio == "3-MEDIUM", _pick(k, 2, ["Pasivo", "NEUTRAL"]))
-           .when(prio == "4-NOT SPECIFIED", _pick(k, 3, [None, "s/d", "No aplica"]))
-           .otherwise(_pick(k, 2, ["Detractor", " DETRACTORES "])))
-
-    seg = F.col("c_mktsegment")
-    segment = (F.when(k % 3 == 0, seg)
-               .when(k % 3 == 1, F.concat(F.upper(F.substring(seg, 1, 1)), F.lower(F.substring(seg, 2, 1 << 20))))
-               .otherwise(F.concat(F.lit("  "), F.lower(seg), F.lit(" "))))
-
-    return j.select(
-        k.alias("row_ord"),
-        F.col("o_custkey").cast("string").alias("id"),
-        cohort.alias("cohort_raw"),
-        nps.alias("nps_raw"),
-        F.when(k % 17 == 0, F.lit("N/A")).otherwise((F.lit(1) + k % 10).cast("string")).alias("satisfaction_raw"),
-        segment.alias("dem_segment_raw"),
-        F.when(k % 29 == 0, F.lit("--")).otherwise(F.col("o_orderstatus")).alias("dem_status_raw"),
-    )
+    names = ("orders", "customer", "nation", "region")
+    return spark.sql(_spark_sql(RESPONDENTS_SQL, names), **{t: table(spark, sf_dir, t) for t in names})
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_ord, question_id, score_raw: quarter-step answers 0.5..4.25 with junk and NULLs."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    q = F.col("l_quantity").cast("bigint")
-    score = (F.when(q % 13 == 0, F.lit("n/a"))
-             .when(q % 11 == 0, F.lit(None).cast("string"))
-             .otherwise((F.lit(0.5) + (q % 16) / F.lit(4.0)).cast("string")))
-    return li.select(
-        F.col("l_orderkey").alias("row_ord"),
-        F.concat(F.lit("Q"), F.col("l_linenumber").cast("string")).alias("question_id"),
-        score.alias("score_raw"),
-    )
+    return spark.sql(_spark_sql(ANSWERS_SQL, ("lineitem",)), lineitem=table(spark, sf_dir, "lineitem"))
 
 
 def _sql_pick(key: str, mod: int, values: list) -> str:
