@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .operators.hierarchy import hierarchy_report
 from .operators.matching import match_labels, unmatched
+from .plans import demographics as demo
 from .plans import kpis
 from .plans.question_matrix import question_matrix
 from .sources import fixtures as fx
@@ -153,6 +154,44 @@ def q_hierarchy_rollup(spark, sf_dir):
     return hierarchy_report(fx.answers(spark, sf_dir), fx.FIXTURE_HIERARCHY)
 
 
+def _labels(spark, sf_dir):
+    return demo.label_table(fx.respondents(spark, sf_dir), fx.FIXTURE_DEMOGRAPHICS)
+
+
+def q_demographic_counts(spark, sf_dir):
+    t = _labels(spark, sf_dir)
+    return t.select("grupo", "label", F.col("general").cast("bigint").alias("general"),
+                    F.col("group_total").cast("bigint").alias("group_total"),
+                    F.bround(F.col("general") / F.col("group_total"), 6).alias("share"))
+
+
+def q_demographic_nps(spark, sf_dir):
+    t = demo.nps_shares(_labels(spark, sf_dir))
+    return t.select("grupo", "label", *[F.col(c).cast("bigint").alias(c) for c in
+                                        ("detractores", "pasivos", "entusiastas", "global_nps")],
+                    "pct_detractores", "pct_pasivos", "pct_entusiastas")
+
+
+def q_demographic_display(spark, sf_dir):
+    t = _labels(spark, sf_dir)
+    return t.select("grupo", "label", demo.display_label("raw").alias("variable"),
+                    demo.display_label("no-prefix").alias("variable_no_prefix"), "first_seen")
+
+
+def q_share_apportioned(spark, sf_dir):
+    t = demo.apportion_share(demo.with_index(_labels(spark, sf_dir)))
+    return t.select("grupo", "label", "index", "pct")
+
+
+def q_nps_share_apportioned(spark, sf_dir):
+    t = demo.apportion_nps(demo.with_index(demo.nps_shares(_labels(spark, sf_dir))))
+    return t.select("grupo", "label", "index", "pct_detractores", "pct_pasivos", "pct_entusiastas")
+
+
+def q_demographic_report(spark, sf_dir):
+    return demo.demographic_report(fx.respondents(spark, sf_dir), fx.FIXTURE_DEMOGRAPHICS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -171,4 +210,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_unmatched": q_label_unmatched,
     "name_resolve": q_name_resolve,
     "hierarchy_rollup": q_hierarchy_rollup,
+    "demographic_counts": q_demographic_counts,
+    "demographic_nps": q_demographic_nps,
+    "demographic_display": q_demographic_display,
+    "share_apportioned": q_share_apportioned,
+    "nps_share_apportioned": q_nps_share_apportioned,
+    "demographic_report": q_demographic_report,
 }

@@ -175,9 +175,86 @@ FROM seg"""
     q["survey_kpis_by_id"] = _kpis_sql(True)
     q.update(_matrix_and_matching())
     q["hierarchy_rollup"] = _hierarchy_sql()
+    q.update(_demographics_sql())
     return q
 
 
+def _demographics_sql() -> dict[str, str]:
+    """Fixture groups: SEGMENT (ordered, normalise map), STATUS (no order), '?' column skipped."""
+    order0 = ["0 Automobile", "1 Building", "2 Furniture", "3 Household"]
+    in_order = "(" + ", ".join(_q(x) for x in order0) + ")"
+    auto = " ".join(f"WHEN {norm('l1')} = '{x.split(' ', 1)[1].lower()}' THEN {_q(x)}" for x in order0)
+    pos = " ".join(f"WHEN {_q(x)} THEN {i}" for i, x in enumerate(order0))
+    chain = with_views("", "respondents").rstrip() + f""",
+long AS (SELECT row_ord, nps_raw, 0 AS group_ord, dem_segment_raw AS raw FROM respondents
+         UNION ALL SELECT row_ord, nps_raw, 1 AS group_ord, dem_status_raw AS raw FROM respondents),
+l1 AS (SELECT *, CASE WHEN group_ord = 0 AND {norm('raw')} = 'building' THEN '1 Building' ELSE raw END AS l1 FROM long),
+lab AS (SELECT *, CASE WHEN group_ord = 0 THEN (CASE WHEN l1 IN {in_order} THEN l1 {auto} ELSE l1 END) ELSE l1 END AS label,
+          CASE WHEN {norm('nps_raw')} IN {DET} THEN 'D' WHEN {norm('nps_raw')} IN {PAS} THEN 'P'
+               WHEN {norm('nps_raw')} IN {PROM} THEN 'E' END AS c
+        FROM l1),
+rawfirst AS (SELECT group_ord, raw, min(row_ord) AS raw_first FROM long GROUP BY group_ord, raw),
+valid AS (SELECT * FROM lab WHERE {norm('label')} NOT IN {EMPTY}),
+per_raw AS (SELECT group_ord, label, raw, count(*) AS n_raw, min(row_ord) AS first_raw,
+              count_if(c = 'D') AS d, count_if(c = 'P') AS p, count_if(c = 'E') AS e
+            FROM valid GROUP BY group_ord, label, raw),
+disp AS (SELECT group_ord, label, raw AS display_raw FROM (
+           SELECT *, row_number() OVER (PARTITION BY group_ord, label ORDER BY n_raw DESC, first_raw) AS rn
+           FROM per_raw) t WHERE rn = 1),
+per_label AS (SELECT group_ord, label, sum(n_raw) AS general, min(first_raw) AS first_seen,
+                sum(d) AS detractores, sum(p) AS pasivos, sum(e) AS entusiastas
+              FROM per_raw GROUP BY group_ord, label),
+g AS (SELECT count(*) AS global_nps FROM respondents WHERE {norm('nps_raw')} NOT IN {EMPTY}),
+ord AS (SELECT pl.*, d.display_raw,
+          CASE WHEN pl.group_ord = 0 THEN COALESCE(CASE pl.label {pos} END, 4)
+               ELSE COALESCE(rf.raw_first, 4611686018427387904) END AS order_idx,
+          CASE pl.group_ord WHEN 0 THEN 'SEGMENT' ELSE 'STATUS' END AS grupo,
+          sum(pl.general) OVER (PARTITION BY pl.group_ord) AS group_total, g.global_nps
+        FROM per_label pl JOIN disp d ON pl.group_ord = d.group_ord AND pl.label = d.label
+        LEFT JOIN rawfirst rf ON rf.group_ord = pl.group_ord AND rf.raw = pl.label, g),
+idx AS (SELECT *, CAST(row_number() OVER (ORDER BY group_ord, order_idx, general DESC, first_seen) - 1 AS BIGINT) AS index
+        FROM ord),
+sh AS (SELECT *, COALESCE(round_even(detractores / CAST(global_nps AS DOUBLE), 2), 0.0) AS pct_detractores,
+          COALESCE(round_even(pasivos / CAST(global_nps AS DOUBLE), 2), 0.0) AS pct_pasivos,
+          COALESCE(round_even(entusiastas / CAST(global_nps AS DOUBLE), 2), 0.0) AS pct_entusiastas FROM idx),
+w1a AS (SELECT *, (general * 10000) // group_total AS fl, (general * 10000) % group_total AS rem FROM sh),
+w1b AS (SELECT *, 10000 - sum(fl) OVER (PARTITION BY group_ord) AS need,
+          row_number() OVER (PARTITION BY group_ord ORDER BY rem DESC, index) AS rk FROM w1a),
+w1 AS (SELECT *, (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) / 10000.0::DOUBLE AS pct FROM w1b),
+m AS (SELECT group_ord, index, 0 AS m_ord, CAST(round_even(pct_detractores * 100.0::DOUBLE, 0) AS BIGINT) AS h FROM sh
+      UNION ALL SELECT group_ord, index, 1, CAST(round_even(pct_pasivos * 100.0::DOUBLE, 0) AS BIGINT) FROM sh
+      UNION ALL SELECT group_ord, index, 2, CAST(round_even(pct_entusiastas * 100.0::DOUBLE, 0) AS BIGINT) FROM sh),
+m2 AS (SELECT *, sum(h) OVER (PARTITION BY group_ord) AS tot FROM m),
+m3 AS (SELECT *, CASE WHEN tot > 0 THEN (h * 100) // tot END AS fl,
+          CASE WHEN tot > 0 THEN (h * 100) % tot END AS rem FROM m2),
+m4 AS (SELECT *, 100 - sum(fl) OVER (PARTITION BY group_ord) AS need,
+          row_number() OVER (PARTITION BY group_ord ORDER BY rem DESC, index, m_ord) AS rk FROM m3),
+m5 AS (SELECT group_ord, index, m_ord,
+          CASE WHEN tot > 0 THEN (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) / 100.0::DOUBLE END AS v FROM m4),
+w2 AS (SELECT group_ord, index,
+          COALESCE(max(v) FILTER (WHERE m_ord = 0), 0.0) AS pct_detractores,
+          COALESCE(max(v) FILTER (WHERE m_ord = 1), 0.0) AS pct_pasivos,
+          COALESCE(max(v) FILTER (WHERE m_ord = 2), 0.0) AS pct_entusiastas FROM m5 GROUP BY group_ord, index)
+"""
+    strip = "regexp_replace(label, '^[0-9][^ ]* ', '')"
+    return {
+        "demographic_counts": chain + """SELECT grupo, label, CAST(general AS BIGINT) AS general,
+  CAST(group_total AS BIGINT) AS group_total, round_even(general / CAST(group_total AS DOUBLE), 6) AS share FROM ord""",
+        "demographic_nps": chain + """SELECT grupo, label, CAST(detractores AS BIGINT) AS detractores,
+  CAST(pasivos AS BIGINT) AS pasivos, CAST(entusiastas AS BIGINT) AS entusiastas, CAST(global_nps AS BIGINT) AS global_nps,
+  pct_detractores, pct_pasivos, pct_entusiastas FROM sh""",
+        "demographic_display": chain + f"""SELECT grupo, label, COALESCE(display_raw, {strip}) AS variable,
+  {strip} AS variable_no_prefix, first_seen FROM ord""",
+        "share_apportioned": chain + "SELECT grupo, label, index, pct FROM w1",
+        "nps_share_apportioned": chain + """SELECT sh.grupo, sh.label, sh.index, w2.pct_detractores, w2.pct_pasivos,
+  w2.pct_entusiastas FROM sh JOIN w2 ON sh.group_ord = w2.group_ord AND sh.index = w2.index""",
+        "demographic_report": chain + """SELECT w1.index, w1.display_raw AS variable, CAST(w1.general AS BIGINT) AS general,
+  w1.pct, CAST(w1.detractores AS BIGINT) AS detractores, CAST(w1.pasivos AS BIGINT) AS pasivos,
+  CAST(w1.entusiastas AS BIGINT) AS entusiastas, w2.pct_detractores, w2.pct_pasivos, w2.pct_entusiastas, w1.grupo
+  FROM w1 JOIN w2 ON w1.group_ord = w2.group_ord AND w1.index = w2.index""",
+    }
+
+
 def _hierarchy_sql() -> str:
     """Fixture tree: Index -> A1 (Q1, Q2), A2 (Q3, Q4), A3 (Q5, Q6, Q7); one CTE per level."""
     return with_views("", "answers").rstrip() + f""",
