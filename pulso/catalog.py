@@ -11,13 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.numeric import likert_score, scale4_to_10, to_number
+from .functions.text import (answered_label, answered_raw, collapse_ws, nonempty_label, norm_label,
+                             norm_label_loose, strip_numeric_prefix)
 from .operators.hierarchy import hierarchy_report
 from .operators.matching import match_labels, unmatched
+from .operators.segments import filter_ids, filter_ids_table, row_nonblank
+from .plans.comments import comments_projection
 from .plans import demographics as demo
 from .plans import kpis
 from .plans.question_matrix import question_matrix
 from .sources import fixtures as fx
+from .session import ensure_checkpoint_dir
 from .sources.dims import question_dim
+from .sources.io import read_report, write_report
+from .sources.letters import select_letters
 
 # Fixed parameters of the ID-filter queries: literal ids (with padding to
 # exercise trimming, plus one that matches nothing).
@@ -192,6 +200,85 @@ def q_demographic_report(spark, sf_dir):
     return demo.demographic_report(fx.respondents(spark, sf_dir), fx.FIXTURE_DEMOGRAPHICS)
 
 
+def q_id_filter(spark, sf_dir):
+    r = fx.respondents(spark, sf_dir)
+    return filter_ids(r, ID_FILTER_IDS).select("row_ord", "id", "cohort_raw", "nps_raw")
+
+
+def q_id_filter_semi(spark, sf_dir):
+    ids = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    return filter_ids_table(fx.respondents(spark, sf_dir), ids, "id", "c_custkey").select("row_ord", "id")
+
+
+def q_row_nonblank(spark, sf_dir):
+    r = fx.respondents(spark, sf_dir).select("cohort_raw", "nps_raw")
+    return (r.select(row_nonblank(r).alias("nonblank")).groupBy("nonblank")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_label_normalize(spark, sf_dir):
+    r = fx.respondents(spark, sf_dir)
+    raw = (r.select(F.explode(F.array("cohort_raw", "nps_raw", "dem_segment_raw", "dem_status_raw")).alias("raw"))
+           .filter(F.col("raw").isNotNull()).distinct())
+    return raw.select("raw", norm_label("raw").alias("norm"), norm_label_loose("raw").alias("norm_loose"),
+                      collapse_ws("raw").alias("ws"), strip_numeric_prefix("raw").alias("no_prefix"),
+                      answered_raw("raw").alias("answered"), answered_label("raw").alias("answered_label"),
+                      nonempty_label("raw").alias("nonempty"))
+
+
+def q_text_normalize(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents").filter(F.col("lang").isin("es", "fr", "de"))
+    return d.select("doc_id", norm_label("text").alias("norm"), norm_label_loose("text").alias("norm_loose"))
+
+
+def q_numeric_coerce_clip(spark, sf_dir):
+    a = fx.answers(spark, sf_dir)
+    return (a.groupBy("score_raw").agg(F.count(F.lit(1)).alias("n"))
+            .select("score_raw", to_number("score_raw").alias("num"), likert_score("score_raw").alias("clipped"), "n"))
+
+
+def q_scale_convert(spark, sf_dir):
+    s = likert_score("score_raw")
+    a = fx.answers(spark, sf_dir).groupBy("question_id").agg(F.avg(s).alias("mean4"))
+    return a.select("question_id", "mean4", F.bround("mean4", 1).alias("mean4_r1"),
+                    scale4_to_10("mean4").alias("score10"))
+
+
+POSITIONAL = {"row_ord": "A", "id": "B", "generacion": "C", "tipo_nps": "D", "satisfaccion": "E",
+              "fuera_de_rango": "IZ"}
+
+
+def q_positional_select(spark, sf_dir):
+    return select_letters(fx.respondents(spark, sf_dir), POSITIONAL)
+
+
+COMMENT_SOURCES = {"id": "doc_id", "variable_1": "lang", "variable_2": "source", "variable_3": "quality",
+                   "tipo_nps": "toxic", "generacion": None, "antiguedad": "n_chars", "tipo_contrato": None,
+                   "comentarios": "text"}
+
+
+def _docs(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    lab = fx.table(spark, sf_dir, "labels")
+    return d.join(lab, "doc_id", "left")
+
+
+def q_comments_projection(spark, sf_dir):
+    return comments_projection(_docs(spark, sf_dir), COMMENT_SOURCES)
+
+
+def q_comments_by_id(spark, sf_dir):
+    ids = fx.table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
+    return comments_projection(_docs(spark, sf_dir), COMMENT_SOURCES, ids_table=ids)
+
+
+def q_report_roundtrip(spark, sf_dir):
+    """Publish the demographic report into the shared checkpoint folder and read it back."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/pulso-reports/" + sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    write_report(q_demographic_report(spark, sf_dir), base, "demographic_report", mode="only")
+    return read_report(spark, base, "demographic_report")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -216,4 +303,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "share_apportioned": q_share_apportioned,
     "nps_share_apportioned": q_nps_share_apportioned,
     "demographic_report": q_demographic_report,
+    "id_filter": q_id_filter,
+    "id_filter_semi": q_id_filter_semi,
+    "row_nonblank": q_row_nonblank,
+    "label_normalize": q_label_normalize,
+    "text_normalize": q_text_normalize,
+    "numeric_coerce_clip": q_numeric_coerce_clip,
+    "scale_convert": q_scale_convert,
+    "positional_select": q_positional_select,
+    "comments_projection": q_comments_projection,
+    "comments_by_id": q_comments_by_id,
+    "report_roundtrip": q_report_roundtrip,
 }

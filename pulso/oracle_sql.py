@@ -176,6 +176,43 @@ FROM seg"""
     q.update(_matrix_and_matching())
     q["hierarchy_rollup"] = _hierarchy_sql()
     q.update(_demographics_sql())
+    q["report_roundtrip"] = q["demographic_report"]
+    q.update(_misc_sql())
+    return q
+
+
+def _misc_sql() -> dict[str, str]:
+    resp = with_views("", "respondents").rstrip() + "\n"
+    ans = with_views("", "answers").rstrip() + "\n"
+    q = {}
+    q["id_filter"] = resp + f"SELECT row_ord, id, cohort_raw, nps_raw FROM respondents WHERE trim(id) IN {_ids_sql()}"
+    q["id_filter_semi"] = resp + """SELECT row_ord, id FROM respondents WHERE trim(id) IN (
+  SELECT trim(CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_mktsegment = 'BUILDING')"""
+    q["row_nonblank"] = resp + """SELECT (cohort_raw IS NOT NULL OR nps_raw IS NOT NULL) AS nonblank, count(*) AS n
+FROM respondents GROUP BY 1"""
+    q["label_normalize"] = resp + f""", v AS (
+  SELECT DISTINCT raw FROM (SELECT unnest([cohort_raw, nps_raw, dem_segment_raw, dem_status_raw]) AS raw FROM respondents) t
+  WHERE raw IS NOT NULL)
+SELECT raw, {norm('raw')} AS norm, {loose('raw')} AS norm_loose, trim(regexp_replace(raw, '\\s+', ' ', 'g')) AS ws,
+  regexp_replace(raw, '^[0-9][^ ]* ', '') AS no_prefix, {_responded('raw')} AS answered,
+  COALESCE({norm('raw')} NOT IN {EMPTY} AND regexp_matches({norm('raw')}, '[0-9a-zA-Z]'), false) AS answered_label,
+  COALESCE({norm('raw')} NOT IN {EMPTY}, false) AS nonempty
+FROM v"""
+    q["label_normalize"] = q["label_normalize"].replace("\n, v AS (", ",\nv AS (")
+    q["text_normalize"] = f"""SELECT doc_id, {norm('text')} AS norm, {loose('text')} AS norm_loose
+FROM documents WHERE lang IN ('es', 'fr', 'de')"""
+    q["numeric_coerce_clip"] = ans + f"""SELECT score_raw, {num('score_raw')} AS num, {clip(num('score_raw'))} AS clipped,
+  count(*) AS n FROM answers GROUP BY score_raw"""
+    q["scale_convert"] = ans + f"""SELECT question_id, avg(s) AS mean4, round_even(avg(s), 1) AS mean4_r1, {conv10('avg(s)')} AS score10
+FROM (SELECT question_id, {clip(num('score_raw'))} AS s FROM answers) t GROUP BY question_id"""
+    q["positional_select"] = resp + """SELECT CAST(row_ord AS VARCHAR) AS row_ord, id, cohort_raw AS generacion,
+  nps_raw AS tipo_nps, satisfaction_raw AS satisfaccion, CAST(NULL AS VARCHAR) AS fuera_de_rango FROM respondents"""
+    comments = """SELECT CAST(d.doc_id AS VARCHAR) AS id, d.lang AS variable_1, d.source AS variable_2,
+  CAST(l.quality AS VARCHAR) AS variable_3, CAST(l.toxic AS VARCHAR) AS tipo_nps, '' AS generacion,
+  CAST(d.n_chars AS VARCHAR) AS antiguedad, '' AS tipo_contrato, d.text AS comentarios
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+    q["comments_projection"] = comments
+    q["comments_by_id"] = comments + " WHERE trim(CAST(d.doc_id AS VARCHAR)) IN (SELECT trim(CAST(doc_id AS VARCHAR)) FROM labels WHERE toxic = 1)"
     return q
 
 
