@@ -36,11 +36,14 @@ def ratcliff_ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(_ratcliff_series, "double")(a, b)
 
 
-def best_ratcliff_udf(candidates: list[tuple[int, str, str]]):
+def best_ratcliff_udf(candidates: list[tuple[int, str, str]], threshold: float = 0.0):
     """Pandas UDF: best (value, score, ord) of one label against a bounded candidate list.
 
     The list is configuration-sized (checked by the caller) and travels with
     the function; ties keep the first candidate (strictly greater wins).
+    Candidates that cannot reach ``threshold`` or beat the current best are
+    skipped using difflib's cheap upper bounds (length, then multiset), which
+    never changes the accepted match.
     """
     cands = list(candidates)
 
@@ -55,6 +58,13 @@ def best_ratcliff_udf(candidates: list[tuple[int, str, str]]):
             if lab is not None:
                 for o, sm, v in matchers:
                     sm.set_seq1(lab)
+                    floor = max(best_s, threshold)
+                    ub = sm.real_quick_ratio()
+                    if ub < threshold or ub <= best_s:
+                        continue
+                    ub = sm.quick_ratio()
+                    if ub < floor or ub <= best_s:
+                        continue
                     s = sm.ratio()
                     if s > best_s:
                         best_v, best_s, best_o = v, s, o

@@ -31,6 +31,8 @@ from ..functions.similarity import best_ratcliff_udf, levenshtein_ratio, ratclif
 from ..functions.text import norm_label_loose
 
 _MATCH_COLS = ("match_value", "match_method", "match_score")
+# Candidate lists up to this size are scored as unrolled column expressions.
+UNROLL_MAX = 256
 
 
 def _py_loose(s: str) -> str:
@@ -45,10 +47,15 @@ def _py_lower(s: str) -> str:
     return str(s).strip().lower()
 
 
-def _inline(left: DataFrame, label_col: str, dim_rows: list[tuple[int, str, str]], threshold: float,
+def _probe(lab: Column, mode: str) -> Column:
+    return norm_label_loose(lab) if mode == "label" else F.lower(F.trim(lab))
+
+
+def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold: float,
             metric: str, mode: str) -> DataFrame:
-    """Resolve labels against a literal (size-checked) dimension; no join."""
-    lab = F.col(label_col).cast("string")
+    """Resolve distinct labels (``__lab``, ``__probe``) against a literal, size-checked dimension."""
+    lab = F.col("__lab")
+    probe = F.col("__probe")
     rows = sorted(dim_rows)
     stages: list[tuple[str, Column]] = []
     if mode == "label":
@@ -59,14 +66,12 @@ def _inline(left: DataFrame, label_col: str, dim_rows: list[tuple[int, str, str]
             nk = _py_loose(k)
             first_ord = fuzzy_keys[nk][0] if nk in fuzzy_keys else o
             fuzzy_keys[nk] = (first_ord, v)  # position of first occurrence, value of the last
-        probe = norm_label_loose(lab)
         stages.append(("exact", F.element_at(_lit_map(exact), lab)))
         stages.append(("normalized", F.element_at(_lit_map({k: v for k, (_, v) in fuzzy_keys.items()}), probe)))
     else:  # "name": case-insensitive equality or prefix, first dimension row wins
         fuzzy_keys = {}
         for o, k, v in rows:
             fuzzy_keys.setdefault(_py_lower(k), (o, v))
-        probe = F.lower(F.trim(lab))
         pref = None
         for o, k, v in rows:
             kk = _py_lower(k)
@@ -75,36 +80,48 @@ def _inline(left: DataFrame, label_col: str, dim_rows: list[tuple[int, str, str]
         stages.append(("prefix", pref if pref is not None else F.lit(None).cast("string")))
 
     cands = sorted((o, k, v) for k, (o, v) in fuzzy_keys.items())
+    t = F.lit(float(threshold))
+    # ``top``: struct(s, neg_o, v) of the best candidate reaching the threshold,
+    # or NULL. Candidates below it are NULL structs, which greatest/array_max
+    # skip, so the winner is the same as "best overall, then threshold".
     if not cands:
-        fuzzy = F.struct(F.lit(None).cast("string").alias("v"), F.lit(None).cast("double").alias("s"))
+        top = F.lit(None).cast("struct<s:double,neg_o:int,v:string>")
     elif metric == "ratcliff":
-        best = best_ratcliff_udf(cands)(probe)
-        fuzzy = F.struct(best["value"].alias("v"), best["score"].alias("s"))
+        best = best_ratcliff_udf(cands, threshold)(probe)
+        top = F.when(best["score"] >= t, F.struct(best["score"].alias("s"), (-best["ord"]).alias("neg_o"),
+                                                  best["value"].alias("v")))
     else:
-        arr = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(k).alias("k"), F.lit(v).alias("v")) for o, k, v in cands])
-        scored = F.transform(arr, lambda e: F.struct(levenshtein_ratio(e["k"], probe).alias("s"),
-                                                     (-e["o"]).alias("neg_o"), e["v"].alias("v")))
-        top = F.array_max(scored)
-        fuzzy = F.when(top["s"] > 0, F.struct(top["v"].alias("v"), top["s"].alias("s")))
-
-    names = [f"__m{i}" for i in range(len(stages))]
-    out = left
-    for n, (_, c) in zip(names, stages):
-        out = out.withColumn(n, c)
-    needs_fuzzy = F.lit(True)
-    for n in names:
-        needs_fuzzy = needs_fuzzy & F.col(n).isNull()
-    out = out.withColumn("__fz", F.when(needs_fuzzy, fuzzy))
-    ok = F.coalesce(F.col("__fz.s") >= F.lit(threshold), F.lit(False))
-    value = F.coalesce(*[F.col(n) for n in names], F.when(ok, F.col("__fz.v")))
+        plen = F.length(probe)
+
+        def cand(k: Column, n: Column, o: Column, v: Column) -> Column:
+            # Keys whose length cannot reach the threshold (min/max < t) are
+            # skipped without running the edit distance.
+            ok = F.least(n, plen) >= F.greatest(n, plen) * t
+            sc = levenshtein_ratio(k, probe)
+            return F.when(ok & (sc >= t), F.struct(sc.alias("s"), (-o).alias("neg_o"), v.alias("v")))
+
+        if len(cands) <= UNROLL_MAX:
+            # Unrolled: one plain expression per candidate, all inside codegen.
+            structs = [cand(F.lit(k), F.lit(len(k)), F.lit(o), F.lit(v)) for o, k, v in cands]
+            top = F.greatest(*structs) if len(structs) > 1 else structs[0]
+        else:
+            arr = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(k).alias("k"), F.lit(len(k)).alias("n"),
+                                     F.lit(v).alias("v")) for o, k, v in cands])
+            top = F.array_max(F.filter(F.transform(arr, lambda e: cand(e["k"], e["n"], e["o"], e["v"])),
+                                       lambda x: x.isNotNull()))
+
+    stage_cols = [c for _, c in stages]
+    none_before = F.lit(True)
+    for c in stage_cols:
+        none_before = none_before & c.isNull()
+    value = F.coalesce(*stage_cols, top["v"])
     method = None
-    for n, (name, _) in zip(names, stages):
-        c = F.col(n).isNotNull()
-        method = F.when(c, F.lit(name)) if method is None else method.when(c, F.lit(name))
-    method = method.when(ok, F.lit("fuzzy"))
-    return (out.withColumn("match_value", value).withColumn("match_method", method)
-            .withColumn("match_score", F.when(ok, F.col("__fz.s")))
-            .drop(*names, "__fz"))
+    for name, c in stages:
+        method = F.when(c.isNotNull(), F.lit(name)) if method is None else method.when(c.isNotNull(), F.lit(name))
+    method = method.when(top.isNotNull(), F.lit("fuzzy"))
+    score = F.when(none_before, top["s"])
+    return labels.select("__lab", value.alias("match_value"), method.alias("match_method"),
+                         score.alias("match_score"))
 
 
 def _lit_map(d: dict[str, str]) -> Column:
@@ -168,7 +185,14 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
                 dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
                            F.col(value_col).cast("string").alias("v"))
                 .filter(F.col("k").isNotNull()).collect()]
-        return _inline(left, label_col, rows, threshold, metric, mode)
+        # Resolve each distinct label once. The normalised probe is a grouping
+        # key, so the aggregate materialises it and the per-candidate scoring
+        # reads a column instead of re-deriving it; the result is joined back
+        # on the label (AQE broadcasts it when the distinct set is small).
+        lab = F.col(label_col).cast("string")
+        labels = left.select(lab.alias("__lab"), _probe(lab, mode).alias("__probe")).distinct()
+        res = _inline(labels, rows, threshold, metric, mode)
+        return left.join(res, lab.eqNullSafe(res["__lab"]), "left").drop("__lab")
     if mode != "label":
         raise ValueError("name resolution needs an inline-sized candidate list")
     return _banded(left, label_col, dim, key_col, value_col, ord_col, threshold, metric)
