@@ -96,7 +96,8 @@ def rollup(spark: SparkSession, col_means: DataFrame, nodes: Sequence[HierarchyN
     own = (F.broadcast(own_edges).join(cm, "column")
            .groupBy("label").agg(F.avg("col_mean").alias("own_real")))
     all_labels = spark.createDataFrame([(n.label,) for n in nodes], "label STRING")
-    own = F.broadcast(all_labels).join(own, "label", "left")
+    # Node-level tables have at most one row per configured node: broadcast them.
+    own = all_labels.join(F.broadcast(own), "label", "left")
     # No column with data -> (0, 0, 0), not C8(0).
     r, e4, e10 = _scores_from_mean(F.col("own_real"))
     own_scores = own.select("label", *[F.coalesce(c, F.lit(0.0)).alias(n)
@@ -111,7 +112,7 @@ def rollup(spark: SparkSession, col_means: DataFrame, nodes: Sequence[HierarchyN
             [(p, c) for p in parents for c in _rolled_children(by_label[p], default_agg)],
             "label STRING, child STRING")
         kids = done.select(F.col("label").alias("child"), "real", "scale4", "scale10")
-        agg = (F.broadcast(edges).join(kids, "child", "left").groupBy("label")
+        agg = (edges.join(F.broadcast(kids), "child", "left").groupBy("label")
                .agg(F.avg(zero_as_null("real")).alias("c_real"),
                     F.avg(zero_as_null("scale4")).alias("c_e4"),
                     F.avg(zero_as_null("scale10")).alias("c_e10")))
@@ -131,7 +132,7 @@ def hierarchy_report(answers: DataFrame, nodes: Sequence[HierarchyNode], default
     spark = answers.sparkSession
     scores = rollup(spark, column_means(answers, score_col, column_col), nodes, default_agg)
     order = spark.createDataFrame(list(enumerate(visit_order(nodes))), "node_ord INT, label STRING")
-    return (F.broadcast(order).join(scores, "label", "left")
+    return (order.join(F.broadcast(scores), "label", "left")
             .select("node_ord", F.col("label").alias("node"),
                     F.bround(zero_as_null("real"), 6).alias("real"),
                     zero_as_null("scale4").alias("scale4"),

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EMPTY_LIKE, norm_label, strip_numeric_prefix
 from ..operators.apportion import apportion
 from ..operators.segments import _normalised_variants, filter_ids
+from ..session import materialize
 from ..sources.dims import NPS_VARIANTS, DemographicGroup
 
 _SEP = "\u0001"
@@ -70,6 +71,9 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     long = sel.select("row_ord", F.col(nps_col).cast("string").alias("nps_raw"), F.inline(F.array(*elems)))
     pre = long.groupBy("group_ord", "raw", "nps_raw").agg(F.count(F.lit(1)).alias("n"),
                                                           F.min("row_ord").alias("first_row"))
+    # Several branches below read this small aggregate; write it once so the
+    # respondents are scanned (and unpivoted) a single time.
+    pre = materialize(pre, "demographics-pre")
 
     # NPS class and validity, once per distinct answer spelling.
     nn = norm_label(F.col("nps_raw"))

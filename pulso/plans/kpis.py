@@ -66,7 +66,8 @@ def cohort_share(cube: DataFrame) -> DataFrame:
     per = per.withColumn("n_sel", F.sum("n_cohort").over(Window.partitionBy()))
     dim = _cohort_dim(cube.sparkSession)
     n = F.coalesce("n_cohort", F.lit(0)).cast("bigint")
-    return (F.broadcast(dim).join(per, "cohort", "left")
+    # per has at most one row per cohort of the fixed vocabulary (+ blank): broadcast it.
+    return (dim.join(F.broadcast(per), "cohort", "left")
             .select("cohort_ord", "cohort", n.alias("n_cohort"),
                     pct(n, F.max("n_sel").over(Window.partitionBy())).alias("pct")))
 
@@ -95,12 +96,17 @@ def nps_overall(cube: DataFrame) -> DataFrame:
 
 
 def nps_by_cohort(cube: DataFrame) -> DataFrame:
-    """A10: A9 within each cohort; all four cohorts are always reported."""
-    per = cube.filter(F.col("cohort").isNotNull()).groupBy("cohort").agg(*_nps_cols())
-    dim = _cohort_dim(cube.sparkSession)
-    return (F.broadcast(dim).join(per, "cohort", "left")
-            .select("cohort_ord", "cohort", or_zero("nps").alias("nps"),
-                    *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("promoters", "detractors", "nps_base")]))
+    """A10: A9 within each cohort; all four cohorts are always reported.
+
+    One global aggregate over the cube builds a struct per configured cohort
+    and ``inline`` turns them into rows. A filter or join on ``cohort`` would be
+    pushed below the raw-spelling pre-aggregate (cohort is a function of a
+    grouping key) and normalise every respondent row instead of each spelling.
+    """
+    structs = [F.struct(F.lit(i).alias("cohort_ord"), F.lit(k).alias("cohort"),
+                        *_nps_cols(F.col("cohort") == F.lit(k))).alias(f"c{i}")
+               for i, k in enumerate(COHORT_KEYS)]
+    return cube.agg(*structs).select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(COHORT_KEYS))])))
 
 
 def nps_category_pct(cube: DataFrame) -> DataFrame:
@@ -134,11 +140,14 @@ def _question_dim(spark: SparkSession, questions: Sequence[Question]) -> DataFra
 def axis_scores(qscores: DataFrame, questions: Sequence[Question]) -> DataFrame:
     """Per axis, the mean of its question scores that are > 0, round 1 (0.0 if none)."""
     dim = _question_dim(qscores.sparkSession, questions)
-    j = F.broadcast(dim).join(qscores, "question_id", "left")
+    # Only configured questions are kept, so the broadcast side is bounded by the config.
+    mine = qscores.filter(F.col("question_id").isin([q.question_id for q in questions]))
+    j = dim.join(F.broadcast(mine), "question_id", "left")
     axes = list(dict.fromkeys(q.axis for q in questions if q.axis))
     adim = qscores.sparkSession.createDataFrame([(i, a) for i, a in enumerate(axes)], "axis_ord INT, axis STRING")
     per = j.groupBy("axis").agg(F.bround(F.avg(zero_as_null("score10")), 1).alias("axis_score"))
-    return F.broadcast(adim).join(per, "axis", "left").select("axis_ord", "axis", or_zero("axis_score").alias("axis_score"))
+    return adim.join(F.broadcast(per), "axis", "left").select("axis_ord", "axis",
+                                                              or_zero("axis_score").alias("axis_score"))
 
 
 def climate_index(axes: DataFrame) -> DataFrame:
@@ -184,7 +193,8 @@ def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[
     # yields every question column and every axis mean (scores > 0 only).
     qs = question_scores(answers, respondents, ids)
     axes = list(dict.fromkeys(q.axis for q in questions if q.axis))
-    qj = F.broadcast(_question_dim(qs.sparkSession, questions)).join(qs, "question_id", "left")
+    mine = qs.filter(F.col("question_id").isin([q.question_id for q in questions]))
+    qj = _question_dim(qs.sparkSession, questions).join(F.broadcast(mine), "question_id", "left")
     q_cols = [F.max(F.when(F.col("question_id") == q.question_id, F.col("score10"))).alias(f"q_{q.question_id}")
               for q in questions]
     q_cols += [F.bround(F.avg(F.when(F.col("axis") == a, zero_as_null("score10"))), 1).alias(f"axis_{a}")

@@ -58,3 +58,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="pulso-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a small intermediate that several branches of a plan
+    read, so the expensive input is scanned once, and a lost executor only
+    recomputes from the written table. The folder is the one named by
+    ``spark.checkpoint.dir`` (shared storage on a cluster).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pulso-stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
