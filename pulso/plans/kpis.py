@@ -160,12 +160,15 @@ def climate_index(axes: DataFrame) -> DataFrame:
 def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[Question],
                 universe: DataFrame | float | None = None, ids: Iterable | None = None,
                 cohort_col: str = "cohort_raw", nps_col: str = "nps_raw", response_col: str | None = None,
-                satisfaction_col: str | None = "satisfaction_raw", conditions_col: str | None = None) -> DataFrame:
+                satisfaction_col: str | None = "satisfaction_raw", conditions_col: str | None = None,
+                axis_members: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """One wide row: participation, cohort mix, satisfaction, climate index, NPS family,
     then each axis score followed by its question scores.
 
     ``universe`` is a number or a one-row DataFrame with a ``universe`` column
-    (e.g. a count over a population table). The respondent-side row, the
+    (e.g. a count over a population table). An axis score is the mean of the
+    non-zero scores of its members: ``axis_members[axis]`` when given (e.g.
+    sub-component columns), else the displayed questions of that axis. The respondent-side row, the
     answer-side row and the universe row are unioned and folded with ``max``
     (each column is non-null in exactly one of them), so no join is needed.
     """
@@ -191,15 +194,17 @@ def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[
 
     # Answer side in one pass: per-question scores, then one aggregate that
     # yields every question column and every axis mean (scores > 0 only).
-    qs = question_scores(answers, respondents, ids)
-    axes = list(dict.fromkeys(q.axis for q in questions if q.axis))
-    mine = qs.filter(F.col("question_id").isin([q.question_id for q in questions]))
-    qj = _question_dim(qs.sparkSession, questions).join(F.broadcast(mine), "question_id", "left")
-    q_cols = [F.max(F.when(F.col("question_id") == q.question_id, F.col("score10"))).alias(f"q_{q.question_id}")
-              for q in questions]
-    q_cols += [F.bround(F.avg(F.when(F.col("axis") == a, zero_as_null("score10"))), 1).alias(f"axis_{a}")
+    axes = list(axis_members) if axis_members else list(dict.fromkeys(q.axis for q in questions if q.axis))
+    members = {a: list(axis_members[a]) for a in axes} if axis_members else \
+        {a: [q.question_id for q in questions if q.axis == a] for a in axes}
+    needed = list(dict.fromkeys([q.question_id for q in questions] + [m for a in axes for m in members[a]]))
+    # Only configured columns are aggregated (the filter reaches the scan side).
+    qs = question_scores(answers.filter(F.col("question_id").isin(needed)), respondents, ids)
+    qid = F.col("question_id")
+    q_cols = [F.max(F.when(qid == q.question_id, F.col("score10"))).alias(f"q_{q.question_id}") for q in questions]
+    q_cols += [F.bround(F.avg(F.when(qid.isin(members[a]), zero_as_null("score10"))), 1).alias(f"axis_{a}")
                for a in axes]
-    q_row = qj.agg(*q_cols)
+    q_row = qs.agg(*q_cols)
     # Climate index: mean of the non-zero axis scores, from the axis columns of the row.
     valid = [F.when(F.col(f"axis_{a}") > 0, F.col(f"axis_{a}")) for a in axes]
     if valid:
