@@ -98,6 +98,32 @@ def q_question_matrix(spark, sf_dir):
     return question_matrix(fx.answers(spark, sf_dir), fx.respondents(spark, sf_dir), fx.FIXTURE_QUESTIONS)
 
 
+def _nation_template(spark, sf_dir):
+    """A template table derived from nation: one row per nation, whose question
+    is a question label kept, upper-cased with punctuation, missing a character,
+    or unrelated (the nation name)."""
+    n = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    labels = F.array(*[F.lit(q.label) for q in fx.FIXTURE_QUESTIONS])
+    k = F.col("n_nationkey").cast("bigint")
+    nq = len(fx.FIXTURE_QUESTIONS)
+    lab = F.element_at(labels, (k % nq + 1).cast("int"))
+    kind = (F.floor(k / nq) % 4).cast("int")
+    pos = (k % 20 + 1).cast("int")
+    question = (F.when(kind == 0, lab)
+                .when(kind == 1, F.concat(F.lit("¡"), F.upper(lab), F.lit("!")))
+                .when(kind == 2, F.concat(F.substring(lab, 1, pos - 1), F.expr("substring(__lab, __pos + 1)")))
+                .otherwise(F.col("n_name")))
+    return (n.withColumn("__lab", lab).withColumn("__pos", pos)
+            .select(k.alias("template_ord"), F.concat(F.lit("T"), k.cast("string")).alias("index"),
+                    question.alias("question"), F.col("n_name").alias("clima"), F.lit(None).cast("string").alias("ife"),
+                    F.col("n_regionkey").cast("double").alias("weight")))
+
+
+def q_question_matrix_template(spark, sf_dir):
+    return question_matrix(fx.answers(spark, sf_dir), fx.respondents(spark, sf_dir), fx.FIXTURE_QUESTIONS,
+                           template=_nation_template(spark, sf_dir), metric="levenshtein")
+
+
 def _perturbed_labels(spark, sf_dir):
     """One wanted label per part row: a question label kept, with a dropped
     character, upper-cased with punctuation, or replaced by the part name."""
@@ -292,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_kpis": q_survey_kpis,
     "survey_kpis_by_id": q_survey_kpis_by_id,
     "question_matrix": q_question_matrix,
+    "question_matrix_template": q_question_matrix_template,
     "label_match": q_label_match,
     "label_match_ratcliff": q_label_match_ratcliff,
     "label_unmatched": q_label_unmatched,

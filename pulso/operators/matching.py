@@ -179,12 +179,13 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
     """
     if metric not in ("ratcliff", "levenshtein"):
         raise ValueError(f"unknown metric {metric!r}")
-    n = dim.count()
-    if n <= max_inline:
-        rows = [(int(r[0]), r[1], r[2]) for r in
-                dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
-                           F.col(value_col).cast("string").alias("v"))
-                .filter(F.col("k").isNotNull()).collect()]
+    # One bounded job both checks the size and fetches an inline-sized dimension:
+    # at most max_inline + 1 rows ever reach the driver.
+    fetched = (dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
+                          F.col(value_col).cast("string").alias("v"))
+               .filter(F.col("k").isNotNull()).limit(max_inline + 1).collect())
+    if len(fetched) <= max_inline:
+        rows = [(int(r[0]), r[1], r[2]) for r in fetched]
         # Resolve each distinct label once. The normalised probe is a grouping
         # key, so the aggregate materialises it and the per-candidate scoring
         # reads a column instead of re-deriving it; the result is joined back

@@ -358,6 +358,33 @@ SELECT CAST(qd.q_ord AS BIGINT) AS template_ord, CAST(NULL AS VARCHAR) AS index,
   qd.question_id, {', '.join('sc.' + n for n, _ in segs)}
 FROM {qlab} LEFT JOIN sc ON qd.question_id = sc.question_id"""
 
+    q["question_matrix_template"] = with_views("", "respondents", "answers").rstrip() + f""",
+seg AS (SELECT r.row_ord, {coh} AS cohort, {cls} AS nps_class FROM respondents r),
+j AS (SELECT a.question_id, g.cohort, g.nps_class, {clip(num('a.score_raw'))} AS s FROM answers a JOIN seg g ON a.row_ord = g.row_ord),
+sc AS (SELECT question_id, {cols} FROM j GROUP BY question_id),
+lbl AS (SELECT * FROM {qlab.replace('AS qd(q_ord, question_id, label)', 'AS lb(ord, qid, label)')}),
+tpl AS (SELECT CAST(n.n_nationkey AS BIGINT) AS template_ord, 'T' || CAST(n.n_nationkey AS VARCHAR) AS index,
+  CASE (n.n_nationkey // {len(FIXTURE_QUESTIONS)}) % 4
+    WHEN 0 THEN l.label WHEN 1 THEN '¡' || upper(l.label) || '!'
+    WHEN 2 THEN substr(l.label, 1, CAST(n.n_nationkey % 20 AS INTEGER)) || substr(l.label, CAST(n.n_nationkey % 20 AS INTEGER) + 2)
+    ELSE n.n_name END AS question,
+  n.n_name AS clima, CAST(NULL AS VARCHAR) AS ife, CAST(n.n_regionkey AS DOUBLE) AS weight
+  FROM nation n JOIN lbl l ON l.ord = n.n_nationkey % {len(FIXTURE_QUESTIONS)}),
+nk AS (SELECT ord, qid, label, {loose('label')} AS nkey FROM lbl),
+ex AS (SELECT t.template_ord, max_by(nk.qid, nk.ord) AS ev FROM tpl t JOIN nk ON nk.label = t.question GROUP BY 1),
+nm AS (SELECT t.template_ord, max_by(nk.qid, nk.ord) AS nv FROM tpl t JOIN nk ON nk.nkey = {loose('t.question')} GROUP BY 1),
+fs AS (SELECT t.template_ord, nk.qid, nk.ord,
+  1 - levenshtein(nk.nkey, {loose('t.question')}) / CAST(greatest(length(nk.nkey), length({loose('t.question')})) AS DOUBLE) AS score
+  FROM tpl t, nk),
+best AS (SELECT template_ord, qid AS fv, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY template_ord ORDER BY score DESC, ord) AS rn FROM fs) x WHERE rn = 1),
+m AS (SELECT t.*, COALESCE(ex.ev, nm.nv, CASE WHEN best.score >= 0.75 THEN best.fv END) AS question_id
+  FROM tpl t LEFT JOIN ex ON t.template_ord = ex.template_ord LEFT JOIN nm ON t.template_ord = nm.template_ord
+  LEFT JOIN best ON t.template_ord = best.template_ord)
+SELECT m.template_ord, m.index, m.question, m.clima, m.ife, m.weight, m.question_id,
+  {', '.join('sc.' + n for n, _ in segs)}
+FROM m LEFT JOIN sc ON m.question_id = sc.question_id"""
+
     nq = len(FIXTURE_QUESTIONS)
     lbl = "(VALUES " + ", ".join(f"({i}, '{x.question_id}', {_q(x.label)})" for i, x in enumerate(FIXTURE_QUESTIONS)) + \
         ") AS lbl(ord, qid, label)"
