@@ -76,3 +76,8 @@ def zero_as_null(v: Column | str) -> Column:
 def or_zero(v: Column | str) -> Column:
     """Report surface: NULL -> 0.0."""
     return F.coalesce(_as_col(v), F.lit(0.0))
+
+
+def fixed(v: Column | str, decimals: int) -> Column:
+    """Display text with a fixed number of decimals (for report rendering only)."""
+    return F.format_string(f"%.{int(decimals)}f", _as_col(v))

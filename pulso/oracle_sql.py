@@ -200,7 +200,7 @@ SELECT raw, {norm('raw')} AS norm, {loose('raw')} AS norm_loose, trim(regexp_rep
 FROM v"""
     q["label_normalize"] = q["label_normalize"].replace("\n, v AS (", ",\nv AS (")
     q["text_normalize"] = f"""SELECT doc_id, {norm('text')} AS norm, {loose('text')} AS norm_loose
-FROM documents WHERE lang IN ('es', 'fr', 'de')"""
+FROM documents"""
     q["numeric_coerce_clip"] = ans + f"""SELECT score_raw, {num('score_raw')} AS num, {clip(num('score_raw'))} AS clipped,
   count(*) AS n FROM answers GROUP BY score_raw"""
     q["scale_convert"] = ans + f"""SELECT question_id, avg(s) AS mean4, round_even(avg(s), 1) AS mean4_r1, {conv10('avg(s)')} AS score10

@@ -33,6 +33,16 @@ def _mean(prefix: str, cond: Column | None = None, scale: int = 2) -> Column:
     return or_zero(F.bround(F.try_divide(F.sum(s), F.sum(c).cast("double")), scale))
 
 
+def parse_universe(value: float | int | str | None) -> float:
+    """C14: the universe size as a number; text may use a decimal comma ("1,5"); blank -> 0."""
+    if value is None:
+        return 0.0
+    if isinstance(value, str):
+        raw = value.strip()
+        return float(raw.replace(",", ".")) if raw else 0.0
+    return float(value)
+
+
 def kpi_cube(respondents: DataFrame, ids: Iterable | None = None, cohort_col: str = "cohort_raw",
              nps_col: str = "nps_raw", response_col: str | None = None,
              satisfaction_col: str | None = "satisfaction_raw", conditions_col: str | None = None,
@@ -176,7 +186,7 @@ def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[
     if isinstance(universe, DataFrame):
         u_col = F.col("universe")
     else:
-        u_col = F.lit(float(universe) if universe is not None else 0.0)
+        u_col = F.lit(parse_universe(universe))
     responses = _n_where(F.col("responded"))
     n_sel = _n_where(F.lit(True))
     r_cols = [responses.alias("respuestas")]

@@ -51,12 +51,13 @@ def segment_scores(answers: DataFrame, respondents: DataFrame, ids: Iterable | N
 def question_matrix(answers: DataFrame, respondents: DataFrame, questions: Sequence[Question],
                     template: DataFrame | None = None, ids: Iterable | None = None,
                     cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
-                    metric: str = "ratcliff", threshold: float = 0.75) -> DataFrame:
+                    metric: str = "ratcliff", threshold: float = 0.75, diagnostics: bool = False) -> DataFrame:
     """One row per template row (or per question when no template is given).
 
     ``template`` columns: template_ord, index, question, clima, ife, weight
     (see ``dims.template_from_table``). Unmatched rows keep their metadata and
-    get NULL scores. The weight is carried, never applied.
+    get NULL scores. The weight is carried, never applied. ``diagnostics``
+    adds how each row was matched (exact / normalized / fuzzy) and the fuzzy score.
     """
     spark = answers.sparkSession
     qdim = question_dim(spark, list(questions))
@@ -68,5 +69,6 @@ def question_matrix(answers: DataFrame, respondents: DataFrame, questions: Seque
     matched = match_labels(template, "question", qdim, "label", "question_id", "ord", threshold, metric)
     scores = segment_scores(answers, respondents, ids, cohort_col, nps_col)
     out = matched.join(scores, matched["match_value"] == scores["question_id"], "left")
+    extra = ["match_method", "match_score"] if diagnostics else []
     return out.select("template_ord", "index", "question", "clima", "ife", "weight",
-                      F.col("match_value").alias("question_id"), *SEGMENT_COLS)
+                      F.col("match_value").alias("question_id"), *SEGMENT_COLS, *extra)

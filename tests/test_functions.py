@@ -75,3 +75,13 @@ def test_pct_and_safe_ratio(spark):
     df = spark.createDataFrame([(1, 3), (0, 0), (5, None)], "a INT, b INT")
     got = [tuple(r) for r in df.select(N.pct("a", "b"), N.safe_ratio("a", "b")).collect()]
     assert got == [(33.33, 1 / 3), (0.0, 0.0), (0.0, 0.0)]
+
+
+def test_fixed_and_universe(spark):
+    from pulso.plans.kpis import parse_universe
+
+    df = spark.createDataFrame([(4.25,), (10.0,)], "v DOUBLE")
+    # display text only: the JVM formatter rounds ties half-up
+    assert [r[0] for r in df.select(N.fixed("v", 1)).collect()] == ["4.3", "10.0"]
+    assert [r[0] for r in df.select(N.fixed("v", 2)).collect()] == ["4.25", "10.00"]
+    assert (parse_universe("1,5"), parse_universe(" "), parse_universe(None), parse_universe(12)) == (1.5, 0.0, 0.0, 12.0)

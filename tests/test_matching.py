@@ -70,3 +70,17 @@ def test_name_resolution_prefix_then_fuzzy(spark):
     assert out["resumen "] == ("Resumen", "prefix")
     assert out["Dtos B"] == ("Datos B", "fuzzy")
     assert out["zzz"] == (None, None)
+
+
+def test_question_matrix_diagnostics(spark):
+    from pulso.plans.question_matrix import question_matrix
+    from pulso.sources.dims import Question
+
+    answers = spark.createDataFrame([(1, "Q1", "4")], "row_ord BIGINT, question_id STRING, score_raw STRING")
+    resp = spark.createDataFrame([(1, "1", "gen z", "Entusiasta")], "row_ord BIGINT, id STRING, cohort_raw STRING, nps_raw STRING")
+    tpl = spark.createDataFrame([(0, "1", "¿Cómo es la cultura?", None, None, 1.0), (1, "2", "cultura como es la", None, None, None)],
+                                "template_ord BIGINT, index STRING, question STRING, clima STRING, ife STRING, weight DOUBLE")
+    out = question_matrix(answers, resp, [Question("Q1", "Como es la cultura")], template=tpl, diagnostics=True)
+    rows = {r.template_ord: r for r in out.collect()}
+    assert (rows[0].question_id, rows[0].match_method, rows[0].general, rows[0].centenialls) == ("Q1", "normalized", 10.0, 10.0)
+    assert rows[1].question_id is None and rows[1].general is None and rows[1].weight is None
