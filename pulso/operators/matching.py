@@ -48,11 +48,13 @@ def _py_lower(s: str) -> str:
 
 
 def _probe(lab: Column, mode: str) -> Column:
+    if mode not in ("label", "name", "best"):
+        raise ValueError(f"unknown mode {mode!r}")
     return norm_label_loose(lab) if mode == "label" else F.lower(F.trim(lab))
 
 
 def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold: float,
-            metric: str, mode: str) -> DataFrame:
+            metric: str, mode: str, sole_fallback: bool = False) -> DataFrame:
     """Resolve distinct labels (``__lab``, ``__probe``) against a literal, size-checked dimension."""
     lab = F.col("__lab")
     probe = F.col("__probe")
@@ -68,6 +70,15 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
             fuzzy_keys[nk] = (first_ord, v)  # position of first occurrence, value of the last
         stages.append(("exact", F.element_at(_lit_map(exact), lab)))
         stages.append(("normalized", F.element_at(_lit_map({k: v for k, (_, v) in fuzzy_keys.items()}), probe)))
+    elif mode == "best":  # exact name, else the best fuzzy name (no threshold), else the first one
+        fuzzy_keys = {}
+        for o, k, v in rows:
+            fuzzy_keys.setdefault(_py_lower(k), (o, v))
+        exact_name = {}
+        for o, k, v in rows:
+            exact_name.setdefault(k, v)
+        stages.append(("exact", F.element_at(_lit_map(exact_name), lab)))
+        threshold = 0.0
     else:  # "name": case-insensitive equality or prefix, first dimension row wins
         fuzzy_keys = {}
         for o, k, v in rows:
@@ -114,11 +125,16 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
     none_before = F.lit(True)
     for c in stage_cols:
         none_before = none_before & c.isNull()
-    value = F.coalesce(*stage_cols, top["v"])
+    fallback = None
+    if rows and (mode == "best" or (mode == "name" and sole_fallback and len(rows) == 1)):
+        fallback = F.lit(sorted(rows)[0][2])  # first (or only) candidate
+    value = F.coalesce(*stage_cols, top["v"], *([fallback] if fallback is not None else []))
     method = None
     for name, c in stages:
         method = F.when(c.isNotNull(), F.lit(name)) if method is None else method.when(c.isNotNull(), F.lit(name))
     method = method.when(top.isNotNull(), F.lit("fuzzy"))
+    if fallback is not None:
+        method = method.when(lab.isNotNull(), F.lit("fallback"))
     score = F.when(none_before, top["s"])
     return labels.select("__lab", value.alias("match_value"), method.alias("match_method"),
                          score.alias("match_score"))
@@ -171,9 +187,15 @@ def _banded(left: DataFrame, label_col: str, dim: DataFrame, key_col: str, value
 
 def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str = "label",
                  value_col: str = "question_id", ord_col: str = "ord", threshold: float = 0.75,
-                 metric: str = "ratcliff", mode: str = "label", max_inline: int = 5000) -> DataFrame:
+                 metric: str = "ratcliff", mode: str = "label", max_inline: int = 5000,
+                 sole_fallback: bool = False) -> DataFrame:
     """Add match_value / match_method / match_score to ``left``.
 
+    ``mode``: "label" (exact -> normalised -> fuzzy >= threshold), "name"
+    (case-insensitive equality/prefix -> fuzzy >= threshold; with
+    ``sole_fallback`` a one-row candidate list matches anything left) or "best"
+    (exact -> best fuzzy without threshold -> first candidate).
+
     ``metric``: "ratcliff" (reference ratio, pandas UDF) or "levenshtein"
     (native). The dimension is inlined only after its row count is checked.
     """
@@ -192,7 +214,7 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
         # on the label (AQE broadcasts it when the distinct set is small).
         lab = F.col(label_col).cast("string")
         labels = left.select(lab.alias("__lab"), _probe(lab, mode).alias("__probe")).distinct()
-        res = _inline(labels, rows, threshold, metric, mode)
+        res = _inline(labels, rows, threshold, metric, mode, sole_fallback)
         return left.join(res, lab.eqNullSafe(res["__lab"]), "left").drop("__lab")
     if mode != "label":
         raise ValueError("name resolution needs an inline-sized candidate list")

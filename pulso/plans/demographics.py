@@ -190,16 +190,22 @@ def apportion_share(indexed: DataFrame) -> DataFrame:
 
 
 def apportion_nps(indexed: DataFrame) -> DataFrame:
-    """The three NPS shares of a group rescaled to 100 hundredths over all its rows."""
+    """The three NPS shares of a group rescaled to 100 hundredths over all its rows.
+
+    The row's other columns ride along through the 3-way unpivot and are folded
+    back by the same aggregate that pivots the measures, so no join is needed.
+    """
     measures = ("pct_detractores", "pct_pasivos", "pct_entusiastas")
-    long = indexed.select("group_ord", "index", F.inline(F.array(*[
+    keep = [c for c in indexed.columns if c not in measures and c not in ("group_ord", "index")]
+    long = indexed.select("group_ord", "index", F.struct(*keep).alias("__row"), F.inline(F.array(*[
         F.struct(F.lit(m).alias("m_ord"),
                  F.bround(F.col(c) * F.lit(100.0), 0).cast("bigint").alias("h")) for m, c in enumerate(measures)])))
     app = apportion(long, ["group_ord"], "h", 100, ["index", "m_ord"], "v")
     wide = app.groupBy("group_ord", "index").agg(
+        F.first("__row").alias("__row"),
         *[F.coalesce(F.max(F.when(F.col("m_ord") == m, F.col("v"))), F.lit(0.0)).alias(c)
           for m, c in enumerate(measures)])
-    return indexed.drop(*measures).join(wide, ["group_ord", "index"])
+    return wide.select("group_ord", "index", "__row.*", *measures)
 
 
 def display_label(label_mode: str = "raw") -> Column:

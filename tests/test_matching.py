@@ -84,3 +84,14 @@ def test_question_matrix_diagnostics(spark):
     rows = {r.template_ord: r for r in out.collect()}
     assert (rows[0].question_id, rows[0].match_method, rows[0].general, rows[0].centenialls) == ("Q1", "normalized", 10.0, 10.0)
     assert rows[1].question_id is None and rows[1].general is None and rows[1].weight is None
+
+
+def test_best_and_sole_fallback(spark):
+    names = spark.createDataFrame([(0, "Datos A2"), (1, "Resumen")], "o INT, n STRING")
+    left = spark.createDataFrame([("Resumen",), ("datos a3",), ("zzz",)], "w STRING")
+    out = {r.w: (r.match_value, r.match_method) for r in
+           match_labels(left, "w", names, "n", "n", "o", metric="ratcliff", mode="best").collect()}
+    assert out == {"Resumen": ("Resumen", "exact"), "datos a3": ("Datos A2", "fuzzy"), "zzz": ("Datos A2", "fallback")}
+    only = spark.createDataFrame([(0, "Hoja1")], "o INT, n STRING")
+    got = match_labels(left, "w", only, "n", "n", "o", threshold=0.6, mode="name", sole_fallback=True).collect()
+    assert {r.match_value for r in got} == {"Hoja1"}
