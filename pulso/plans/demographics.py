@@ -2,8 +2,7 @@
 
 Plan:
 
-1. one ``inline`` unpivot of the configured demographic columns (plus one
-   "all respondents" element for the survey-wide NPS denominator);
+1. one ``inline`` unpivot of the configured demographic columns;
 2. a pre-aggregate on (group, raw value, raw NPS answer) with the first-seen
    row — map-side partial aggregation collapses the fan-out before the
    shuffle, and a hot value costs one row per map task;
@@ -67,7 +66,8 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     sel = filter_ids(respondents, ids)
     active = active_groups(groups, sel.columns)
     elems = [F.struct(F.lit(i).alias("group_ord"), F.col(g.column).cast("string").alias("raw")) for i, g in active]
-    elems.append(F.struct(F.lit(_ALL).alias("group_ord"), F.lit(None).cast("string").alias("raw")))
+    if not elems:  # no configured column exists: empty report with the right schema
+        elems = [F.struct(F.lit(_ALL).alias("group_ord"), F.lit(None).cast("string").alias("raw"))]
     long = sel.select("row_ord", F.col(nps_col).cast("string").alias("nps_raw"), F.inline(F.array(*elems)))
     pre = long.groupBy("group_ord", "raw", "nps_raw").agg(F.count(F.lit(1)).alias("n"),
                                                           F.min("row_ord").alias("first_row"))
@@ -83,10 +83,12 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
         cls = F.when(cond, F.lit(code)) if cls is None else cls.when(cond, F.lit(code))
     pre = (pre.withColumn("__nn", nn).withColumn("nps_cls", cls)
            .withColumn("nps_valid", F.coalesce(~F.col("__nn").isin(*EMPTY_LIKE), F.lit(False))).drop("__nn"))
-    # Survey-wide valid-NPS count: a one-row aggregate, joined by broadcast below.
-    glob = (pre.filter((F.col("group_ord") == _ALL) & F.col("nps_valid"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("global_nps")).withColumn("__one", F.lit(1)))
-    pre = pre.filter(F.col("group_ord") != _ALL)
+    # Survey-wide valid-NPS count: every group's unpivot holds each respondent
+    # exactly once, so it is the group's own sum (a window per group over the
+    # small pre-aggregate; no join, no extra pass).
+    pre = (pre.withColumn("global_nps", F.sum(F.when(F.col("nps_valid"), F.col("n")).otherwise(F.lit(0)))
+                          .over(Window.partitionBy("group_ord")))
+           .filter(F.col("group_ord") != _ALL))
 
     # Label resolution: normalise map (keys normalised too), then ordered-label auto-map.
     g = F.col("group_ord")
@@ -119,13 +121,14 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     pre = pre.filter(F.coalesce(~norm_label(F.col("label")).isin(*EMPTY_LIKE), F.lit(False)))
     per_raw = pre.groupBy("group_ord", "label", "raw").agg(
         F.sum("n").alias("n_raw"), F.min("first_row").alias("first_raw"),
-        *[F.sum(F.when(F.col("nps_cls") == c, F.col("n")).otherwise(F.lit(0))).alias(c) for c in ("D", "P", "E")])
+        *[F.sum(F.when(F.col("nps_cls") == c, F.col("n")).otherwise(F.lit(0))).alias(c) for c in ("D", "P", "E")],
+        F.max("global_nps").alias("global_nps"))
     per_label = per_raw.groupBy("group_ord", "label").agg(
         F.sum("n_raw").alias("general"), F.min("first_raw").alias("first_seen"),
         F.max_by("raw", F.struct(F.col("n_raw"), -F.col("first_raw"))).alias("display_raw"),
-        F.sum("D").alias("detractores"), F.sum("P").alias("pasivos"), F.sum("E").alias("entusiastas"))
-    per_label = (per_label.join(first_of_raw, ["group_ord", "label"], "left")
-                 .withColumn("__one", F.lit(1)).join(F.broadcast(glob), "__one").drop("__one"))
+        F.sum("D").alias("detractores"), F.sum("P").alias("pasivos"), F.sum("E").alias("entusiastas"),
+        F.max("global_nps").alias("global_nps"))
+    per_label = per_label.join(first_of_raw, ["group_ord", "label"], "left")
     big = F.lit(1 << 62)
     olen = _lit_map(order_len)
     explicit_idx = F.coalesce(F.element_at(pos_map, _key(g, F.col("label"))).cast("bigint"),
