@@ -78,8 +78,12 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
         return answers.groupBy("question_id").agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
     keys = [c for c in (cohort_col, nps_col) if c in respondents.columns]
     seg = respondents.select("row_ord", *keys)
-    raw = (answers.join(seg, "row_ord")
-           .groupBy("question_id", *keys).agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt")))
+    # Parse/clip before the join and keep only answers with a value: the join
+    # shuffles (row_ord, question_id, double) for valid answers only, and
+    # missing answers would add nothing to a sum or a count anyway.
+    scored = answers.select("row_ord", "question_id", s.alias("s")).filter(F.col("s").isNotNull())
+    raw = (scored.join(seg, "row_ord")
+           .groupBy("question_id", *keys).agg(F.sum("s").alias("s_sum"), F.count("s").alias("s_cnt")))
     cls = with_segments(raw, cohort_col, nps_col, loose=loose)
     return cls.groupBy("question_id", "cohort", "nps_class").agg(F.sum("s_sum").alias("s_sum"),
                                                                  F.sum("s_cnt").alias("s_cnt"))
