@@ -54,3 +54,14 @@ def test_answer_cuboid_reads_pruned_columns(spark):
     plan = _final(entry.queries()["question_scores"](spark, SF))
     read = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert read == ["struct<l_linenumber:int,l_quantity:double>"]
+
+
+def test_integral_id_filter_is_pushed_to_parquet(spark, tmp_path):
+    from pulso.operators.segments import filter_ids
+
+    path = str(tmp_path / "ids.parquet")
+    spark.range(0, 1000).withColumnRenamed("id", "cust").write.parquet(path)
+    df = filter_ids(spark.read.parquet(path), ["7", " 42 "], "cust")
+    assert sorted(r.cust for r in df.collect()) == [7, 42]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(cust", plan)

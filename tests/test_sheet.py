@@ -67,3 +67,18 @@ def test_sheet_kpis_match_canonical(spark):
     assert {r.grupo for r in dem} == {"SEG"}
     assert sum(r.general for r in dem) == fx.respondents(spark, SF).count()
     assert reports["comentarios"].columns[0] == "id"
+
+
+def test_sheet_hierarchy_with_letter_mapping(spark):
+    from pulso.sources.dims import HierarchyNode
+
+    nodes = [HierarchyNode("Top", "group", ("ib",), ("A", "B")),
+             HierarchyNode("A", "value", ("ic", "id")), HierarchyNode("B", "value", ("ie",))]
+    reports = sheet_reports(_sheet(spark), hierarchy=nodes, universe=1.0, row_ord_col="row_ord")
+    out = {r.node: r.scale4 for r in reports["indice_clima"].collect()}
+    cells = fx.answers(spark, SF).groupBy("row_ord", "question_id").agg(F.min("score_raw").alias("score_raw"))
+    from pulso.operators.hierarchy import hierarchy_report
+    canon = [HierarchyNode("Top", "group", ("q9",), ("A", "B")),
+             HierarchyNode("A", "value", ("q1", "q2")), HierarchyNode("B", "value", ("q3",))]
+    ref = {r.node: r.scale4 for r in hierarchy_report(cells, canon).collect()}
+    assert out == ref and out["Top"] is not None
