@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import likert_score, scale4_to_10, zero_as_null
+from ..functions.numeric import TEN_OVER_THREE, likert_score, zero_as_null
 from ..sources.dims import HierarchyNode
 
 
@@ -74,66 +74,95 @@ def column_means(answers: DataFrame, score_col: str = "score_raw", column_col: s
             .filter(F.col("col_mean").isNotNull()))
 
 
-def _scores_from_mean(real):
-    e4 = F.bround(real, 1)
-    return real, e4, scale4_to_10(e4)
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def rollup(spark: SparkSession, col_means: DataFrame, nodes: Sequence[HierarchyNode],
-           default_agg: str = "unweighted") -> DataFrame:
-    """(label, real, scale4, scale10) per node; 0.0 means "no data".
+def _mean_nonzero_sql(values: list[str]) -> str:
+    """Mean of the values that are non-NULL and != 0 (in child order); NULL if none."""
+    total = " + ".join(f"(CASE WHEN {v} != 0 THEN {v} ELSE 0.0D END)" for v in values)
+    count = " + ".join(f"(CASE WHEN {v} != 0 THEN 1 ELSE 0 END)" for v in values)
+    return f"(CASE WHEN ({count}) > 0 THEN ({total}) / ({count}) END)"
+
+
+def _conv10_sql(e4: str) -> str:
+    return f"bround((bround({e4}, 1) - 1.0D) * {TEN_OVER_THREE!r}D, 1)"
+
+
+def _rollup_row(col_means: DataFrame, nodes: Sequence[HierarchyNode], default_agg: str) -> DataFrame:
+    """One row with columns r{i}, e4_{i}, e10_{i} per node i; 0.0 means "no data".
 
     value node: real = mean of its columns' means, scale4 = round(real, 1),
     scale10 = C8(scale4). group node (unweighted, with children): each measure
     is the mean of the children's values > 0 (scale4/scale10 re-rounded to 1
     dp, real unrounded); if no child is valid in any measure, or the group is
     not rolled up, the group's own columns are used as for a value node.
-    """
-    own_edges = spark.createDataFrame(
-        [(n.label, c.lower()) for n in nodes for c in n.columns] or [("", "")], "label STRING, column STRING"
-    ).filter(F.col("label") != "")
-    cm = col_means.select(F.lower(F.col("column")).alias("column"), "col_mean")
-    own = (F.broadcast(own_edges).join(cm, "column")
-           .groupBy("label").agg(F.avg("col_mean").alias("own_real")))
-    all_labels = spark.createDataFrame([(n.label,) for n in nodes], "label STRING")
-    # Node-level tables have at most one row per configured node: broadcast them.
-    own = all_labels.join(F.broadcast(own), "label", "left")
-    # No column with data -> (0, 0, 0), not C8(0).
-    r, e4, e10 = _scores_from_mean(F.col("own_real"))
-    own_scores = own.select("label", *[F.coalesce(c, F.lit(0.0)).alias(n)
-                                       for c, n in ((r, "real"), (e4, "scale4"), (e10, "scale10"))])
 
+    The tree is configuration, so every node becomes three columns of a single
+    row: one conditional aggregate over the (configured) column means gives
+    each node's own-column mean, and each level of the tree is a projection
+    over its children's columns - no joins and no per-level shuffles. The
+    expressions are SQL text, parsed once per projection on the JVM side.
+    """
+    idx = {n.label: i for i, n in enumerate(nodes)}
+    wanted = sorted({c.lower() for n in nodes for c in n.columns})
+    cm = (col_means.select(F.lower(F.col("column")).alias("column"), "col_mean")
+          .filter(F.col("column").isin(wanted or [""])))
+
+    def in_list(cols) -> str:
+        return ", ".join(_sql_str(c.lower()) for c in cols) or "''"
+
+    row = cm.agg(*[F.expr(f"avg(CASE WHEN column IN ({in_list(n.columns)}) THEN col_mean END)").alias(f"o{i}")
+                   for i, n in enumerate(nodes)])
+    # Own-column scores; no column with data -> (0, 0, 0), not C8(0).
+    exprs = []
+    for i in range(len(nodes)):
+        exprs += [f"coalesce(o{i}, 0.0D) AS r{i}", f"coalesce(bround(o{i}, 1), 0.0D) AS e4_{i}",
+                  f"coalesce({_conv10_sql(f'bround(o{i}, 1)')}, 0.0D) AS e10_{i}"]
+    row = row.selectExpr(*exprs)
     h = heights(nodes, default_agg)
-    by_label = {n.label: n for n in nodes}
-    done = own_scores.filter(F.col("label").isin([lab for lab, v in h.items() if v == 0] or [""]))
     for level in range(1, max(h.values(), default=0) + 1):
-        parents = [lab for lab, v in h.items() if v == level]
-        edges = spark.createDataFrame(
-            [(p, c) for p in parents for c in _rolled_children(by_label[p], default_agg)],
-            "label STRING, child STRING")
-        kids = done.select(F.col("label").alias("child"), "real", "scale4", "scale10")
-        agg = (edges.join(F.broadcast(kids), "child", "left").groupBy("label")
-               .agg(F.avg(zero_as_null("real")).alias("c_real"),
-                    F.avg(zero_as_null("scale4")).alias("c_e4"),
-                    F.avg(zero_as_null("scale10")).alias("c_e10")))
-        any_valid = F.col("c_real").isNotNull() | F.col("c_e4").isNotNull() | F.col("c_e10").isNotNull()
-        lvl = (own_scores.filter(F.col("label").isin(parents)).join(agg, "label", "left")
-               .select("label",
-                       F.when(any_valid, F.coalesce("c_real", F.lit(0.0))).otherwise(F.col("real")).alias("real"),
-                       F.when(any_valid, F.coalesce(F.bround("c_e4", 1), F.lit(0.0))).otherwise(F.col("scale4")).alias("scale4"),
-                       F.when(any_valid, F.coalesce(F.bround("c_e10", 1), F.lit(0.0))).otherwise(F.col("scale10")).alias("scale10")))
-        done = done.unionByName(lvl)
-    return done
+        changed = {}
+        for lab in [lab for lab, v in h.items() if v == level]:
+            i = idx[lab]
+            kids = [idx[c] for c in _rolled_children(nodes[i], default_agg)]
+            cr = _mean_nonzero_sql([f"r{k}" for k in kids])
+            c4 = _mean_nonzero_sql([f"e4_{k}" for k in kids])
+            c10 = _mean_nonzero_sql([f"e10_{k}" for k in kids])
+            valid = f"({cr} IS NOT NULL OR {c4} IS NOT NULL OR {c10} IS NOT NULL)"
+            changed[f"r{i}"] = f"CASE WHEN {valid} THEN coalesce({cr}, 0.0D) ELSE r{i} END"
+            changed[f"e4_{i}"] = f"CASE WHEN {valid} THEN coalesce(bround({c4}, 1), 0.0D) ELSE e4_{i} END"
+            changed[f"e10_{i}"] = f"CASE WHEN {valid} THEN coalesce(bround({c10}, 1), 0.0D) ELSE e10_{i} END"
+        row = row.selectExpr(*[f"{changed[c]} AS {c}" if c in changed else c for c in row.columns])
+    return row
+
+
+def _inline_nodes(row: DataFrame, items: list[tuple[dict, int]]) -> DataFrame:
+    """Unpivot the one-row table into one row per (fixed fields, node index)."""
+    structs = []
+    for fields, i in items:
+        head = ", ".join(f"{_sql_str(k)}, {v if isinstance(v, int) else _sql_str(v)}" for k, v in fields.items())
+        structs.append(f"named_struct({head}, 'real', r{i}, 'scale4', e4_{i}, 'scale10', e10_{i})")
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def rollup(spark: SparkSession, col_means: DataFrame, nodes: Sequence[HierarchyNode],
+           default_agg: str = "unweighted") -> DataFrame:
+    """(label, real, scale4, scale10) per node; 0.0 means "no data" (see ``_rollup_row``)."""
+    del spark  # kept for API compatibility
+    row = _rollup_row(col_means, nodes, default_agg)
+    return _inline_nodes(row, [({"label": n.label}, i) for i, n in enumerate(nodes)])
 
 
 def hierarchy_report(answers: DataFrame, nodes: Sequence[HierarchyNode], default_agg: str = "unweighted",
                      score_col: str = "score_raw", column_col: str = "question_id") -> DataFrame:
     """node_ord (depth-first visit), node, real (6 dp), scale4, scale10; 0 -> NULL (C17)."""
-    spark = answers.sparkSession
-    scores = rollup(spark, column_means(answers, score_col, column_col), nodes, default_agg)
-    order = spark.createDataFrame(list(enumerate(visit_order(nodes))), "node_ord INT, label STRING")
-    return (order.join(F.broadcast(scores), "label", "left")
-            .select("node_ord", F.col("label").alias("node"),
-                    F.bround(zero_as_null("real"), 6).alias("real"),
-                    zero_as_null("scale4").alias("scale4"),
-                    zero_as_null("scale10").alias("scale10")))
+    wanted = sorted({c.lower() for n in nodes for c in n.columns})
+    # Only configured columns are aggregated (the filter is applied before the shuffle).
+    sel = answers.filter(F.lower(F.col(column_col)).isin(wanted or [""]))
+    row = _rollup_row(column_means(sel, score_col, column_col), nodes, default_agg)
+    idx = {n.label: i for i, n in enumerate(nodes)}
+    # One output row per visit (a node under two parents appears twice), in depth-first order.
+    out = _inline_nodes(row, [({"node_ord": k, "node": lab}, idx[lab]) for k, lab in enumerate(visit_order(nodes))])
+    return out.select("node_ord", "node", F.bround(zero_as_null("real"), 6).alias("real"),
+                      zero_as_null("scale4").alias("scale4"), zero_as_null("scale10").alias("scale10"))
