@@ -62,11 +62,16 @@ def question_matrix(answers: DataFrame, respondents: DataFrame, questions: Seque
     spark = answers.sparkSession
     qdim = question_dim(spark, list(questions))
     if template is None:
-        template = qdim.select(F.col("ord").cast("bigint").alias("template_ord"),
-                               F.lit(None).cast("string").alias("index"), F.col("label").alias("question"),
-                               F.lit(None).cast("string").alias("clima"), F.lit(None).cast("string").alias("ife"),
-                               F.lit(None).cast("double").alias("weight"))
-    matched = match_labels(template, "question", qdim, "label", "question_id", "ord", threshold, metric)
+        # Fallback template = the question dimension itself: every row is its own
+        # exact match, so no matching job is needed.
+        matched = qdim.select(F.col("ord").cast("bigint").alias("template_ord"),
+                              F.lit(None).cast("string").alias("index"), F.col("label").alias("question"),
+                              F.lit(None).cast("string").alias("clima"), F.lit(None).cast("string").alias("ife"),
+                              F.lit(None).cast("double").alias("weight"),
+                              F.col("question_id").alias("match_value"), F.lit("exact").alias("match_method"),
+                              F.lit(None).cast("double").alias("match_score"))
+    else:
+        matched = match_labels(template, "question", qdim, "label", "question_id", "ord", threshold, metric)
     scores = segment_scores(answers, respondents, ids, cohort_col, nps_col)
     out = matched.join(scores, matched["match_value"] == scores["question_id"], "left")
     extra = ["match_method", "match_score"] if diagnostics else []
