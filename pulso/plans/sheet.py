@@ -11,9 +11,10 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 
 from ..operators.hierarchy import hierarchy_report
+from ..operators.segments import filter_ids
 from ..sources import layout
 from ..sources.dims import DemographicGroup, HierarchyNode
-from ..sources.letters import column_name, select_letters
+from ..sources.letters import column_name, index_to_letter, select_letters
 from .demographics import demographic_report
 from .kpis import survey_kpis
 from .question_matrix import question_matrix
@@ -25,21 +26,21 @@ def sheet_reports(sheet: DataFrame, hierarchy: Sequence[HierarchyNode] = (),
                   label_mode: str = "raw", default_agg: str = "unweighted") -> dict[str, DataFrame]:
     """{"consolidado", "por_pregunta", "indice_clima", "demografia", "comentarios"} -> DataFrame."""
     demo_groups = layout.resolve_groups(sheet, list(demographics))
-    extra = {g.column: g.column for g in demo_groups}  # keep demographic columns under their own name
-    roles = {name: letter for name, letter in ((n, _letter_of(sheet, n)) for n in extra) if letter}
+    # Demographic columns are kept in the respondents table under their own names.
+    roles = {g.column: _letter_of(sheet, g.column) for g in demo_groups if _letter_of(sheet, g.column)}
     respondents, answers = layout.split_sheet(sheet, row_ord_col, roles)
     questions, members = layout.kpi_questions()
     out = {
         "consolidado": survey_kpis(respondents, answers, questions, universe=universe, ids=ids,
                                    conditions_col="conditions_raw", axis_members=members),
         "por_pregunta": question_matrix(answers, respondents, layout.matrix_questions(), template=template, ids=ids),
-        "comentarios": select_letters(sheet, layout.COMMENT_LETTERS, missing=""),
+        # ID filter first (the id lives at the "id" role letter), then the fixed projection.
+        "comentarios": select_letters(filter_ids(sheet, ids, column_name(sheet, layout.ROLE_LETTERS["id"]))
+                                      if ids else sheet, layout.COMMENT_LETTERS, missing=""),
     }
     if hierarchy:
         sel = answers
         if ids:
-            from ..operators.segments import filter_ids
-
             sel = answers.join(filter_ids(respondents, ids).select("row_ord"), "row_ord", "left_semi")
         out["indice_clima"] = hierarchy_report(sel, list(hierarchy), default_agg)
     if demo_groups:
@@ -48,11 +49,6 @@ def sheet_reports(sheet: DataFrame, hierarchy: Sequence[HierarchyNode] = (),
 
 
 def _letter_of(sheet: DataFrame, name: str) -> str | None:
-    from ..sources.letters import index_to_letter
-
     if name in sheet.columns:
         return index_to_letter(sheet.columns.index(name))
     return None
-
-
-__all__ = ["sheet_reports", "column_name"]

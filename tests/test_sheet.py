@@ -82,3 +82,12 @@ def test_sheet_hierarchy_with_letter_mapping(spark):
              HierarchyNode("A", "value", ("q1", "q2")), HierarchyNode("B", "value", ("q3",))]
     ref = {r.node: r.scale4 for r in hierarchy_report(cells, canon).collect()}
     assert out == ref and out["Top"] is not None
+
+
+def test_sheet_comments_respect_id_filter(spark):
+    sheet = _sheet(spark)
+    some_id = sheet.select("c0").first()[0]
+    reports = sheet_reports(sheet, universe=1.0, ids=[f" {some_id} "], row_ord_col="row_ord")
+    ids = {r.id for r in reports["comentarios"].collect()}
+    assert ids == {some_id}
+    assert reports["consolidado"].first()["respuestas"] <= sheet.filter(sheet.c0 == some_id).count()
