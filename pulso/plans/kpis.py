@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import or_zero, pct, safe_ratio, scale4_to_10, zero_as_null
 from ..operators.cuboid import answer_cuboid, respondent_cuboid
 from ..operators.segments import filter_ids
+from ..session import materialize
 from ..sources.dims import COHORT_KEYS, COHORT_SLUG, Question
 
 _VALID_NPS = ("promoter", "passive", "detractor", "unknown")
@@ -182,6 +183,12 @@ def survey_kpis(respondents: DataFrame, answers: DataFrame, questions: Sequence[
     answer-side row and the universe row are unioned and folded with ``max``
     (each column is non-null in exactly one of them), so no join is needed.
     """
+    if ids:
+        # Both the respondent cube and the answer semi-join read the selection:
+        # write it once so the respondents are scanned a single time.
+        respondents = materialize(filter_ids(respondents, ids), "kpi-selection")
+        ids = None
+        answers = answers.join(respondents.select("row_ord"), "row_ord", "left_semi")
     cube = kpi_cube(respondents, ids, cohort_col, nps_col, response_col, satisfaction_col, conditions_col)
     if isinstance(universe, DataFrame):
         u_col = F.col("universe")
