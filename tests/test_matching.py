@@ -95,3 +95,44 @@ def test_best_and_sole_fallback(spark):
     only = spark.createDataFrame([(0, "Hoja1")], "o INT, n STRING")
     got = match_labels(left, "w", only, "n", "n", "o", threshold=0.6, mode="name", sole_fallback=True).collect()
     assert {r.match_value for r in got} == {"Hoja1"}
+
+
+def test_ratcliff_query_against_brute_force(spark):
+    """label_match_ratcliff (no SQL equivalent) vs a plain-Python cascade over every part row."""
+    import unicodedata
+
+    import pandas as pd
+
+    import __spark_entry__ as entry
+    from pulso.sources.fixtures import FIXTURE_QUESTIONS
+
+    sf = "/root/testdata/sf0.001"
+
+    def loose(s):
+        s = "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")
+        s = " ".join(s.split()).strip().lower()
+        return "".join(ch for ch in s if ch.isalnum() or ch.isspace())
+
+    labels = [q.label for q in FIXTURE_QUESTIONS]
+    ids = [q.question_id for q in FIXTURE_QUESTIONS]
+    exact = dict(zip(labels, ids))
+    norm = {loose(lab): qid for lab, qid in zip(labels, ids)}
+    expected = {}
+    for k, name in pd.read_parquet(f"{sf}/part.parquet", columns=["p_partkey", "p_name"]).itertuples(index=False):
+        lab, kind, pos = labels[k % 7], (k // 7) % 4, k % 20 + 1
+        wanted = [lab, lab[:pos - 1] + lab[pos:], "¡" + lab.upper() + "!", name][kind]
+        if wanted in exact:
+            expected[k] = (exact[wanted], "exact")
+        elif loose(wanted) in norm:
+            expected[k] = (norm[loose(wanted)], "normalized")
+        else:
+            best, best_s = None, 0.0
+            for key, qid in norm.items():
+                s = SequenceMatcher(None, loose(wanted), key).ratio()
+                if s > best_s:
+                    best, best_s = qid, s
+            expected[k] = (best, "fuzzy") if best_s >= 0.75 else (None, None)
+    got = {r.p_partkey: (r.match_value, r.match_method)
+           for r in entry.queries()["label_match_ratcliff"](spark, sf).collect()}
+    assert got == expected
+    assert {m for _, m in got.values()} == {"exact", "normalized", "fuzzy", None}
