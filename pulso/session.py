@@ -6,8 +6,10 @@ Only settings that are unset are filled in, so a cluster's own configuration
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,10 @@ _DEFAULTS = {
 }
 
 
+# Folders of intermediate tables written by this process.
+_STAGES: list[str] = []
+
+
 def get_session(master: str | None = None, app_name: str = "pulso", **conf: str) -> SparkSession:
     """Create (or reuse) a session with the report defaults."""
     builder = SparkSession.builder.appName(app_name)
@@ -43,11 +49,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _is_local(sc) -> bool:
+    return sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a private scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is. When
+    it is unset, a local master gets a private scratch folder (tests); any other
+    master raises, because a machine-local folder is invisible to other machines.
     """
     try:
         sc = spark.sparkContext
@@ -59,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not _is_local(sc):
+            raise ValueError("spark.checkpoint.dir is unset; a cluster needs a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="pulso-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is None:
         return configured
@@ -66,17 +79,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for an intermediate table; removed by ``release_stages`` or at interpreter exit."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pulso-stage/{name}-{uuid.uuid4().hex}"
+    if not _STAGES:
+        atexit.register(_release_at_exit)
+    _STAGES.append(path)
+    return path
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
-    Cuts the lineage of a small intermediate that several branches of a plan
-    read, so the expensive input is scanned once, and a lost executor only
-    recomputes from the written table. The folder is the one named by
+    Cuts the lineage of an intermediate that several branches of a plan read,
+    so the expensive input is scanned once, and a lost executor only recomputes
+    from the written table. The folder is the one named by
     ``spark.checkpoint.dir`` (shared storage on a cluster).
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pulso-stage/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete every intermediate table written so far; call it once their results are consumed."""
+    sc = spark.sparkContext
+    conf, n = sc._jsc.hadoopConfiguration(), 0
+    while _STAGES:
+        p = sc._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            release_stages(spark)
+        except Exception:  # the JVM may be gone already
+            pass

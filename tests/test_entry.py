@@ -35,10 +35,11 @@ def test_every_query_has_oracle_or_is_documented():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     # only the exact-ratio matcher (pandas UDF, no SQL equivalent) runs without an oracle
-    assert set(q) - set(o) == {"label_match_ratcliff"}
+    ours = {k for k in q if k != "pipeline" and not k.startswith("op")}
+    assert ours - set(o) == {"label_match_ratcliff"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(k for k in entry.oracle_sql() if not k.startswith("op")))
 def test_oracle_parity_sf0001(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
