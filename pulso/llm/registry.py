@@ -9,9 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash_dedup
+from . import decontaminate, simhash_dedup
 from .common import table
+from .oracles import OP7_SQL
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", F.col("found.n_words").alias("n_words"), F.col("found.n_hit").alias("n_hit"),
+                        F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+                        (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +30,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_decontaminate": op7_decontaminate,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontaminate": OP7_SQL,
+}
