@@ -32,3 +32,34 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
   coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN owners o USING (doc_id)
 """
+
+# CRC-32 of an id's decimal text: shift right per bit, with the reflected polynomial where a one falls out.
+CRC32 = ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), "
+         "lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), "
+         "lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)")
+
+# Bigram automaton, mu = 50: (c(h,w) + 50 P(w)) / (c(h) + 50) where the context was seen, P(w) elsewhere.
+OP2_SQL = rf"""
+WITH toks AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({CRC32.format("doc_id")} % 7 = 2, false) AS held_out,
+    list_append(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+'), chr(10)) AS w
+  FROM documents
+), seq AS (
+  SELECT r, held_out, unnest(w) AS w, unnest(list_concat([chr(10)], w[:-2])) AS h FROM toks
+), uni AS (
+  SELECT w, count(*) AS c FROM seq WHERE NOT held_out GROUP BY w
+), bi AS (
+  SELECT h, w, count(*) AS c FROM seq WHERE NOT held_out GROUP BY h, w
+), size AS (
+  SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM uni
+), scored AS (
+  SELECT s.r, count(*) AS n_tokens, count(u.c) AS n_known,
+    round(fsum(log10((coalesce(u.c, 0) + 1) / (n + v + 1))), 6) AS base_score,
+    round(fsum(log10(CASE WHEN g.c IS NULL THEN (coalesce(u.c, 0) + 1) / (n + v + 1)
+      ELSE (coalesce(b.c, 0) + 50 * ((coalesce(u.c, 0) + 1) / (n + v + 1))) / (g.c + 50) END)), 6) AS score
+  FROM seq s CROSS JOIN size LEFT JOIN uni u ON s.w = u.w LEFT JOIN uni g ON s.h = g.w
+    LEFT JOIN bi b ON s.h = b.h AND s.w = b.w GROUP BY s.r
+)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base_score, score
+FROM toks JOIN scored USING (r), size
+"""

@@ -11,9 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash_dedup
+from . import decontaminate, lm_score, simhash_dedup
 from .common import table
-from .oracles import OP7_SQL
+from .oracles import OP2_SQL, OP7_SQL
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.lm_score(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,10 +35,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_score": op2_lm_score,
     "op7_decontaminate": op7_decontaminate,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_lm_score": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
 }
