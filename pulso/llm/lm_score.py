@@ -39,7 +39,8 @@ from .common import id_fold, text_buffer
 
 ORDER = 2
 MU = 50.0
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
+SLAB_BYTES = 1 << 20
 SHARD_TOKENS = 2_000_000
 END = np.uint64(0x9E3779B97F4A7C15)
 STEP, INVERSE = np.uint64(0x5851F42D4C957F2D), np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
@@ -65,32 +66,44 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out
 
 
-def tokens(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every token, tokens of every text); each text ends with the END token.
-
-    A word's hash is the difference of two prefix sums of byte times power, divided
-    by the power at its start (all modulo 2^64), and then mixed.
-    """
-    ends_of = np.cumsum(lens)
-    space = IS_SPACE[data]
-    first = ~space
+def _word_ends(space: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, byte after the last) of every word; words do not run across texts."""
+    ends_of = np.cumsum(lens)[lens > 0]
+    begins_of = ends_of - lens[lens > 0]
+    first, last = ~space, ~space
     first[1:] &= space[:-1]
-    begins_of = (ends_of - lens)[lens > 0]
     first[begins_of] = ~space[begins_of]
-    last = ~space
     last[:-1] &= space[1:]
-    last[ends_of[lens > 0] - 1] = ~space[ends_of[lens > 0] - 1]
-    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    words = np.zeros(0, np.uint64)
-    if len(starts):
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((LOWERED[data] + np.uint64(1)) * _powers(STEP, len(data)))))
-        words = _mix((total[stops] - total[starts]) * _powers(INVERSE, len(data))[starts] + (stops - starts).astype(np.uint64))
+    last[ends_of - 1] = ~space[ends_of - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hash of every word: the difference of two prefix sums of byte times power, divided by the power
+    at its start (all modulo 2^64), and then mixed. SLAB_BYTES at a time, so temporary arrays stay small."""
+    out, lo = np.empty(len(starts), np.uint64), 0
+    up, down = _powers(STEP, SLAB_BYTES), _powers(INVERSE, SLAB_BYTES)
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(stops, starts[lo] + SLAB_BYTES, "right")))
+        a, b = int(starts[lo]), int(stops[hi - 1])
+        if b - a > len(up):  # a single word longer than a slab
+            up, down = _powers(STEP, b - a), _powers(INVERSE, b - a)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((LOWERED[data[a:b]] + np.uint64(1)) * up[:b - a])))
+        s, e = starts[lo:hi] - a, stops[lo:hi] - a
+        out[lo:hi] = _mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        lo = hi
+    return out
+
+
+def tokens(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every token, tokens of every text); each text ends with the END token."""
+    starts, stops = _word_ends(IS_SPACE[data], lens)
+    ends_of = np.cumsum(lens)
     per = np.searchsorted(starts, ends_of) - np.searchsorted(starts, ends_of - lens) + 1
-    closing = np.cumsum(per) - 1
     out = np.empty(int(per.sum()), np.uint64)
     is_end = np.zeros(len(out), bool)
-    is_end[closing] = True
-    out[is_end], out[~is_end] = END, words
+    is_end[np.cumsum(per) - 1] = True
+    out[is_end], out[~is_end] = END, _hashes(data, starts, stops)
     return out, per
 
 
@@ -144,7 +157,7 @@ def _blocks(docs: DataFrame, fold: int, held: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             nonlocal made, size, ids, nulls, helds, lens, texts
             blob, all_lens = b"".join(texts), np.concatenate(lens)
-            n = int(tokens(np.frombuffer(blob, np.uint8), all_lens)[1].sum())
+            n = len(_word_ends(IS_SPACE[np.frombuffer(blob, np.uint8)], all_lens)[0]) + len(all_lens)
             row = {"block": f"{part}-{made}", "n_tokens": n, "ids": np.concatenate(ids).tobytes(),
                    "id_null": np.concatenate(nulls).tobytes(), "held": np.concatenate(helds).tobytes(),
                    "lens": all_lens.tobytes(), "texts": pa.compress(blob, codec="zstd", asbytes=True)}
