@@ -11,11 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, simhash_dedup
-from .common import table
+from . import decontaminate, language_id, lm_score, simhash_dedup
+from .common import id_fold, table
 from .oracles import OP2_SQL, OP7_SQL
 
 
+def _held_out(buckets: int, held: int):
+    return F.coalesce(id_fold("doc_id", buckets) == held, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter((id_fold("doc_id", 5) != 0) & F.col("text").isNotNull()))
+    found = docs.withColumn("found", language_id.predict(docs, model))
+    return found.select("doc_id", _held_out(5, 0).alias("held_out"), F.col("found.lang").alias("lang_pred"),
+                        F.col("found.score").alias("score"), F.col("found.ambiguous").alias("ambiguous"))
+
+
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm_score.lm_score(table(spark, sf_dir, "documents"))
     return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
@@ -35,6 +47,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
     "op7_decontaminate": op7_decontaminate,
     "op10_simhash_dedup": op10_simhash_dedup,
