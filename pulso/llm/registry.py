@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm_score, simhash_dedup
+from . import decontaminate, language_id, lm_score, simhash_dedup, toxicity
 from .common import id_fold, table
 from .oracles import OP2_SQL, OP7_SQL
 
@@ -33,6 +33,14 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(id_fold("doc_id", 3) != 1)
+    scored = docs.withColumn("score", toxicity.predict(docs, toxicity.fit(docs, labels)))
+    return scored.select("doc_id", _held_out(3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -49,6 +57,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
+    "op4_toxicity": op4_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
