@@ -39,6 +39,7 @@ MAX_TERMS = 4096
 MIN_CHI2 = 10.8
 FACTORS = 8
 EPOCHS = 20
+SHOWN = 0.75
 LEAST_STEPS = 1500
 BATCH = 128
 RATE, DECAY = 0.2, 1e-4
@@ -116,7 +117,8 @@ def train(found: list[np.ndarray], label: np.ndarray, seed: int = 7) -> Model:
         # Single terms first: pairs then learn only what the terms alone leave unexplained.
         pairs = epoch >= epochs // 2
         for part in np.array_split(rng.permutation(n), batches):
-            rows, begin = _rows(slot, [found[k] for k in part])
+            # Hiding some terms at random keeps a text from leaning on all of its terms together.
+            rows, begin = _rows(slot, [b[rng.random(len(b)) < SHOWN] for b in (found[k] for k in part)])
             raw, sums = _raw(model, rows, begin)
             step = (_sigmoid(raw) - label[part]) * weight[part] / len(part)
             each = np.repeat(step, np.diff(np.append(begin, len(rows))))
