@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm_score, simhash_dedup, toxicity
+from . import decontaminate, language_id, lm_score, secret_scan, simhash_dedup, toxicity
 from .common import id_fold, table
 from .oracles import OP2_SQL, OP7_SQL
 
@@ -33,6 +33,15 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["rank"] < 3)
+    count = {k: F.size(F.filter("secrets", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(secret_scan.KINDS)}
+    return found.select("doc_id", count["assign"], count["access"], count["hex"],
+                        F.sha2(secret_scan.labels(base), 256).alias("base_sha256"),
+                        secret_scan.labels(F.col("secrets")).alias("spans"), count["entropy"])
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(id_fold("doc_id", 3) != 1)
@@ -57,6 +66,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
+    "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op10_simhash_dedup": op10_simhash_dedup,
