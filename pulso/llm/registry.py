@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm_score, secret_scan, simhash_dedup, toxicity
+from . import decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup, toxicity, warc_derive
 from .common import id_fold, table
 from .oracles import OP2_SQL, OP7_SQL
 
@@ -50,6 +50,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derive.derive(warc_derive.responses(table(spark, sf_dir, "pages")), keep=("page_id",))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -59,6 +63,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").withColumn("__main", main_text.extract("html"))
+    return pages.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -68,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_score": op2_lm_score,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
+    "op5_warc_derive": op5_warc_derive,
     "op7_decontaminate": op7_decontaminate,
+    "op9_main_text": op9_main_text,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
