@@ -63,3 +63,18 @@ WITH toks AS (
 SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base_score, score
 FROM toks JOIN scored USING (r), size
 """
+
+# Every usable vector as integers; products of equal length lists, best five of each query.
+OP8_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup, toxicity, warc_derive
+from . import (best_fit_packing, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
+               topk_search, toxicity, warc_derive)
 from .common import id_fold, table
-from .oracles import OP2_SQL, OP7_SQL
+from .oracles import OP2_SQL, OP7_SQL, OP8_SQL
 
 
 def _held_out(buckets: int, held: int):
@@ -54,6 +55,11 @@ def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derive.derive(warc_derive.responses(table(spark, sf_dir, "pages")), keep=("page_id",))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return best_fit_packing.pack(docs, best_fit_packing.words_and_end(), F.col("source"), best_fit_packing.same_text())
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -63,6 +69,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").withColumn("__main", main_text.extract("html"))
     return pages.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
@@ -78,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_warc_derive": op5_warc_derive,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_decontaminate": op7_decontaminate,
+    "op8_topk_search": op8_topk_search,
     "op9_main_text": op9_main_text,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
@@ -86,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_lm_score": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op8_topk_search": OP8_SQL,
 }
