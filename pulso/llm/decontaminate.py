@@ -248,9 +248,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_shar
     cols = docs.columns
     found = annotate(docs, benchmark, window, out="__found")
     spans = F.filter("__found.spans", lambda s: s["last"] - s["first"] + 1 >= min_span)
-    text = cut("text", spans)
     kept = found.filter(F.col("__found.n_hit") <= F.lit(max_share) * F.col("__found.n_words"))
-    changed = {"text": F.when(F.size(spans) > 0, text).otherwise(F.col("text"))}
+    kept = kept.withColumn("__spans", spans).withColumn("__cut", cut("text", F.col("__spans")))
+    changed = {"text": F.col("__cut")}
     if "n_chars" in cols:
-        changed["n_chars"] = F.when(F.size(spans) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.size("__spans") > 0, F.length("__cut").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumns(changed).select(*cols)
