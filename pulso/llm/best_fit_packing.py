@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 CAPACITY = 2048
 GROUP_ROWS = 4096
 RUN = 64
@@ -117,6 +119,8 @@ def pack(docs: DataFrame, n_tokens: Column, source: Column, cluster: Column, cap
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.greatest(F.coalesce(n_tokens.cast("long"), F.lit(0)), F.lit(0)).alias("total"),
                        source.cast("string").alias("source"), cluster.cast("long").alias("cluster"))
     rows = rows.groupBy("doc_id", "total", "source", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    # Small rows that are read three times below; the texts are read once.
+    rows = materialize(rows, "packing-rows")
     n = rows.agg(F.sum("copies")).first()[0] or 0
     groups = max(1, -(-n // GROUP_ROWS))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
