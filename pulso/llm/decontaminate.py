@@ -204,7 +204,8 @@ def _finder(shared):
                         "spans": _places(low, spans)})
         return pa.array(out, type=before.type)
 
-    return find
+    # Marked so that a filter on the result does not make the texts be streamed a second time.
+    return find.asNondeterministic()
 
 
 def _blocks(benchmark: DataFrame, item_id: str, window: int, block_words: int) -> list[DataFrame]:
