@@ -123,8 +123,10 @@ def ngrams(hashes: np.ndarray, per: np.ndarray, order: int) -> list[np.ndarray]:
 
 def _pack(a: np.ndarray) -> bytes:
     """Numbers as byte planes, compressed: high planes of sorted differences and small counts are nearly all zero."""
+    if not len(a):
+        return b""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()
-    return pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
+    return pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpack(b: bytes, n: int, kind) -> np.ndarray:

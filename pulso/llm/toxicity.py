@@ -109,6 +109,9 @@ def train(found: list[np.ndarray], label: np.ndarray, seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     m = len(picked)
     model = Model(slot, 0.0, np.zeros(m + 1), np.vstack([rng.normal(0, 0.01, (m, FACTORS)), np.zeros((1, FACTORS))]))
+    # A text without any telling term is clean: empty texts stand for them in the fit.
+    blank = max(1, n // 20)
+    found, label, n = [*found, *[np.zeros(0, np.int32)] * blank], np.append(label, np.zeros(blank, label.dtype)), n + blank
     weight = np.where(label == 1, n / (2 * pos), n / (2 * (n - pos)))
     seen_w, seen_v, seen_b = np.full(m + 1, 1e-8), np.full((m + 1, FACTORS), 1e-8), 1e-8
     batches = -(-n // BATCH)
