@@ -1,7 +1,7 @@
 """Registered report queries over the provided tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; nothing is
-collected. ``__spark_entry__.queries()`` exposes this dict to the driver.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Building some of
+them runs small jobs (materialised pre-aggregates, the bounded fetch of a label dimension). ``__spark_entry__.queries()`` exposes this dict to the driver.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.numeric import likert_score, scale4_to_10, to_number
+from .functions.numeric import fixed, likert_score, scale4_to_10, to_number, to_number_decimal_comma
 from .functions.text import (answered_label, answered_raw, collapse_ws, nonempty_label, norm_label,
                              norm_label_loose, strip_numeric_prefix)
 from .operators.hierarchy import hierarchy_report
@@ -21,11 +21,12 @@ from .plans.comments import comments_projection
 from .plans import demographics as demo
 from .plans import kpis
 from .plans.question_matrix import question_matrix
+from .plans.sheet import sheet_reports
 from .sources import fixtures as fx
-from .session import ensure_checkpoint_dir
-from .sources.dims import question_dim
-from .sources.io import read_report, write_report
-from .sources.letters import select_letters
+from .session import stage_path
+from .sources.dims import question_dim, template_from_table
+from .sources.io import list_reports, read_report, write_report
+from .sources.letters import index_to_letter, select_letters
 
 # Fixed parameters of the ID-filter queries: literal ids (with padding to
 # exercise trimming, plus one that matches nothing).
@@ -90,8 +91,8 @@ def q_survey_kpis(spark, sf_dir):
 
 
 def q_survey_kpis_by_id(spark, sf_dir):
-    return kpis.survey_kpis(fx.respondents(spark, sf_dir), fx.answers(spark, sf_dir), fx.FIXTURE_QUESTIONS,
-                            universe=_universe(spark, sf_dir), ids=ID_FILTER_IDS)
+    return kpis.survey_kpis(fx.respondents(spark, sf_dir, native_id=True), fx.answers(spark, sf_dir),
+                            fx.FIXTURE_QUESTIONS, universe=_universe(spark, sf_dir), ids=ID_FILTER_IDS)
 
 
 def q_question_matrix(spark, sf_dir):
@@ -114,14 +115,13 @@ def _nation_template(spark, sf_dir):
                 .when(kind == 2, F.concat(F.substring(lab, 1, pos - 1), F.expr("substring(__lab, __pos + 1)")))
                 .otherwise(F.col("n_name")))
     return (n.withColumn("__lab", lab).withColumn("__pos", pos)
-            .select(k.alias("template_ord"), F.concat(F.lit("T"), k.cast("string")).alias("index"),
-                    question.alias("question"), F.col("n_name").alias("clima"), F.lit(None).cast("string").alias("ife"),
-                    F.col("n_regionkey").cast("double").alias("weight")))
+            .select(k.alias("template_ord"), F.concat(F.lit(" T"), k.cast("string")).alias("index"),
+                    question.alias("Pregunta"), F.col("n_name").alias("Clima"), F.col("n_regionkey").cast("string").alias("PESO")))
 
 
 def q_question_matrix_template(spark, sf_dir):
     return question_matrix(fx.answers(spark, sf_dir), fx.respondents(spark, sf_dir), fx.FIXTURE_QUESTIONS,
-                           template=_nation_template(spark, sf_dir), metric="levenshtein")
+                           template=template_from_table(_nation_template(spark, sf_dir)), metric="ratcliff")
 
 
 def _perturbed_labels(spark, sf_dir):
@@ -184,6 +184,13 @@ def q_name_resolve(spark, sf_dir):
     return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
 
 
+def q_name_resolve_ratcliff(spark, sf_dir):
+    nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    m = match_labels(_wanted_names(spark, sf_dir), "wanted", nation, "n_name", "n_name", "n_nationkey",
+                     threshold=0.6, metric="ratcliff", mode="name")
+    return m.select("p_partkey", "wanted", "match_value", "match_method", "match_score")
+
+
 def q_hierarchy_rollup(spark, sf_dir):
     return hierarchy_report(fx.answers(spark, sf_dir), fx.FIXTURE_HIERARCHY)
 
@@ -227,13 +234,14 @@ def q_demographic_report(spark, sf_dir):
 
 
 def q_id_filter(spark, sf_dir):
-    r = fx.respondents(spark, sf_dir)
-    return filter_ids(r, ID_FILTER_IDS).select("row_ord", "id", "cohort_raw", "nps_raw")
+    r = fx.respondents(spark, sf_dir, native_id=True)
+    return filter_ids(r, ID_FILTER_IDS).select("row_ord", F.col("id").cast("string").alias("id"), "cohort_raw", "nps_raw")
 
 
 def q_id_filter_semi(spark, sf_dir):
     ids = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
-    return filter_ids_table(fx.respondents(spark, sf_dir), ids, "id", "c_custkey").select("row_ord", "id")
+    r = fx.respondents(spark, sf_dir, native_id=True)
+    return filter_ids_table(r, ids, "id", "c_custkey").select("row_ord", F.col("id").cast("string").alias("id"))
 
 
 def q_row_nonblank(spark, sf_dir):
@@ -300,11 +308,67 @@ def q_comments_by_id(spark, sf_dir):
 
 def q_report_roundtrip(spark, sf_dir):
     """Publish the demographic report into the shared checkpoint folder and read it back."""
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/pulso-reports/" + sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    base = stage_path(spark, "reports")
     write_report(q_demographic_report(spark, sf_dir), base, "demographic_report", mode="only")
     return read_report(spark, base, "demographic_report")
 
 
+def q_report_publish(spark, sf_dir):
+    """The reports left after publishing in each mode (a few names, whatever the data's size)."""
+    counts = q_demographic_counts(spark, sf_dir).select("grupo", "label")
+    left = []
+    for mode, drop in (("keep-others", ()), ("only", ()), ("keep-others", ("comentarios", "demografia"))):
+        base = stage_path(spark, "publish")
+        for name in ("consolidado", "comentarios"):
+            write_report(counts, base, name)
+        write_report(counts, base, "demografia", mode=mode, drop=drop)
+        published = read_report(spark, base, "demografia").agg(F.count(F.lit(1)).alias("n_rows"))
+        left.append(published.select(F.lit(f"{mode} {len(drop)}").alias("mode"), F.lit(",".join(list_reports(spark, base))).alias("reports"), "n_rows"))
+    return left[0].unionByName(left[1]).unionByName(left[2])
+
+
+def _number_forms(spark, sf_dir):
+    """One number text per line item, in the spellings a survey cell may hold."""
+    li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    q, k = F.col("l_quantity").cast("bigint").cast("string"), F.col("l_orderkey") % 12
+    forms = [q, F.concat(q, F.lit(",5")), F.concat(F.lit("  "), q, F.lit(".25 ")), F.concat(q, F.lit(".5d")), F.concat(q, F.lit("e2")),
+             F.concat(F.lit("-"), q, F.lit("E-1")), F.lit("inf"), F.lit("NaN"), F.lit("true"), F.lit(""), F.concat(F.lit("+."), q), F.concat(q, F.lit("."))]
+    raw = F.lit(None).cast("string")
+    for i, f in enumerate(forms):
+        raw = F.when(k == i, f).otherwise(raw)
+    return li.select("l_orderkey", "l_linenumber", raw.alias("raw"), "l_extendedprice")
+
+
+def q_number_forms(spark, sf_dir):
+    """Cell texts as numbers, with a decimal comma too, and fixed-decimal display text."""
+    d = _number_forms(spark, sf_dir)
+    return d.select("l_orderkey", "l_linenumber", "raw", to_number("raw").alias("num"), to_number_decimal_comma("raw").alias("num_comma"),
+                    fixed("l_extendedprice", 3).alias("price_text"))
+
+
+SHEET_PLACES = {"A": "id", "E": "satisfaction_raw", "G": "satisfaction_raw", "GU": "cohort_raw", "GV": "nps_raw", "CM": "dem_segment_raw",
+                **{letter: f"Q{i}" for i, letter in enumerate(("AL", "AM", "AN", "AO", "AP", "AQ", "AR"), 1)},
+                **{letter: f"Q{i}" for i, letter in enumerate(("IC", "ID", "IE", "IF", "IH", "II", "IJ"), 1)}}
+
+
+def wide_sheet(spark, sf_dir):
+    """The fixture as a classic 260-column sheet; a cell takes the smallest answer text of its row and question."""
+    questions = [q.question_id for q in fx.FIXTURE_QUESTIONS]
+    cells = fx.answers(spark, sf_dir).groupBy("row_ord").pivot("question_id", questions).agg(F.min("score_raw"))
+    rows = fx.respondents(spark, sf_dir).join(cells, "row_ord", "left")
+    place = [SHEET_PLACES.get(index_to_letter(i)) for i in range(260)]
+    return rows.select("row_ord", *[(F.col(p) if p else F.lit(None)).cast("string").alias(f"c{i}") for i, p in enumerate(place)]) \
+        .select(*[f"c{i}" for i in range(260)], "row_ord")
+
+
+def q_sheet_question_matrix(spark, sf_dir):
+    return sheet_reports(wide_sheet(spark, sf_dir))["por_pregunta"]
+
+
+def q_sheet_kpis(spark, sf_dir):
+    return sheet_reports(wide_sheet(spark, sf_dir), universe=_universe(spark, sf_dir))["consolidado"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -323,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_match_ratcliff": q_label_match_ratcliff,
     "label_unmatched": q_label_unmatched,
     "name_resolve": q_name_resolve,
+    "name_resolve_ratcliff": q_name_resolve_ratcliff,
     "hierarchy_rollup": q_hierarchy_rollup,
     "demographic_counts": q_demographic_counts,
     "demographic_nps": q_demographic_nps,
@@ -341,4 +406,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comments_projection": q_comments_projection,
     "comments_by_id": q_comments_by_id,
     "report_roundtrip": q_report_roundtrip,
+    "report_publish": q_report_publish,
+    "number_forms": q_number_forms,
+    "sheet_question_matrix": q_sheet_question_matrix,
+    "sheet_kpis": q_sheet_kpis,
 }

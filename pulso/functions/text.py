@@ -7,6 +7,7 @@ to Python.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -36,11 +37,26 @@ def _accent_fold_table() -> tuple[str, str]:
 
 
 FOLD_SRC, FOLD_DST = _accent_fold_table()
+_FOLD_MAP = str.maketrans(FOLD_SRC, FOLD_DST)
+# Loose combining marks, by rule, for texts of the configuration.
+_FOLD_MAP.update(dict.fromkeys(cp for cp in range(0x300, 0x1F000) if unicodedata.category(chr(cp)) == "Mn"))
 
 # Java regex pieces. (?U) makes \s the Unicode White_Space class; Python's
 # str.split() additionally splits on the information separators \x1c-\x1f.
 _WS_RUN = r"(?U)[\s\x1c-\x1f]+"
 _COMBINING = r"\p{Mn}+"
+_NUMERIC_PREFIX = r"^\d[^ ]* "
+
+
+def plain_label(text: str, loose: bool = False) -> str:
+    """C1 (C2 if ``loose``) of a configuration text at plan time: the same fold table and patterns as for data."""
+    folded = re.sub(r"[\s\x1c-\x1f]+", " ", str(text).translate(_FOLD_MAP)).strip(" ").lower()
+    return re.sub(r"[^\w ]|_", "", folded) if loose else folded
+
+
+def plain_without_prefix(text: str) -> str:
+    """C4 of a configuration text at plan time."""
+    return re.sub(_NUMERIC_PREFIX, "", text, count=1)
 
 
 def _as_col(c: Column | str) -> Column:
@@ -74,12 +90,7 @@ def norm_label_loose(c: Column | str) -> Column:
 
 def strip_numeric_prefix(c: Column | str) -> Column:
     """C4: "5 o más" -> "o más"; text not starting with a digit, or without a space, is kept."""
-    return F.regexp_replace(_as_col(c).cast("string"), r"(?U)^\d[^ ]* ", "")
-
-
-def has_ascii_alnum(c: Column | str) -> Column:
-    """Contains at least one of [0-9a-zA-Z]; NULL -> false."""
-    return F.coalesce(_as_col(c).rlike("[0-9a-zA-Z]"), F.lit(False))
+    return F.regexp_replace(_as_col(c).cast("string"), "(?U)" + _NUMERIC_PREFIX, "")
 
 
 def answered_raw(c: Column | str) -> Column:
@@ -104,8 +115,3 @@ def nonempty_label(c: Column | str) -> Column:
     """C1 label is not an empty-like token (no alphanumeric test: "?" is a category)."""
     return F.coalesce(~norm_label(c).isin(*EMPTY_LIKE), F.lit(False))
 
-
-def starts_with_ci(c: Column | str, prefix: Column | str) -> Column:
-    """Case-insensitive, trimmed prefix test."""
-    p = F.lower(F.trim(_as_col(prefix)))
-    return F.startswith(F.lower(F.trim(_as_col(c))), p)

@@ -64,16 +64,20 @@ def respondent_cuboid(df: DataFrame, value_cols: dict[str, str] | None = None,
 
 def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
                   score_col: str = "score_raw", cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
-                  loose: bool = False) -> DataFrame:
+                  loose: bool = False, segments: bool = False) -> DataFrame:
     """(question_id[, cohort, nps_class]) -> sum / count of the clipped 1..4 score.
 
-    Without ``respondents`` no join is needed (General scores). Otherwise the
+    Without ``respondents`` no join is needed: General scores, or segments too if the
+    answers carry their row's label columns (``segments``). Otherwise the
     answers are joined on ``row_ord`` to the respondents' raw segment labels
     and aggregated by (question, raw cohort, raw NPS) right after the join
     (partial aggregation in the join stage); classification runs on that
     small result and a last aggregate folds spellings into classes.
     """
     s = likert_score(F.col(score_col))
+    if respondents is None and segments:
+        keys = [c for c in (cohort_col, nps_col) if c in answers.columns]
+        return _fold_answers(answers.select("question_id", *keys, s.alias("s")), keys, cohort_col, nps_col, loose)
     if respondents is None:
         return answers.groupBy("question_id").agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
     keys = [c for c in (cohort_col, nps_col) if c in respondents.columns]
@@ -82,8 +86,11 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
     # shuffles (row_ord, question_id, double) for valid answers only, and
     # missing answers would add nothing to a sum or a count anyway.
     scored = answers.select("row_ord", "question_id", s.alias("s")).filter(F.col("s").isNotNull())
-    raw = (scored.join(seg, "row_ord")
-           .groupBy("question_id", *keys).agg(F.sum("s").alias("s_sum"), F.count("s").alias("s_cnt")))
+    return _fold_answers(scored.join(seg, "row_ord"), keys, cohort_col, nps_col, loose)
+
+
+def _fold_answers(scored: DataFrame, keys: list[str], cohort_col: str, nps_col: str, loose: bool) -> DataFrame:
+    raw = scored.groupBy("question_id", *keys).agg(F.sum("s").alias("s_sum"), F.count("s").alias("s_cnt"))
     cls = with_segments(raw, cohort_col, nps_col, loose=loose)
     return cls.groupBy("question_id", "cohort", "nps_class").agg(F.sum("s_sum").alias("s_sum"),
                                                                  F.sum("s_cnt").alias("s_cnt"))

@@ -9,48 +9,40 @@
    in dimension order, accepted when >= threshold (optionally after a
    case-insensitive prefix test, for name resolution).
 
-Two physical strategies, both exact:
+Two physical strategies with the same results at every size and in every mode
+(a test sweeps thresholds and modes):
 
 * inline (dimension size checked <= ``max_inline``): the dimension becomes a
   literal map / array in the plan and each row is resolved with native map
   lookups and higher-order functions — no join, no shuffle;
-* banded join (larger dimensions): stages 1-2 are equi-joins; stage 3 joins on
-  the exact set of key lengths a label can reach above the threshold (both
-  similarity measures are bounded by 2*min/(la+lb) resp. min/max), then keeps
-  the best candidate with a window per label.
+* banded join (larger dimensions): exact, normalised and prefix stages are
+  equi-joins (a key is listed under each of its prefixes); the fuzzy stage joins on
+  the key lengths a label can reach above the threshold (the measures are
+  bounded by 2*min/(la+lb) resp. min/max; ``SLACK`` keeps the bounds on the safe side
+  of floating point) and keeps the best candidate with a map-side maximum per label.
+
+A candidate without any similarity never matches, whatever the threshold.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import best_ratcliff_udf, levenshtein_ratio, ratcliff_ratio
-from ..functions.text import norm_label_loose
+from ..functions.text import norm_label, norm_label_loose, plain_label
 
 _MATCH_COLS = ("match_value", "match_method", "match_score")
 # Candidate lists up to this size are scored as unrolled column expressions.
 UNROLL_MAX = 256
-
-
-def _py_loose(s: str) -> str:
-    import unicodedata
-
-    s = "".join(c for c in unicodedata.normalize("NFD", str(s)) if unicodedata.category(c) != "Mn")
-    s = " ".join(s.split()).strip().lower()
-    return "".join(ch for ch in s if ch.isalnum() or ch.isspace())
-
-
-def _py_lower(s: str) -> str:
-    return str(s).strip().lower()
+# Length bounds only sort out candidates; the score itself decides, so they may be wider than exact.
+SLACK = 1e-6
 
 
 def _probe(lab: Column, mode: str) -> Column:
     if mode not in ("label", "name", "best"):
         raise ValueError(f"unknown mode {mode!r}")
-    return norm_label_loose(lab) if mode == "label" else F.lower(F.trim(lab))
+    return norm_label_loose(lab) if mode == "label" else norm_label(lab)
 
 
 def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold: float,
@@ -65,7 +57,7 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
         fuzzy_keys: dict[str, tuple[int, str]] = {}
         for o, k, v in rows:
             exact[k] = v  # later rows win, as in a dict literal
-            nk = _py_loose(k)
+            nk = plain_label(k, loose=True)
             first_ord = fuzzy_keys[nk][0] if nk in fuzzy_keys else o
             fuzzy_keys[nk] = (first_ord, v)  # position of first occurrence, value of the last
         stages.append(("exact", F.element_at(_lit_map(exact), lab)))
@@ -73,19 +65,19 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
     elif mode == "best":  # exact name, else the best fuzzy name (no threshold), else the first one
         fuzzy_keys = {}
         for o, k, v in rows:
-            fuzzy_keys.setdefault(_py_lower(k), (o, v))
+            fuzzy_keys.setdefault(plain_label(k), (o, v))
         exact_name = {}
         for o, k, v in rows:
             exact_name.setdefault(k, v)
         stages.append(("exact", F.element_at(_lit_map(exact_name), lab)))
         threshold = 0.0
-    else:  # "name": case-insensitive equality or prefix, first dimension row wins
+    else:  # "name": equality or prefix without case and accents, first dimension row wins
         fuzzy_keys = {}
         for o, k, v in rows:
-            fuzzy_keys.setdefault(_py_lower(k), (o, v))
+            fuzzy_keys.setdefault(plain_label(k), (o, v))
         pref = None
         for o, k, v in rows:
-            kk = _py_lower(k)
+            kk = plain_label(k)
             cond = (probe == F.lit(kk)) | F.startswith(F.lit(kk), probe)
             pref = F.when(cond, F.lit(v)) if pref is None else pref.when(cond, F.lit(v))
         stages.append(("prefix", pref if pref is not None else F.lit(None).cast("string")))
@@ -107,9 +99,9 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
         def cand(k: Column, n: Column, o: Column, v: Column) -> Column:
             # Keys whose length cannot reach the threshold (min/max < t) are
             # skipped without running the edit distance.
-            ok = F.least(n, plen) >= F.greatest(n, plen) * t
+            ok = F.least(n, plen) >= F.greatest(n, plen) * t - F.lit(SLACK)
             sc = levenshtein_ratio(k, probe)
-            return F.when(ok & (sc >= t), F.struct(sc.alias("s"), (-o).alias("neg_o"), v.alias("v")))
+            return F.when(ok & (sc >= t) & (sc > 0), F.struct(sc.alias("s"), (-o).alias("neg_o"), v.alias("v")))
 
         if len(cands) <= UNROLL_MAX:
             # Unrolled: one plain expression per candidate, all inside codegen.
@@ -128,7 +120,7 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
     fallback = None
     if rows and (mode == "best" or (mode == "name" and sole_fallback and len(rows) == 1)):
         fallback = F.lit(sorted(rows)[0][2])  # first (or only) candidate
-    value = F.coalesce(*stage_cols, top["v"], *([fallback] if fallback is not None else []))
+    value = F.coalesce(*stage_cols, top["v"], *([F.when(lab.isNotNull(), fallback)] if fallback is not None else []))
     method = None
     for name, c in stages:
         method = F.when(c.isNotNull(), F.lit(name)) if method is None else method.when(c.isNotNull(), F.lit(name))
@@ -146,43 +138,51 @@ def _lit_map(d: dict[str, str]) -> Column:
     return F.create_map(*[x for kv in d.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
 
 
-def _banded(left: DataFrame, label_col: str, dim: DataFrame, key_col: str, value_col: str, ord_col: str,
-            threshold: float, metric: str) -> DataFrame:
-    # Matching depends on the label text only: resolve each distinct label once
-    # and join the result back on the label (deterministic under retries).
-    labels = left.select(F.col(label_col).cast("string").alias("__lab")).filter(F.col("__lab").isNotNull()).distinct()
-    l2 = labels.withColumn("__nlab", norm_label_loose(F.col("__lab")))
-    d = dim.select(F.col(ord_col).alias("__o"), F.col(key_col).cast("string").alias("__k"),
-                   F.col(value_col).cast("string").alias("__v")).filter(F.col("__k").isNotNull())
-    exact = d.groupBy("__k").agg(F.max_by("__v", "__o").alias("__ev"))
-    nd = (d.withColumn("__nk", norm_label_loose(F.col("__k")))
-          .groupBy("__nk").agg(F.min("__o").alias("__no"), F.max_by("__v", "__o").alias("__nv")))
-    j = (l2.join(exact, l2["__lab"] == exact["__k"], "left").drop("__k")
-         .join(nd.select("__nk", "__nv"), l2["__nlab"] == F.col("__nk"), "left").drop("__nk"))
-    # Fuzzy candidates: only key lengths that can reach the threshold.
-    t = float(threshold)
-    n = F.length("__nlab")
-    if metric == "ratcliff":
-        lo, hi = F.ceil(n * F.lit(t / (2 - t))), (F.floor(n * F.lit((2 - t) / t)) if t > 0 else F.lit(1 << 20))
-    else:
-        lo, hi = F.ceil(n * F.lit(t)), (F.floor(n / F.lit(t)) if t > 0 else F.lit(1 << 20))
-    need = j.filter(F.col("__ev").isNull() & F.col("__nv").isNull())
-    probes = need.select("__lab", "__nlab", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)).alias("__len"))
-    cand = probes.join(nd.withColumn("__len", F.length("__nk")), "__len")
-    sim = ratcliff_ratio(F.col("__nlab"), F.col("__nk")) if metric == "ratcliff" else \
-        levenshtein_ratio(F.col("__nk"), F.col("__nlab"))
-    w = Window.partitionBy("__lab").orderBy(F.col("__s").desc(), F.col("__no").asc())
-    best = (cand.withColumn("__s", sim).filter(F.col("__s") > 0)
-            .withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-            .select("__lab", F.col("__nv").alias("__fv"), "__s"))
-    r = j.join(best, "__lab", "left")
-    ok = F.col("__s") >= F.lit(t)
-    value = F.coalesce("__ev", "__nv", F.when(ok, F.col("__fv")))
-    method = (F.when(F.col("__ev").isNotNull(), "exact").when(F.col("__nv").isNotNull(), "normalized")
-              .when(ok, "fuzzy"))
-    res = r.select("__lab", value.alias("match_value"), method.alias("match_method"),
-                   F.when(ok & F.col("__ev").isNull() & F.col("__nv").isNull(), F.col("__s")).alias("match_score"))
-    return left.join(res, F.col(label_col).cast("string") == res["__lab"], "left").drop("__lab")
+def _banded(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mode: str,
+            sole_fallback: bool) -> DataFrame:
+    """Resolve distinct labels (``__lab``, ``__probe``) against a dimension (o, k, v) of any size."""
+    row = F.struct("o", "k", "v")
+    keys = dim.withColumn("nk", _probe(F.col("k"), mode))
+    if mode == "label":   # the last row of a key wins, at the place of its first one
+        exact = dim.groupBy(F.col("k").alias("__e")).agg(F.max(row)["v"].alias("__ev"))
+        folded = keys.groupBy("nk").agg(F.min("o").alias("no"), F.max(row)["v"].alias("nv"))
+        early = folded.select(F.col("nk").alias("__n"), F.col("nv").alias("__nv"))
+    else:                 # the first row of a key wins
+        exact = dim.groupBy(F.col("k").alias("__e")).agg(F.min(row)["v"].alias("__ev"))
+        folded = keys.groupBy("nk").agg(F.min("o").alias("no"), F.min(row)["v"].alias("nv"))
+        prefixes = keys.withColumn("__n", F.explode(F.transform(F.sequence(F.lit(0), F.length("nk")),
+                                                                lambda i: F.substring(F.col("nk"), F.lit(1), i))))
+        early = prefixes.groupBy("__n").agg(F.min(row)["v"].alias("__nv"))
+    early_name = "normalized" if mode == "label" else "prefix"
+    none = F.lit(None).cast("string")
+    found = labels.join(exact, labels["__lab"] == exact["__e"], "left") if mode != "name" else labels.withColumn("__ev", none)
+    found = found.join(early, found["__probe"] == early["__n"], "left") if mode != "best" else found.withColumn("__nv", none)
+    found = found.select("__lab", "__probe", "__ev", "__nv")
+
+    t = 0.0 if mode == "best" else float(threshold)
+    n = F.length("__probe")
+    shrink = t / (2 - t) if metric == "ratcliff" else t
+    longest = folded.agg(F.max(F.length("nk"))).first()[0] or 0
+    low = F.greatest(F.ceil(n * F.lit(shrink) - F.lit(SLACK)), F.lit(0))
+    high = F.least(F.floor(n / F.lit(shrink) + F.lit(SLACK)), F.lit(longest)) if shrink > 0 else F.lit(longest)
+    residue = found.filter(F.col("__ev").isNull() & F.col("__nv").isNull() & (low <= high))
+    probes = residue.select("__lab", "__probe", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("__len"))
+    pairs = probes.join(folded.withColumn("__len", F.length("nk")), "__len")
+    score = ratcliff_ratio(F.col("__probe"), F.col("nk")) if metric == "ratcliff" else \
+        levenshtein_ratio(F.col("nk"), F.col("__probe"))
+    best = (pairs.withColumn("s", score).filter((F.col("s") >= F.lit(t)) & (F.col("s") > 0))
+            .groupBy("__lab").agg(F.max(F.struct(F.col("s"), (-F.col("no")).alias("neg_o"), F.col("nv").alias("v"))).alias("__top")))
+    fallback = none
+    if mode == "best" or (mode == "name" and sole_fallback):
+        size, first = dim.agg(F.count(F.lit(1)), F.min(row)).first()
+        if size and (mode == "best" or size == 1):
+            fallback = F.lit(first["v"])
+    out = found.join(best, "__lab", "left")
+    before = F.col("__ev").isNull() & F.col("__nv").isNull()
+    method = (F.when(F.col("__ev").isNotNull(), "exact").when(F.col("__nv").isNotNull(), early_name)
+              .when(F.col("__top").isNotNull(), "fuzzy").when(fallback.isNotNull(), "fallback"))
+    return out.select("__lab", F.coalesce("__ev", "__nv", "__top.v", fallback).alias("match_value"),
+                      method.alias("match_method"), F.when(before, F.col("__top.s")).alias("match_score"))
 
 
 def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str = "label",
@@ -192,7 +192,7 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
     """Add match_value / match_method / match_score to ``left``.
 
     ``mode``: "label" (exact -> normalised -> fuzzy >= threshold), "name"
-    (case-insensitive equality/prefix -> fuzzy >= threshold; with
+    (equality/prefix without case and accents -> fuzzy >= threshold; with
     ``sole_fallback`` a one-row candidate list matches anything left) or "best"
     (exact -> best fuzzy without threshold -> first candidate).
 
@@ -201,6 +201,8 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
     """
     if metric not in ("ratcliff", "levenshtein"):
         raise ValueError(f"unknown metric {metric!r}")
+    _probe(F.lit(""), mode)  # rejects unknown modes
+    lab = F.col(label_col).cast("string")
     # One bounded job both checks the size and fetches an inline-sized dimension:
     # at most max_inline + 1 rows ever reach the driver.
     fetched = (dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
@@ -212,23 +214,17 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
         # key, so the aggregate materialises it and the per-candidate scoring
         # reads a column instead of re-deriving it; the result is joined back
         # on the label (AQE broadcasts it when the distinct set is small).
-        lab = F.col(label_col).cast("string")
         labels = left.select(lab.alias("__lab"), _probe(lab, mode).alias("__probe")).distinct()
         res = _inline(labels, rows, threshold, metric, mode, sole_fallback)
         return left.join(res, lab.eqNullSafe(res["__lab"]), "left").drop("__lab")
-    if mode != "label":
-        raise ValueError("name resolution needs an inline-sized candidate list")
-    return _banded(left, label_col, dim, key_col, value_col, ord_col, threshold, metric)
+    labels = (left.select(lab.alias("__lab"), _probe(lab, mode).alias("__probe"))
+              .filter(F.col("__lab").isNotNull()).distinct())
+    keyed = dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
+                       F.col(value_col).cast("string").alias("v")).filter(F.col("k").isNotNull())
+    res = _banded(labels, keyed, threshold, metric, mode, sole_fallback)
+    return left.join(res, lab == res["__lab"], "left").drop("__lab")
 
 
 def unmatched(matched: DataFrame) -> DataFrame:
     """The left rows without a match (anti join on the match result)."""
     return matched.filter(F.col("match_value").isNull()).drop(*_MATCH_COLS)
-
-
-def threshold_length_bounds(length: int, threshold: float, metric: str = "ratcliff") -> tuple[int, int]:
-    """Key lengths that can reach ``threshold`` against a label of ``length`` (for tests)."""
-    t = threshold
-    if metric == "ratcliff":
-        return math.ceil(length * t / (2 - t)), math.floor(length * (2 - t) / t)
-    return math.ceil(length * t), math.floor(length / t)

@@ -7,59 +7,26 @@ instead of re-normalising labels per metric.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import answered_label, answered_raw, norm_label, norm_label_loose
+from ..functions.text import answered_label, answered_raw, norm_label, norm_label_loose, plain_label
 from ..sources.dims import COHORT_VARIANTS, NPS_VARIANTS
 
 
-def _normalised_variants(variants: Iterable[str], loose: bool) -> list[str]:
-    # Vocabulary entries go through the same normaliser as the data (Python
-    # side, plan time), so accented spellings in a mapping still match.
-    import unicodedata
-
-    out = []
-    for v in variants:
-        s = "".join(c for c in unicodedata.normalize("NFD", str(v)) if unicodedata.category(c) != "Mn")
-        s = " ".join(s.split()).strip().lower()
-        if loose:
-            s = "".join(ch for ch in s if ch.isalnum() or ch.isspace())
-        out.append(s)
-    return sorted(set(out))
-
-
 def classify_normalised(norm: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
     """First class whose (normalised) spellings contain ``norm``, else NULL."""
     expr = None
     for key, variants in vocab.items():
-        cond = norm.isin(*_normalised_variants(variants, loose))
+        cond = norm.isin(*sorted({plain_label(v, loose) for v in variants}))
         expr = F.when(cond, F.lit(key)) if expr is None else expr.when(cond, F.lit(key))
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def classify(label: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
-    """First class whose (normalised) spellings contain the normalised label, else NULL."""
-    return classify_normalised(norm_label_loose(label) if loose else norm_label(label), vocab, loose)
-
-
-def cohort_of(label: Column | str, vocab: Mapping[str, Iterable[str]] = COHORT_VARIANTS,
-              loose: bool = False) -> Column:
-    """cohort key or NULL (blank / unknown cohorts stay in the denominators)."""
-    c = F.col(label) if isinstance(label, str) else label
-    return classify(c, vocab, loose)
-
-
-def nps_class_of(label: Column | str, loose: bool = False) -> Column:
-    """promoter / passive / detractor / unknown (answered but unlisted) / empty."""
-    c = F.col(label) if isinstance(label, str) else label
-    known = classify(c, NPS_VARIANTS, loose)
-    return F.coalesce(known, F.when(answered_label(c), F.lit("unknown")).otherwise(F.lit("empty")))
-
-
 def with_segments(df: DataFrame, cohort_col: str | None = "cohort_raw", nps_col: str | None = "nps_raw",
                   response_col: str | None = None, loose: bool = False) -> DataFrame:
     """Add ``cohort``, ``nps_class`` and ``responded`` columns.
@@ -101,42 +68,37 @@ def row_nonblank(df: DataFrame, columns: list[str] | None = None) -> Column:
 
 # --- F1: ID filter ------------------------------------------------------------
 
-def _typed_ids(ids: Iterable, data_type: T.DataType) -> list | None:
-    """IDs as native literals of an integral column, or None when any does not parse."""
-    if not isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return None
-    out = []
-    for x in ids:
-        s = str(x).strip()
-        if not s.lstrip("+-").isdigit() or s.startswith("+") or (s.startswith("0") and s != "0") \
-                or s.startswith("-0"):
-            return None
-        out.append(int(s))
-    return out
+def _integral(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+
+
+def _canonical_ints(ids: Iterable) -> list[int]:
+    """The ids that print back unchanged as integers; no other text can equal an integral id."""
+    texts = {str(x).strip() for x in ids}
+    return sorted(int(x) for x in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", x))
 
 
 def filter_ids(df: DataFrame, ids: Iterable | None, id_col: str = "id") -> DataFrame:
     """keep rows whose trimmed, stringified id is in ``ids``; no ids = no filter.
 
-    On an integral id column whose literals all print back unchanged, the
-    filter compares natively so Parquet can push it down; otherwise it
-    compares trimmed strings.
+    An integral id column is compared natively, so Parquet gets the filter;
+    other types compare trimmed strings.
     """
     if not ids:
         return df
-    ids = list(ids)
-    typed = _typed_ids(ids, df.schema[id_col].dataType)
-    if typed is not None:
-        return df.filter(F.col(id_col).isin(typed))
+    if _integral(df.schema[id_col].dataType):
+        return df.filter(F.col(id_col).isin(_canonical_ints(ids)))
     wanted = sorted({str(x).strip() for x in ids})
     return df.filter(F.trim(F.col(id_col).cast("string")).isin(wanted))
 
 
 def filter_ids_table(df: DataFrame, ids: DataFrame, id_col: str = "id", ids_col: str = "id") -> DataFrame:
-    """F1 with the id list as a table: a left-semi join on the trimmed string id.
+    """F1 with the id list as a table: a left-semi join, natively where both ids are integral.
 
     The list can be as large as the data; Catalyst broadcasts it only when its
     estimated size is under the broadcast threshold, otherwise it shuffles.
     """
-    keys = ids.select(F.trim(F.col(ids_col).cast("string")).alias("__id")).distinct()
-    return df.join(keys, F.trim(F.col(id_col).cast("string")) == keys["__id"], "left_semi")
+    native = _integral(df.schema[id_col].dataType) and _integral(ids.schema[ids_col].dataType)
+    key = (lambda c: c.cast("bigint")) if native else (lambda c: F.trim(c.cast("string")))
+    keys = ids.select(key(F.col(ids_col)).alias("__id"))
+    return df.join(keys, key(df[id_col]) == keys["__id"], "left_semi")

@@ -9,7 +9,11 @@ from __future__ import annotations
 
 from .catalog import ID_FILTER_IDS
 from .sources.fixtures import FIXTURE_QUESTIONS, with_views
+from .sources.layout import AXES as SHEET_AXES
+from .sources.layout import QUESTION_LABELS
+from .sources.letters import letter_range
 
+# Empty-like tokens, NPS class and cohort spellings.
 EMPTY = "('', 'nan', 'none', 'na', 'n/a', 'n\\a', '-', '–', '--', 's/d', 'sd')"
 PROM = "('entusiasta', 'entusiastas', 'promotor', 'promotores', 'promoter', 'promoters')"
 PAS = "('pasivo', 'pasivos', 'neutral', 'neutrales', 'indiferente', 'indiferentes')"
@@ -29,8 +33,9 @@ def norm(x: str) -> str:
 
 
 def num(x: str) -> str:
-    pat = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-    return f"(CASE WHEN regexp_full_match({x}, '{pat}') THEN TRY_CAST(trim({x}) AS DOUBLE) END)"
+    # Independent of the engine's pattern: only characters of a number, and the parser must take the whole text.
+    t = f"trim({x}, ' ' || chr(9) || chr(10) || chr(13))"
+    return f"(CASE WHEN {t} <> '' AND translate({t}, '0123456789+-.eE', '') = '' THEN TRY_CAST({t} AS DOUBLE) END)"
 
 
 def clip(x: str) -> str:
@@ -201,6 +206,17 @@ FROM v"""
     q["label_normalize"] = q["label_normalize"].replace("\n, v AS (", ",\nv AS (")
     q["text_normalize"] = f"""SELECT doc_id, {norm('text')} AS norm, {loose('text')} AS norm_loose
 FROM documents"""
+    q["number_forms"] = f"""WITH f AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice, [q, q || ',5', '  ' || q || '.25 ', q || '.5d', q || 'e2', '-' || q || 'E-1',
+    'inf', 'NaN', 'true', '', '+.' || q, q || '.'][CAST(l_orderkey % 12 AS INTEGER) + 1] AS raw
+  FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q FROM lineitem))
+SELECT l_orderkey, l_linenumber, raw, {num('raw')} AS num, {num("replace(raw, ',', '.')")} AS num_comma,
+  printf('%.3f', l_extendedprice) AS price_text FROM f"""
+    q["report_publish"] = _demographics_sql()["demographic_counts"].rsplit("SELECT grupo, label", 1)[0] + """
+SELECT m.mode, m.reports, (SELECT count(*) FROM ord) AS n_rows
+FROM (VALUES ('keep-others 0', 'comentarios,consolidado,demografia'), ('only 0', 'demografia'),
+  ('keep-others 2', 'consolidado,demografia')) AS m(mode, reports)"""
+    q.update(_sheet_sql())
     q["numeric_coerce_clip"] = ans + f"""SELECT score_raw, {num('score_raw')} AS num, {clip(num('score_raw'))} AS clipped,
   count(*) AS n FROM answers GROUP BY score_raw"""
     q["scale_convert"] = ans + f"""SELECT question_id, avg(s) AS mean4, round_even(avg(s), 1) AS mean4_r1, {conv10('avg(s)')} AS score10
@@ -216,6 +232,46 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
     return q
 
 
+def _sheet_sql() -> dict[str, str]:
+    """The wide sheet: one cell per row and question (its smallest text); Q1..Q7 stand at AL..AR and, again, at
+    the sub-components IC..IF (axis IB) and IH..IJ (axis IG)."""
+    cells = "cells AS (SELECT row_ord, question_id, min(score_raw) AS score_raw FROM answers GROUP BY row_ord, question_id)"
+    letters = {letter: f"Q{i}" for i, letter in enumerate(("AL", "AM", "AN", "AO", "AP", "AQ", "AR"), 1)}
+    segs = ["TRUE", "cohort = 'baby boomers'", "cohort = 'generacion x'", "cohort = 'milenialls'", "cohort = 'centenialls'",
+            "nps_class = 'promoter'", "nps_class = 'passive'", "nps_class = 'detractor'"]
+    names = ["general", "boomers", "generacion_x", "milenialls", "centenialls", "entusiastas", "pasivos", "detractores"]
+    rows = ", ".join(f"({i}, '{letter}', {_q(label)}, {_q(letters[letter]) if letter in letters else 'NULL'})"
+                     for i, (letter, label) in enumerate(QUESTION_LABELS))
+    base = with_views("", "respondents", "answers").rstrip() + f",\n{cells},\n{SEG_CTE}"
+    scores = ", ".join(f"COALESCE({conv10(f'avg(s) FILTER (WHERE {w})')}, 0.0) AS {n}" for n, w in zip(names, segs))
+    matrix = base + f""",
+sc AS (SELECT c.question_id, {scores}
+  FROM (SELECT row_ord, question_id, {clip(num('score_raw'))} AS s FROM cells) c JOIN seg ON c.row_ord = seg.row_ord GROUP BY c.question_id)
+SELECT CAST(t.ord AS BIGINT) AS template_ord, CAST(NULL AS VARCHAR) AS index, t.label AS question, CAST(NULL AS VARCHAR) AS clima,
+  CAST(NULL AS VARCHAR) AS ife, CAST(NULL AS DOUBLE) AS weight, t.letter AS question_id,
+  {', '.join(f'COALESCE(sc.{n}, 0.0) AS {n}' for n in names)}
+FROM (VALUES {rows}) AS t(ord, letter, label, qid) LEFT JOIN sc ON sc.question_id = t.qid"""
+    kpis = _kpis_sql(False).replace("FROM answers a)", "FROM cells a)").replace(",\nqs AS (", f",\n{cells},\nqs AS (", 1)
+    head = kpis[:kpis.index("qq AS (")]
+    score = lambda q: f"COALESCE(max(score10) FILTER (WHERE question_id = '{q}'), 0.0)"
+    axis = lambda qs: f"COALESCE(round_even(avg(NULLIF(score10, 0.0)) FILTER (WHERE question_id IN ({qs})), 1), 0.0)"
+    members = {"IB": "'Q1', 'Q2', 'Q3', 'Q4'", "IG": "'Q5', 'Q6', 'Q7'"}
+    cols = []
+    for a, _, (first, last) in SHEET_AXES:
+        cols.append(f"{'axis_' + a if a in members else '0.0::DOUBLE'} AS axis_{a}")
+        cols += [f"{'q_' + x if x in letters else '0.0::DOUBLE'} AS q_{x}" for x in letter_range(first, last)]
+    keep = ["total_personas", "respuestas",
+            "COALESCE(CASE WHEN total_personas > 0 THEN round_even((respuestas / total_personas) * 100.0::DOUBLE, 2) END, 0.0) AS pct_participacion"]
+    keep += [f"pct_{SLUG[k]}" for k, _ in COHORTS] + ["satisfaccion_general"] + [f"satisfaccion_{SLUG[k]}" for k, _ in COHORTS]
+    keep += ["'' AS covid", "satisfaccion_general AS condiciones_trabajo",
+             "COALESCE(round_even((axis_IB + axis_IG) / 2, 1), 0.0) AS indice_clima", "nps"]
+    keep += [f"nps_{SLUG[k]}" for k, _ in COHORTS] + ["nps_entusiastas", "nps_pasivos", "nps_detractores"] + cols
+    return {"sheet_question_matrix": matrix, "sheet_kpis": head + f"""qq AS (SELECT {', '.join(f'{score(q)} AS q_{x}' for x, q in letters.items())},
+  {', '.join(f'{axis(m)} AS axis_{a}' for a, m in members.items())} FROM qs),
+uu AS (SELECT CAST(count(*) AS DOUBLE) AS total_personas FROM orders)
+SELECT {', '.join(keep)} FROM rr, qq, uu"""}
+
+
 def _demographics_sql() -> dict[str, str]:
     """Fixture groups: SEGMENT (ordered, normalise map), STATUS (no order), '?' column skipped."""
     order0 = ["0 Automobile", "1 Building", "2 Furniture", "3 Household"]
@@ -337,6 +393,30 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def gestalt(pairs: str) -> str:
+    """CTEs giving ratio(a, b, score) for the distinct strings of ``pairs(a, b)``: twice the matched characters over all.
+
+    Matched are the longest common block (ties: first in a, then first in b) and, again, what stands left
+    and right of it. ``run`` has the common run that begins at each pair of equal characters.
+    """
+    return f"""pr AS (SELECT row_number() OVER () AS pid, a, b FROM (SELECT DISTINCT a, b FROM {pairs}) x),
+eq AS (SELECT pid, i, j FROM (SELECT pid, a, b, i, unnest(range(1, length(b) + 1)) AS j
+    FROM (SELECT pid, a, b, unnest(range(1, length(a) + 1)) AS i FROM pr) x) y WHERE a[i] = b[j]),
+isl AS (SELECT pid, i, j, i - row_number() OVER (PARTITION BY pid, i - j ORDER BY i) AS g FROM eq),
+run AS (SELECT pid, i, j, max(i) OVER (PARTITION BY pid, i - j, g) - i + 1 AS l FROM isl),
+blk AS (SELECT pid, CAST(1 AS BIGINT) AS al, CAST(length(a) + 1 AS BIGINT) AS ah, CAST(1 AS BIGINT) AS bl,
+    CAST(length(b) + 1 AS BIGINT) AS bh, CAST(0 AS BIGINT) AS k FROM pr
+  UNION ALL
+  SELECT pid, CASE side WHEN 0 THEN al ELSE m.k - m.ni END, CASE side WHEN 0 THEN -m.ni ELSE ah END,
+    CASE side WHEN 0 THEN bl ELSE m.k - m.nj END, CASE side WHEN 0 THEN -m.nj ELSE bh END, CASE side WHEN 0 THEN m.k ELSE 0 END
+  FROM (SELECT s.pid, s.al, s.ah, s.bl, s.bh, max(struct_pack(k := least(r.l, s.ah - r.i, s.bh - r.j), ni := -r.i, nj := -r.j)) AS m
+        FROM blk s JOIN run r ON r.pid = s.pid AND r.i >= s.al AND r.i < s.ah AND r.j >= s.bl AND r.j < s.bh
+        GROUP BY s.pid, s.al, s.ah, s.bl, s.bh) best, (VALUES (0), (1)) AS v(side)),
+ratio AS (SELECT pr.a, pr.b, CASE WHEN length(pr.a) + length(pr.b) = 0 THEN 1.0::DOUBLE
+    ELSE (2.0::DOUBLE * x.m) / (length(pr.a) + length(pr.b)) END AS score
+  FROM pr JOIN (SELECT pid, sum(k) AS m FROM blk GROUP BY pid) x ON x.pid = pr.pid)"""
+
+
 def _matrix_and_matching() -> dict[str, str]:
     q = {}
     coh = "CASE " + " ".join(f"WHEN {loose('r.cohort_raw')} IN {vs} THEN '{k}'" for k, vs in COHORTS) + " END"
@@ -358,7 +438,7 @@ SELECT CAST(qd.q_ord AS BIGINT) AS template_ord, CAST(NULL AS VARCHAR) AS index,
   qd.question_id, {', '.join('sc.' + n for n, _ in segs)}
 FROM {qlab} LEFT JOIN sc ON qd.question_id = sc.question_id"""
 
-    q["question_matrix_template"] = with_views("", "respondents", "answers").rstrip() + f""",
+    q["question_matrix_template"] = with_views("", "respondents", "answers").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + f""",
 seg AS (SELECT r.row_ord, {coh} AS cohort, {cls} AS nps_class FROM respondents r),
 j AS (SELECT a.question_id, g.cohort, g.nps_class, {clip(num('a.score_raw'))} AS s FROM answers a JOIN seg g ON a.row_ord = g.row_ord),
 sc AS (SELECT question_id, {cols} FROM j GROUP BY question_id),
@@ -373,9 +453,10 @@ tpl AS (SELECT CAST(n.n_nationkey AS BIGINT) AS template_ord, 'T' || CAST(n.n_na
 nk AS (SELECT ord, qid, label, {loose('label')} AS nkey FROM lbl),
 ex AS (SELECT t.template_ord, max_by(nk.qid, nk.ord) AS ev FROM tpl t JOIN nk ON nk.label = t.question GROUP BY 1),
 nm AS (SELECT t.template_ord, max_by(nk.qid, nk.ord) AS nv FROM tpl t JOIN nk ON nk.nkey = {loose('t.question')} GROUP BY 1),
-fs AS (SELECT t.template_ord, nk.qid, nk.ord,
-  1 - levenshtein(nk.nkey, {loose('t.question')}) / CAST(greatest(length(nk.nkey), length({loose('t.question')})) AS DOUBLE) AS score
-  FROM tpl t, nk),
+pairs AS (SELECT {loose('t.question')} AS a, nk.nkey AS b FROM tpl t, nk),
+{gestalt('pairs')},
+fs AS (SELECT t.template_ord, nk.qid, nk.ord, r.score
+  FROM tpl t, nk JOIN ratio r ON r.a = {loose('t.question')} AND r.b = nk.nkey),
 best AS (SELECT template_ord, qid AS fv, score FROM (
   SELECT *, row_number() OVER (PARTITION BY template_ord ORDER BY score DESC, ord) AS rn FROM fs) x WHERE rn = 1),
 m AS (SELECT t.*, COALESCE(ex.ev, nm.nv, CASE WHEN best.score >= 0.75 THEN best.fv END) AS question_id
@@ -412,6 +493,12 @@ m AS (SELECT w.p_partkey, w.wanted,
   FROM w LEFT JOIN ex ON w.p_partkey = ex.p_partkey LEFT JOIN nm ON w.p_partkey = nm.p_partkey
   LEFT JOIN best ON w.p_partkey = best.p_partkey)"""
     q["label_match"] = f"WITH {wanted},\n{match}\nSELECT p_partkey, wanted, match_value, match_method, match_score FROM m"
+    q["label_match_ratcliff"] = (f"WITH RECURSIVE {wanted},\n{match}\nSELECT p_partkey, wanted, match_value, match_method, match_score FROM m"
+                                 .replace("sc AS (SELECT", f"""pairs AS (SELECT {loose('w.wanted')} AS a, nk.nkey AS b FROM w, nk
+  WHERE w.p_partkey NOT IN (SELECT p_partkey FROM ex) AND w.p_partkey NOT IN (SELECT p_partkey FROM nm)),
+{gestalt('pairs')},
+sc AS (SELECT""", 1).replace(f"1 - levenshtein(nk.nkey, {loose('w.wanted')}) / CAST(greatest(length(nk.nkey), length({loose('w.wanted')})) AS DOUBLE) AS score\n  FROM w, nk)",
+                                              f"r.score\n  FROM w, nk JOIN ratio r ON r.a = {loose('w.wanted')} AND r.b = nk.nkey)"))
     q["label_unmatched"] = f"WITH {wanted},\n{match}\nSELECT p_partkey, wanted FROM m WHERE match_value IS NULL"
 
     q["name_resolve"] = """WITH w AS (
@@ -435,6 +522,12 @@ SELECT w.p_partkey, w.wanted,
   CASE WHEN pf.pv IS NOT NULL THEN 'prefix' WHEN best.score >= 0.6 THEN 'fuzzy' END AS match_method,
   CASE WHEN pf.pv IS NULL AND best.score >= 0.6 THEN best.score END AS match_score
 FROM w LEFT JOIN pf ON w.p_partkey = pf.p_partkey LEFT JOIN best ON w.p_partkey = best.p_partkey"""
+    q["name_resolve_ratcliff"] = (q["name_resolve"].replace("WITH w", "WITH RECURSIVE w", 1)
+                                  .replace("sc AS (SELECT", f"""pairs AS (SELECT lower(trim(w.wanted)) AS a, fk.k AS b FROM w, fk
+  WHERE w.p_partkey NOT IN (SELECT p_partkey FROM pf)),
+{gestalt('pairs')},
+sc AS (SELECT""", 1).replace("1 - levenshtein(fk.k, lower(trim(w.wanted))) / CAST(greatest(length(fk.k), length(lower(trim(w.wanted)))) AS DOUBLE) AS score\n  FROM w, fk)",
+                             "r.score\n  FROM w, fk JOIN ratio r ON r.a = lower(trim(w.wanted)) AND r.b = fk.k)"))
     return q
 
 

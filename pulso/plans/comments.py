@@ -37,7 +37,3 @@ def comments_projection(df: DataFrame, sources: Mapping[str, str | None], ids: I
         cols.append(c.alias(name))
     return df.select(*cols)
 
-
-def missing_sources(df: DataFrame, sources: Mapping[str, str | None]) -> list[str]:
-    """Output columns left blank because their source column is absent."""
-    return [n for n in COMMENT_COLUMNS if not sources.get(n) or sources[n] not in df.columns]

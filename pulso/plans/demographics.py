@@ -20,9 +20,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EMPTY_LIKE, norm_label, strip_numeric_prefix
+from ..functions.text import EMPTY_LIKE, norm_label, plain_label, plain_without_prefix, strip_numeric_prefix
 from ..operators.apportion import apportion
-from ..operators.segments import _normalised_variants, filter_ids
+from ..operators.segments import filter_ids
 from ..session import materialize
 from ..sources.dims import NPS_VARIANTS, DemographicGroup
 
@@ -32,14 +32,6 @@ REPORT_COLUMNS = ("index", "variable", "general", "pct", "detractores", "pasivos
                   "pct_detractores", "pct_pasivos", "pct_entusiastas", "grupo")
 
 
-def _py_norm(s: str) -> str:
-    return _normalised_variants([s], loose=False)[0]
-
-
-def _py_strip_prefix(t: str) -> str:
-    return t.split(" ", 1)[1] if t and t[0].isdigit() and " " in t else t
-
-
 def _key(group_ord: Column, key: Column) -> Column:
     return F.concat(group_ord.cast("string"), F.lit(_SEP), key)
 
@@ -79,28 +71,28 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     nn = norm_label(F.col("nps_raw"))
     cls = None
     for code, key in (("D", "detractor"), ("P", "passive"), ("E", "promoter")):
-        cond = nn.isin(*_normalised_variants(NPS_VARIANTS[key], False))
+        cond = nn.isin(*sorted({plain_label(v) for v in NPS_VARIANTS[key]}))
         cls = F.when(cond, F.lit(code)) if cls is None else cls.when(cond, F.lit(code))
     pre = (pre.withColumn("__nn", nn).withColumn("nps_cls", cls)
            .withColumn("nps_valid", F.coalesce(~F.col("__nn").isin(*EMPTY_LIKE), F.lit(False))).drop("__nn"))
     # Survey-wide valid-NPS count: every group's unpivot holds each respondent
-    # exactly once, so it is the group's own sum (a window per group over the
-    # small pre-aggregate; no join, no extra pass).
-    pre = (pre.withColumn("global_nps", F.sum(F.when(F.col("nps_valid"), F.col("n")).otherwise(F.lit(0)))
-                          .over(Window.partitionBy("group_ord")))
-           .filter(F.col("group_ord") != _ALL))
+    # exactly once, so it is the group's own sum. It is joined back at the end as one
+    # row per configured group, so no task ever holds all spellings of a group.
+    totals = pre.groupBy("group_ord").agg(
+        F.sum(F.when(F.col("nps_valid"), F.col("n")).otherwise(F.lit(0))).alias("global_nps"))
+    pre = pre.filter(F.col("group_ord") != _ALL)
 
     # Label resolution: normalise map (keys normalised too), then ordered-label auto-map.
     g = F.col("group_ord")
     norm_map, order_pos, order_len, auto_map = {}, {}, {}, {}
     for i, grp in active:
         for k, v in grp.normalize.items():
-            norm_map[f"{i}{_SEP}{_py_norm(k)}"] = v
+            norm_map[f"{i}{_SEP}{plain_label(k)}"] = v
         order_len[str(i)] = len(grp.order)
         for pos, item in enumerate(grp.order):
             order_pos[f"{i}{_SEP}{item}"] = pos  # later duplicates win, as in a dict
             if item:
-                auto_map[f"{i}{_SEP}{_py_norm(_py_strip_prefix(str(item)))}"] = item  # later entries win
+                auto_map[f"{i}{_SEP}{plain_label(plain_without_prefix(str(item)))}"] = item  # later entries win
     raw = F.col("raw")
     nmap = _lit_map(norm_map)
     label1 = F.coalesce(F.element_at(nmap, _key(g, norm_label(raw))), raw) if nmap is not None else raw
@@ -121,13 +113,11 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     pre = pre.filter(F.coalesce(~norm_label(F.col("label")).isin(*EMPTY_LIKE), F.lit(False)))
     per_raw = pre.groupBy("group_ord", "label", "raw").agg(
         F.sum("n").alias("n_raw"), F.min("first_row").alias("first_raw"),
-        *[F.sum(F.when(F.col("nps_cls") == c, F.col("n")).otherwise(F.lit(0))).alias(c) for c in ("D", "P", "E")],
-        F.max("global_nps").alias("global_nps"))
+        *[F.sum(F.when(F.col("nps_cls") == c, F.col("n")).otherwise(F.lit(0))).alias(c) for c in ("D", "P", "E")])
     per_label = per_raw.groupBy("group_ord", "label").agg(
         F.sum("n_raw").alias("general"), F.min("first_raw").alias("first_seen"),
         F.max_by("raw", F.struct(F.col("n_raw"), -F.col("first_raw"))).alias("display_raw"),
-        F.sum("D").alias("detractores"), F.sum("P").alias("pasivos"), F.sum("E").alias("entusiastas"),
-        F.max("global_nps").alias("global_nps"))
+        F.sum("D").alias("detractores"), F.sum("P").alias("pasivos"), F.sum("E").alias("entusiastas"))
     per_label = per_label.join(first_of_raw, ["group_ord", "label"], "left")
     big = F.lit(1 << 62)
     olen = _lit_map(order_len)
@@ -136,9 +126,11 @@ def label_table(respondents: DataFrame, groups: Sequence[DemographicGroup], nps_
     order_idx = F.when(g.isin(explicit), explicit_idx).otherwise(F.coalesce(F.col("raw_first"), big)) \
         if explicit else F.coalesce(F.col("raw_first"), big)
     names = _lit_map({str(i): grp.group for i, grp in active})
+    sizes = per_raw.groupBy("group_ord").agg(F.sum("n_raw").alias("group_total"))
+    # At most one row per configured group on the broadcast sides.
     return (per_label.withColumn("order_idx", order_idx)
-            .withColumn("grupo", F.element_at(names, g.cast("string")))
-            .withColumn("group_total", F.sum("general").over(Window.partitionBy("group_ord")))
+            .withColumn("grupo", F.element_at(names, g.cast("string")) if names is not None else F.lit(None).cast("string"))
+            .join(F.broadcast(totals), "group_ord").join(F.broadcast(sizes), "group_ord")
             .drop("raw_first"))
 
 

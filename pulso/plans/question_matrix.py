@@ -33,12 +33,15 @@ SEGMENTS = (
 SEGMENT_COLS = tuple(s[0] for s in SEGMENTS)
 
 
-def segment_scores(answers: DataFrame, respondents: DataFrame, ids: Iterable | None = None,
+def segment_scores(answers: DataFrame, respondents: DataFrame | None, ids: Iterable | None = None,
                    cohort_col: str = "cohort_raw", nps_col: str = "nps_raw") -> DataFrame:
-    """question_id + one 0..10 score per segment (0.0 where a segment has no valid answer)."""
-    sel = filter_ids(respondents, ids)
+    """question_id + one 0..10 score per segment (0.0 where a segment has no valid answer).
+
+    Without ``respondents`` the answers carry their row's label columns and nothing is joined.
+    """
+    sel = filter_ids(respondents, ids) if respondents is not None else None
     # This report matches labels punctuation-insensitively.
-    cube = answer_cuboid(answers, sel, cohort_col=cohort_col, nps_col=nps_col, loose=True)
+    cube = answer_cuboid(answers, sel, cohort_col=cohort_col, nps_col=nps_col, loose=True, segments=True)
     cols = []
     for name, fcol, fval in SEGMENTS:
         cond = F.lit(True) if fcol is None else (F.col(fcol) == F.lit(fval))
@@ -48,7 +51,7 @@ def segment_scores(answers: DataFrame, respondents: DataFrame, ids: Iterable | N
     return cube.groupBy("question_id").agg(*cols)
 
 
-def question_matrix(answers: DataFrame, respondents: DataFrame, questions: Sequence[Question],
+def question_matrix(answers: DataFrame, respondents: DataFrame | None, questions: Sequence[Question],
                     template: DataFrame | None = None, ids: Iterable | None = None,
                     cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
                     metric: str = "ratcliff", threshold: float = 0.75, diagnostics: bool = False) -> DataFrame:
@@ -72,8 +75,12 @@ def question_matrix(answers: DataFrame, respondents: DataFrame, questions: Seque
                               F.lit(None).cast("double").alias("match_score"))
     else:
         matched = match_labels(template, "question", qdim, "label", "question_id", "ord", threshold, metric)
-    scores = segment_scores(answers, respondents, ids, cohort_col, nps_col)
+    # Only answers to configured questions reach the join and the aggregate.
+    asked = answers.filter(F.col("question_id").isin([q.question_id for q in questions]))
+    scores = segment_scores(asked, respondents, ids, cohort_col, nps_col)
     out = matched.join(scores, matched["match_value"] == scores["question_id"], "left")
     extra = ["match_method", "match_score"] if diagnostics else []
     return out.select("template_ord", "index", "question", "clima", "ife", "weight",
-                      F.col("match_value").alias("question_id"), *SEGMENT_COLS, *extra)
+                      F.col("match_value").alias("question_id"),
+                      # A matched question without any valid answer scores 0.0, an unmatched row stays blank.
+                      *[F.when(F.col("match_value").isNotNull(), or_zero(c)).alias(c) for c in SEGMENT_COLS], *extra)

@@ -1,7 +1,8 @@
 """All five reports from one letter-addressed survey sheet (the classic layout).
 
 The sheet is split once into canonical respondents + long answers
-(``layout.split_sheet``); every report then reads those two DataFrames.
+(``layout.split_sheet``); every report then reads one of those two
+DataFrames, as the answers carry the cohort and NPS cells of their row.
 """
 
 from __future__ import annotations
@@ -24,27 +25,30 @@ def sheet_reports(sheet: DataFrame, hierarchy: Sequence[HierarchyNode] = (),
                   demographics: Sequence[DemographicGroup] = (), universe: DataFrame | float | None = None,
                   template: DataFrame | None = None, ids: Iterable | None = None, row_ord_col: str | None = None,
                   label_mode: str = "raw", default_agg: str = "unweighted") -> dict[str, DataFrame]:
-    """{"consolidado", "por_pregunta", "indice_clima", "demografia", "comentarios"} -> DataFrame."""
+    """{"consolidado", "por_pregunta", "indice_clima", "demografia", "comentarios"} -> DataFrame.
+
+    An ID filter cuts the sheet itself, before it is unpivoted. The demographic
+    report orders categories by their first row, so it needs ``row_ord_col``.
+    """
+    if ids:
+        sheet = filter_ids(sheet, ids, column_name(sheet, layout.ROLE_LETTERS["id"]))
     demo_groups = layout.resolve_groups(sheet, list(demographics))
     # Demographic columns are kept in the respondents table under their own names.
     roles = {g.column: _letter_of(sheet, g.column) for g in demo_groups if _letter_of(sheet, g.column)}
     respondents, answers = layout.split_sheet(sheet, row_ord_col, roles)
     questions, members = layout.kpi_questions()
     out = {
-        "consolidado": survey_kpis(respondents, answers, questions, universe=universe, ids=ids,
+        "consolidado": survey_kpis(respondents, answers, questions, universe=universe,
                                    conditions_col="conditions_raw", axis_members=members),
-        "por_pregunta": question_matrix(answers, respondents, layout.matrix_questions(), template=template, ids=ids),
-        # ID filter first (the id lives at the "id" role letter), then the fixed projection.
-        "comentarios": select_letters(filter_ids(sheet, ids, column_name(sheet, layout.ROLE_LETTERS["id"]))
-                                      if ids else sheet, layout.COMMENT_LETTERS, missing=""),
+        "por_pregunta": question_matrix(answers, None, layout.matrix_questions(), template=template),
+        "comentarios": select_letters(sheet, layout.COMMENT_LETTERS, missing=""),
     }
     if hierarchy:
-        sel = answers
-        if ids:
-            sel = answers.join(filter_ids(respondents, ids).select("row_ord"), "row_ord", "left_semi")
-        out["indice_clima"] = hierarchy_report(sel, list(hierarchy), default_agg)
+        out["indice_clima"] = hierarchy_report(answers, list(hierarchy), default_agg)
     if demo_groups:
-        out["demografia"] = demographic_report(respondents, demo_groups, "nps_raw", ids, label_mode)
+        if not row_ord_col:
+            raise ValueError("the demographic report needs row_ord_col: categories are ordered by their first row")
+        out["demografia"] = demographic_report(respondents, demo_groups, "nps_raw", None, label_mode)
     return out
 
 

@@ -14,7 +14,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Accepted spellings of each generation cohort (compared after
@@ -80,14 +79,6 @@ def question_dim(spark: SparkSession, questions: list[Question]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def hierarchy_dim(spark: SparkSession, nodes: list[HierarchyNode]) -> DataFrame:
-    schema = ("node_ord INT, label STRING, kind STRING, columns ARRAY<STRING>, "
-              "children ARRAY<STRING>, group_aggregation STRING")
-    rows = [(i, n.label, n.kind, list(n.columns), list(n.children), n.group_aggregation)
-            for i, n in enumerate(nodes)]
-    return spark.createDataFrame(rows, schema)
-
-
 # --- S3: JSON mapping sources -------------------------------------------------
 
 def parse_letters(value) -> list[str]:
@@ -137,22 +128,47 @@ def load_demographic_mapping(path: str | Path) -> tuple[list[DemographicGroup],
     return groups, data.get("defaults", {}) or {}
 
 
-def read_hierarchy_json(spark: SparkSession, path: str) -> DataFrame:
-    """Distributed reader for a hierarchy mapping (same shape as the JSON file)."""
-    schema = T.StructType([
-        T.StructField("rows", T.ArrayType(T.StructType([
-            T.StructField("label", T.StringType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("columns", T.ArrayType(T.StringType())),
-            T.StructField("children", T.ArrayType(T.StringType())),
-            T.StructField("groupAggregation", T.StringType()),
-        ]))),
-        T.StructField("defaults", T.MapType(T.StringType(), T.StringType())),
-    ])
+def _mapping_rows(spark: SparkSession, path: str, key: str, fields: str) -> DataFrame:
+    """The entries of a mapping file on any storage Spark reads, numbered in file order, with its defaults."""
+    schema = f"{key} ARRAY<STRUCT<{fields}>>, defaults MAP<STRING, STRING>"
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    return (raw.select(F.posexplode("rows").alias("node_ord", "r"))
-            .select("node_ord", "r.label", "r.kind", "r.columns", "r.children",
-                    F.col("r.groupAggregation").alias("group_aggregation")))
+    return raw.select(F.posexplode(key).alias("ord", "r"), F.coalesce("defaults", F.create_map().cast("map<string,string>")).alias("defaults"))
+
+
+def read_hierarchy_json(spark: SparkSession, path: str) -> DataFrame:
+    """S3: node_ord, label, kind, columns, children, group_aggregation, defaults of a hierarchy mapping.
+
+    ``columns`` may be a list or one comma-separated string, as in P5.
+    """
+    rows = _mapping_rows(spark, path, "rows", "label STRING, kind STRING, columns STRING, children ARRAY<STRING>, groupAggregation STRING")
+    text = F.trim("r.columns")  # a JSON list arrives as its text
+    items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.split(text, ","))
+    columns = F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")
+    none = F.array().cast("array<string>")
+    return rows.select(F.col("ord").alias("node_ord"), "r.label", F.coalesce("r.kind", F.lit("value")).alias("kind"),
+                       F.coalesce(columns, none).alias("columns"), F.coalesce("r.children", none).alias("children"),
+                       F.col("r.groupAggregation").alias("group_aggregation"), "defaults")
+
+
+def read_demographic_json(spark: SparkSession, path: str) -> DataFrame:
+    """S3: group_ord, group, column, order, normalize, defaults of a demographic mapping."""
+    rows = _mapping_rows(spark, path, "groups", "`group` STRING, `column` STRING, `order` ARRAY<STRING>, normalize MAP<STRING, STRING>")
+    return rows.select(F.col("ord").alias("group_ord"), "r.group", "r.column", F.coalesce("r.order", F.array().cast("array<string>")).alias("order"),
+                       F.coalesce("r.normalize", F.create_map().cast("map<string,string>")).alias("normalize"), "defaults")
+
+
+def hierarchy_nodes(mapping: DataFrame) -> tuple[list[HierarchyNode], dict]:
+    """A hierarchy mapping table (configuration: a few dozen rows) as plan-time nodes and defaults."""
+    rows = mapping.orderBy("node_ord").collect()
+    nodes = [HierarchyNode(r["label"], r["kind"], tuple(r["columns"]), tuple(r["children"]), r["group_aggregation"]) for r in rows]
+    return nodes, dict(rows[0]["defaults"]) if rows else {}
+
+
+def demographic_groups(mapping: DataFrame) -> tuple[list[DemographicGroup], dict]:
+    """A demographic mapping table (configuration: a few dozen rows) as plan-time groups and defaults."""
+    rows = mapping.orderBy("group_ord").collect()
+    groups = [DemographicGroup(r["group"], r["column"], tuple(r["order"]), dict(r["normalize"])) for r in rows]
+    return groups, dict(rows[0]["defaults"]) if rows else {}
 
 
 # --- S4: template metadata ----------------------------------------------------
@@ -164,8 +180,8 @@ def template_from_table(df: DataFrame) -> DataFrame | None:
     """Keep the known template columns, trim texts, coerce the weight.
 
     Returns None when none of the known columns exist (caller falls back to
-    the question dimension). Adds ``template_ord`` from a source ordinal
-    column ``template_ord`` if present, else from ``monotonically_increasing_id``.
+    the question dimension). The order of the rows is the source column
+    ``template_ord``, else the numeric ``index``; a table has no order of its own.
     """
     from ..functions.numeric import to_number
 
@@ -174,7 +190,9 @@ def template_from_table(df: DataFrame) -> DataFrame | None:
         return None
     out = df
     if "template_ord" not in out.columns:
-        out = out.withColumn("template_ord", F.monotonically_increasing_id())
+        if "index" not in present:
+            raise ValueError("a template needs template_ord or index: its rows are reported in order")
+        out = out.withColumn("template_ord", F.trim(F.col("index").cast("string")).try_cast("double"))
     cols = [F.col("template_ord")]
     for name, alias in (("index", "index"), ("Pregunta", "question"), ("Clima", "clima"), ("IFE", "ife")):
         cols.append((F.trim(F.col(name).cast("string")) if name in present else F.lit(None).cast("string")).alias(alias))

@@ -67,16 +67,18 @@ def _spark_sql(sql: str, tables: tuple[str, ...]) -> str:
     return out
 
 
-def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def respondents(spark: SparkSession, sf_dir: str, native_id: bool = False) -> DataFrame:
     """row_ord, id, cohort_raw, nps_raw, satisfaction_raw, dem_segment_raw, dem_status_raw.
 
     Built from the FIXTURES.md view definition in one ``spark.sql`` call over
     the schema-declared tables. Catalyst sizes the joins: nation/region (25 / 5
     rows) and, at small scale, customer are broadcast; beyond the broadcast
-    threshold customer is sort-merge joined on the customer key.
+    threshold customer is sort-merge joined on the customer key. With
+    ``native_id`` the id keeps its stored type, so id filters reach the scan.
     """
     names = ("orders", "customer", "nation", "region")
-    return spark.sql(_spark_sql(RESPONDENTS_SQL, names), **{t: table(spark, sf_dir, t) for t in names})
+    sql = RESPONDENTS_SQL.replace("CAST(o.o_custkey AS VARCHAR) AS id", "o.o_custkey AS id") if native_id else RESPONDENTS_SQL
+    return spark.sql(_spark_sql(sql, names), **{t: table(spark, sf_dir, t) for t in names})
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ Reports are written as one Parquet folder (or catalog table) per report.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 def read_survey(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None,
                 na_tokens: Iterable[str] | None = NA_TOKENS, **options: str) -> DataFrame:
-    """Read a survey sheet. CSV is read with a header row and all cells as STRING.
+    """Read a survey sheet. CSV is read with a header row and all cells as STRING;
+    files split over tasks unless cells hold line breaks (``multiLine="true"``).
 
     Text cells equal to an NA token become NULL (numeric columns of a typed
     source are left alone).
@@ -29,7 +31,7 @@ def read_survey(spark: SparkSession, path: str, fmt: str = "parquet", schema: st
     if schema:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
+        reader = reader.option("header", "true").option("inferSchema", "false")
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.format(fmt).load(path)
@@ -56,25 +58,35 @@ def list_reports(spark: SparkSession, base: str) -> list[str]:
     fs, p = _jfs(spark, base)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if not n.startswith("_"))
 
 
 def write_report(df: DataFrame, base: str, name: str, mode: str = "keep-others",
                  drop: Iterable[str] = ()) -> str:
     """S5 + S6: write ``df`` as report ``name`` under ``base`` (replacing only that report).
 
+    The rows go to a hidden folder first, which then takes the report's name, so readers
+    and failed runs never meet half a report.
+
     ``mode``: "keep-others" leaves the other reports; "only" removes every
     other report under ``base``. ``drop`` removes the named reports, but never
     the one just written (so the namespace is never left empty).
     """
     spark = df.sparkSession
+    if mode not in ("keep-others", "only"):
+        raise ValueError(f"unknown publish mode {mode!r}")
     target = f"{base.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(target)
+    hidden = f"{base.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
+    df.write.parquet(hidden)
+    fs, new = _jfs(spark, hidden)
+    old = _jfs(spark, target)[1]
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"cannot publish {target}")
     victims = set(drop)
     if mode == "only":
         victims |= set(list_reports(spark, base))
-    elif mode != "keep-others":
-        raise ValueError(f"unknown publish mode {mode!r}")
     victims.discard(name)
     for v in sorted(victims):
         fs, p = _jfs(spark, f"{base.rstrip('/')}/{v}")
@@ -86,16 +98,3 @@ def write_report(df: DataFrame, base: str, name: str, mode: str = "keep-others",
 def read_report(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}")
 
-
-def write_report_table(df: DataFrame, table: str, mode: str = "keep-others", drop: Iterable[str] = ()) -> str:
-    """S5 + S6 over a catalog database: ``db.report`` tables instead of folders."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").saveAsTable(table)
-    db, _, name = table.rpartition(".")
-    victims = set(drop)
-    if mode == "only":
-        victims |= {t.name for t in spark.catalog.listTables(db or None) if not t.isTemporary}
-    victims.discard(name)
-    for v in sorted(victims):
-        spark.sql(f"DROP TABLE IF EXISTS {(db + '.') if db else ''}{v}")
-    return table

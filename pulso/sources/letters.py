@@ -7,23 +7,20 @@ here touches data.
 
 from __future__ import annotations
 
-import unicodedata
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import plain_label
+
 
 def letter_to_index(letter: str | None) -> int:
     """Base-26, 0-based; non-letters ignored (accents stripped first); empty / "?" -> -1."""
-    if not letter:
-        return -1
-    s = "".join(c for c in unicodedata.normalize("NFD", str(letter)) if unicodedata.category(c) != "Mn")
-    total = 0
-    for ch in s.strip().upper():
-        if "A" <= ch <= "Z":
-            total = total * 26 + (ord(ch) - ord("A") + 1)
-    return total - 1
+    digits = re.findall("[A-Z]", plain_label(letter or "").upper())
+    return reduce(lambda n, d: 26 * n + int(d, 36) - 9, digits, 0) - 1
 
 
 def index_to_letter(idx: int) -> str:
@@ -57,33 +54,31 @@ def select_letters(df: DataFrame, mapping: Mapping[str, str | None], missing: st
     return df.select(*cols)
 
 
-def missing_letters(df: DataFrame, mapping: Mapping[str, str | None]) -> list[str]:
-    """J7 for columns: output names whose letter does not resolve (plan-time list)."""
-    return [alias for alias, letter in mapping.items() if column_name(df, letter) is None]
-
-
 def wide_to_canonical(df: DataFrame, question_letters: Mapping[str, str], roles: Mapping[str, str | None],
                       row_ord_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split a wide, letter-addressed survey sheet into (respondents, answers).
 
     ``roles`` maps canonical respondent columns (``id``, ``cohort_raw``,
     ``nps_raw``, ``satisfaction_raw`` ...) to letters; ``question_letters``
-    maps question ids to letters. Answers come from one ``unpivot`` (a
-    narrow Expand, no shuffle). ``row_ord`` is the given ordinal column or
-    ``monotonically_increasing_id`` (stable for a given input layout).
+    maps question ids to letters. Answers come from one ``unpivot`` (a narrow
+    Expand, no shuffle) and carry their row's cohort and NPS cells, so no report has
+    to join them back. ``row_ord`` is the given ordinal column; without one there is
+    none, and reports that need an order of rows ask for it.
     """
-    base = df.withColumn("row_ord", F.col(row_ord_col).cast("bigint") if row_ord_col
-                         else F.monotonically_increasing_id())
-    resp = base.select("row_ord", *[col_at(df, letter).cast("string").alias(name) for name, letter in roles.items()])
+    ordinal = [F.col(row_ord_col).cast("bigint").alias("row_ord")] if row_ord_col else []
+    named = {name: col_at(df, letter).cast("string").alias(name) for name, letter in roles.items()}
+    resp = df.select(*ordinal, *named.values())
+    carried = [c for c in ("cohort_raw", "nps_raw") if c in named]
     present = {q: column_name(df, letter) for q, letter in question_letters.items()}
     present = {q: c for q, c in present.items() if c is not None}
+    keys = (["row_ord"] if ordinal else []) + carried
+    staged = df.select(*ordinal, *[named[c] for c in carried],
+                       *[F.col(c).cast("string").alias(f"q:{q}") for q, c in present.items()])
     if not present:
-        empty = base.select("row_ord", F.lit(None).cast("string").alias("question_id"),
-                            F.lit(None).cast("string").alias("score_raw")).limit(0)
-        return resp, empty
-    staged = base.select("row_ord", *[F.col(c).cast("string").alias(q) for q, c in present.items()])
-    ans = staged.unpivot(["row_ord"], list(present), "question_id", "score_raw")
-    return resp, ans
+        none = F.lit(None).cast("string")
+        return resp, staged.select(*keys, none.alias("question_id"), none.alias("score_raw")).limit(0)
+    ans = staged.unpivot(keys, [f"q:{q}" for q in present], "question_id", "score_raw")
+    return resp, ans.withColumn("question_id", F.substring("question_id", 3, 1 << 20))
 
 
 def letter_range(first: str, last: str, skip: Sequence[str] = ()) -> list[str]:

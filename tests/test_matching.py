@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 from pulso.functions.similarity import ratcliff_ratio
-from pulso.operators.matching import match_labels, threshold_length_bounds, unmatched
+from pulso.operators.matching import match_labels, unmatched
 
 DIM = [(0, "¿Cómo es la cultura?", "IQ"), (1, "Recursos disponibles", "AU"), (2, "Recursos  disponibles!", "AV"),
        (3, "Trabajo en equipo", "BG")]
@@ -54,11 +54,27 @@ def test_ratcliff_udf_is_difflib(spark):
     assert got == [SequenceMatcher(None, a, b).ratio() for a, b in pairs]
 
 
-def test_length_bounds_are_necessary_conditions():
-    lo, hi = threshold_length_bounds(20, 0.75, "ratcliff")
-    for lb in range(0, 60):
-        best = 2 * min(20, lb) / (20 + lb)
-        assert (best >= 0.75) == (lo <= lb <= hi)
+def test_strategies_agree_over_thresholds_metrics_and_modes(spark):
+    """Boundary scores included: "ab" against "abc" is exactly 0.8 for the gestalt ratio."""
+    keys = ["abc", "ábcd", "Abcd", "xyz", "a", "", "abcdefghijklmnopqrst", "zz top", "abc"]
+    dim = spark.createDataFrame([(i, k, f"v{i}") for i, k in enumerate(keys)], "ord INT, label STRING, question_id STRING")
+    words = ["ab", "abc", "ABCD", "ábc", "xy", "", "q", "abcdefghijk", "zz  tap", "b", None, "abcdefghijklmnopqrsx", "top zz"]
+    left = spark.createDataFrame([(w,) for w in words], "q STRING")
+    for metric in ("ratcliff", "levenshtein"):
+        for mode in ("label", "name", "best"):
+            for t in (0.0, 0.1, 0.2, 0.55, 0.6, 0.75, 0.8, 0.85, 0.95) if mode != "best" else (0.0,):
+                run = lambda cap: sorted(map(str, match_labels(left, "q", dim, threshold=t, metric=metric, mode=mode, max_inline=cap).collect()))  # noqa: E731,B023
+                assert run(5000) == run(0), (metric, mode, t)
+    hit = match_labels(left.filter("q = 'ab'"), "q", dim.filter("label = 'abc'"), threshold=0.8, max_inline=0).first()
+    assert (hit.match_method, hit.match_score) == ("fuzzy", 0.8)
+
+
+def test_name_resolution_ignores_accents(spark):
+    names = spark.createDataFrame([(0, "Opinión 2024")], "o INT, n STRING")
+    left = spark.createDataFrame([("Opinio",), ("OPINIÓN",)], "w STRING")
+    for cap in (0, 5000):
+        got = match_labels(left, "w", names, "n", "n", "o", threshold=0.95, mode="name", max_inline=cap).collect()
+        assert {r.match_method for r in got} == {"prefix"}
 
 
 def test_name_resolution_prefix_then_fuzzy(spark):
@@ -98,9 +114,7 @@ def test_best_and_sole_fallback(spark):
 
 
 def test_ratcliff_query_against_brute_force(spark):
-    """label_match_ratcliff (no SQL equivalent) vs a plain-Python cascade over every part row."""
-    import unicodedata
-
+    """label_match_ratcliff vs a plain-Python cascade over every part row."""
     import pandas as pd
 
     import __spark_entry__ as entry
@@ -108,10 +122,9 @@ def test_ratcliff_query_against_brute_force(spark):
 
     sf = "/root/testdata/sf0.001"
 
+    # The labels use these accents and marks only.
     def loose(s):
-        s = "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")
-        s = " ".join(s.split()).strip().lower()
-        return "".join(ch for ch in s if ch.isalnum() or ch.isspace())
+        return "".join(c for c in s.lower().translate(str.maketrans("áéíóúñ", "aeioun")) if c not in "()!¡.")
 
     labels = [q.label for q in FIXTURE_QUESTIONS]
     ids = [q.question_id for q in FIXTURE_QUESTIONS]

@@ -19,7 +19,7 @@ def _final(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n != "pipeline" and not n.startswith("op")))
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     plan = _final(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -65,3 +65,25 @@ def test_integral_id_filter_is_pushed_to_parquet(spark, tmp_path):
     assert sorted(r.cust for r in df.collect()) == [7, 42]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*In\(cust", plan)
+
+
+def test_registered_id_filter_reaches_the_scan(spark):
+    for name in ("id_filter", "survey_kpis_by_id"):
+        assert entry.queries()[name](spark, SF).count() >= 1
+    plan = entry.queries()["id_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(o_custkey", plan)
+
+
+def test_no_window_over_raw_spellings(spark):
+    """One demographic group with very many spellings: nothing gathers them by group."""
+    from pyspark.sql import functions as F
+
+    from pulso.sources.dims import DemographicGroup
+
+    rows = spark.range(30000).select(F.col("id").alias("row_ord"), F.concat(F.lit("v"), F.col("id") % 20000).alias("many"),
+                                     F.lit("promotor").alias("nps_raw"))
+    table = demo.label_table(rows, [DemographicGroup("MANY", "many", (), {})])
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    got = table.agg(F.count("*"), F.sum("general"), F.max("group_total"), F.min("global_nps")).first()
+    assert tuple(got) == (20000, 30000, 30000, 30000)

@@ -91,3 +91,27 @@ def test_sheet_comments_respect_id_filter(spark):
     ids = {r.id for r in reports["comentarios"].collect()}
     assert ids == {some_id}
     assert reports["consolidado"].first()["respuestas"] <= sheet.filter(sheet.c0 == some_id).count()
+
+
+def test_sheet_out_of_a_shuffle_needs_no_ordinal(spark):
+    """Cohort and NPS ride along with the answers: a re-dealt sheet without an ordinal gives the keyed sheet's scores."""
+    sheet = _sheet(spark)
+    keyed = sheet_reports(sheet, universe=1.0, row_ord_col="row_ord")
+    keys = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1000")
+    try:
+        dealt = sheet.join(sheet.select("c0", "row_ord").distinct(), ["c0", "row_ord"]).select(*sheet.columns[:-1]).repartition(7)
+        loose = sheet_reports(dealt, universe=1.0)
+        for name in ("por_pregunta", "consolidado"):
+            assert sorted(map(str, loose[name].collect())) == sorted(map(str, keyed[name].collect()))
+        plan = loose["por_pregunta"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "monotonically" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keys)
+
+
+def test_demographics_ask_for_an_ordinal(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="row_ord_col"):
+        sheet_reports(_sheet(spark), demographics=[DemographicGroup("SEG", "CM", (), {})])
