@@ -165,8 +165,7 @@ def q_label_unmatched(spark, sf_dir):
 def _wanted_names(spark, sf_dir):
     p = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     n = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation has a fixed 25 rows: broadcast is size-bounded.
-    j = p.join(F.broadcast(n), (p.p_partkey % 25) == n.n_nationkey)
+    j = p.join(n, (p.p_partkey % 25) == n.n_nationkey)
     k = F.col("p_partkey")
     kind = (F.floor(k / 25) % 4).cast("int")
     pos = (k % 5 + 1).cast("int")

@@ -163,9 +163,10 @@ def with_index(labels: DataFrame) -> DataFrame:
     sizes = ranked.groupBy("group_ord").agg(F.count(F.lit(1)).alias("__size"))
     offsets = sizes.select("group_ord", (F.sum("__size").over(Window.orderBy("group_ord")) - F.col("__size"))
                            .alias("__offset"))
-    return (ranked.join(F.broadcast(offsets), "group_ord")
-            .withColumn("index", (F.col("__offset") + F.col("__rn") - 1).cast("bigint"))
-            .drop("__rn", "__offset"))
+    # Written once: the apportionments read these report rows several times.
+    return materialize(ranked.join(F.broadcast(offsets), "group_ord")
+                       .withColumn("index", (F.col("__offset") + F.col("__rn") - 1).cast("bigint"))
+                       .drop("__rn", "__offset"), "demographics-index")
 
 
 def nps_shares(labels: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -58,7 +59,7 @@ def start_kpi_stream(responses: DataFrame, publish: Callable[[DataFrame, int], N
                      **cols: str) -> StreamingQuery:
     """Start the incremental KPI query; ``publish(metrics_df, epoch_id)`` receives one row per batch."""
     spark = responses.sparkSession
-    ckpt = checkpoint or ensure_checkpoint_dir(spark).rstrip("/") + "/pulso-stream-kpis"
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip("/")}/pulso-stream-kpis-{uuid.uuid4().hex}"
     raw = raw_cube_stream(responses, **cols)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -149,3 +149,23 @@ def test_results_independent_of_partitioning(spark):
     shuffled = fx.respondents(spark, sf).repartition(7, F.col("cohort_raw"))
     again = sorted(map(tuple, demo.demographic_report(shuffled, fx.FIXTURE_DEMOGRAPHICS).collect()))
     assert base == again
+
+
+def test_apportion_of_one_large_group_matches_plain_ranking(spark):
+    """Thousands of categories with many equal remainders in one group: units go to the largest, ties by index."""
+    import random
+
+    rng = random.Random(5)
+    weights = [rng.choice([0, 1, 1, 2, 3, 50, rng.randint(1, 999)]) for _ in range(6000)] + [0] * 3
+    rows = [(0, i, w) for i, w in enumerate(weights)] + [(1, i, 0) for i in range(3)] + [(2, 0, 7)]
+    df = spark.createDataFrame(rows, "g INT, i INT, w BIGINT")
+    for units in (100, 10000):
+        got = {(r.g, r.i): r.v for r in apportion(df, ["g"], "w", units, ["i"], "v").collect()}
+        total = sum(weights)
+        floors = [w * units // total for w in weights]
+        order = sorted(range(len(weights)), key=lambda k: (-(weights[k] * units % total), k))
+        for k in order[:units - sum(floors)]:
+            floors[k] += 1
+        assert [got[0, i] for i in range(len(weights))] == [f / units for f in floors]
+        assert round(sum(got[0, i] for i in range(len(weights))) * units) == units
+        assert [got[1, i] for i in range(3)] == [None] * 3 and got[2, 0] == 1.0
