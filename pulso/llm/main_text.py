@@ -37,9 +37,12 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form
 ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr
     notice notices notification alert popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs
     sidebar aside widget widgets footer masthead share sharing social related recommended recommendations comment comments disqus
-    reply replies respond toolbar pagination pager skip""".split())
+    reply replies respond toolbar pagination pager skip toc disclaimer copyright paywall donate adbox adslot adsense adunit""".split())
+# Beginnings of such words where they are written together (commentlist, cookiebar, ...).
+ASIDE_STEMS = ("comment", "advert", "cookie", "sidebar", "footer", "navig", "navbar", "breadcrumb", "newsletter", "sponsor")
+# A class of these beginnings describes the page around (has-sidebar, no-banner).
+ABOUT_OTHERS = frozenset("has with without no not js is".split())
 HEADER_WORDS = frozenset(("header", "topbar"))
-KEPT_TAGS = frozenset(("#root", "html", "body", "article", "main"))
 HOLDERS = frozenset(("article", "main"))
 HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 WORD = re.compile(r"[a-z0-9]+")
@@ -49,13 +52,19 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 def _set_aside(node: Node, in_article: bool) -> bool:
     if node.tag in ASIDE_TAGS or (node.tag == "header" and not in_article):
         return True
-    if node.tag in KEPT_TAGS or not node.attrs:
+    if node.tag in ("#root", "html", "body") or not node.attrs:
         return False
     attrs = node.attributes()
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ASIDE_ROLES:
         return True
-    words = set(WORD.findall(CAMEL.sub(" ", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()))
-    return bool(words & ASIDE_WORDS or (not in_article and words & HEADER_WORDS))
+    words: set[str] = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        parts = WORD.findall(CAMEL.sub(" ", name).lower())
+        if parts and parts[0] not in ABOUT_OTHERS:
+            words.update(parts)
+    if node.tag in HOLDERS:     # a reader comment may be an article of its own
+        return any(w.startswith("comment") or w in ("reply", "replies") for w in words)
+    return bool(words & ASIDE_WORDS or any(w.startswith(ASIDE_STEMS) for w in words) or (not in_article and words & HEADER_WORDS))
 
 
 def density(c: int, t: int, lc: int, lt: int, body_share: float) -> float:
@@ -78,10 +87,17 @@ def main_text(html: str) -> str:
     inside, aside = [False] * size, [False] * size
     c, t, lc, lt = ([0] * size for _ in range(4))
     all_c = all_lc = 0
+    # The frame around a main element is not set aside for what it is called.
+    whole: set[int] = set()
+    for k, n in enumerate(nodes):
+        a = up[k] if n.tag == "main" else -1
+        while a >= 0 and a not in whole:
+            whole.add(a)
+            a = up[a]
     for k, n in enumerate(nodes):
         above = up[k]
         inside[k] = n.tag in HOLDERS or (above >= 0 and inside[above])
-        aside[k] = (above >= 0 and aside[above]) or _set_aside(n, above >= 0 and inside[above])
+        aside[k] = (above >= 0 and aside[above]) or (k not in whole and _set_aside(n, above >= 0 and inside[above]))
         t[k], lt[k] = n.tags, n.links
         for p in n.parts:
             if not isinstance(p, Node):
@@ -114,6 +130,9 @@ def main_text(html: str) -> str:
     while core not in frame and up[core] not in frame and any(
             j != core and not aside[j] and dense[j] >= threshold and not linked(j) for j in kids[up[core]]):
         core = up[core]
+    if core in frame:
+        # Blocks side by side: an article or main element with most of the text is the main text.
+        core = next((k for k, n in enumerate(nodes) if n.tag in HOLDERS and not aside[k] and 2 * c[k] >= c[core] > 0), core)
     holder = core
     while holder >= 0 and nodes[holder].tag not in HOLDERS:
         holder = up[holder]

@@ -27,6 +27,10 @@ CASES = {
     "<article><ul><li>one<li>two</ul><pre>x\n y</pre><!-- no <p> --><p>z<br>w</article>": "one\ntwo\nx y\nz w",
     "<article><p title='a > b'>text</p><p title=\"un>closed</p></article>": None,
     "<p>x<!-- open": "x",
+    f"<body><p>Skip</p><article>{P}<div>{P}</div></article><article class='comment'>{P}</article><div>{P[:20]}</div></body>": f"{P.strip()}\n{P.strip()}",
+    f"<div class='page has-sidebar'><div class=content><h1>T</h1><p>{P}</p><p>{P}</p></div><div class=commentlist><p>{P}</p></div></div>": f"T\n{P.strip()}\n{P.strip()}",
+    f"<div id=sidebar-layout><main><p>{P}</p></main></div>": P.strip(),
+    f"<div id='site-header'><h1>Site</h1></div><div class='post'><h1>T</h1><p>{P}</p></div><div id='cookieBar'>{P}</div><div class=ad-slot>{P}</div>": f"T\n{P.strip()}",
 }
 
 
