@@ -78,3 +78,49 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
+
+
+def _any_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+_ASSIGN = f"(?:{_any_case('password|passwd|secret|token|api_?key')})" + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _found(rank: int, pattern: str, group: int = 0) -> str:
+    return (f"SELECT r, {rank} AS rank, regexp_extract_all(t, '{pattern}') AS f, regexp_extract_all(t, '{pattern}', {group}) AS v, "
+            f"string_split_regex(t, '{pattern}') AS g FROM d")
+
+
+# Matches with the lengths of what stands before them added up; every window's entropy from a fresh count of its characters.
+OP3_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_found(0, _ASSIGN, 1)} UNION ALL {_found(1, 'AKIA[A-Z0-9]+')} UNION ALL {_found(2, '[0-9a-f]+')}
+  UNION ALL {_found(3, '[A-Za-z0-9+/_=-]{20,}')}),
+e AS (SELECT r, rank, unnest(f) AS x, unnest(v) AS v, unnest(g[:len(f)]) AS gap, unnest(range(1, len(f) + 1)) AS k FROM m WHERE len(f) > 0),
+p AS (SELECT r, rank, x, v, CAST(sum(length(gap) + length(x)) OVER (PARTITION BY r, rank ORDER BY k) AS BIGINT) AS stop FROM e),
+base AS (SELECT r, rank, stop - length(x) AS start, stop FROM p
+  WHERE (rank = 0 AND length(v) >= 8) OR (rank = 1 AND length(x) >= 16) OR (rank = 2 AND length(x) >= 32)),
+cand AS (SELECT row_number() OVER () AS c, r, x, stop - length(x) AS start,
+    CASE WHEN regexp_full_match(x, '[0-9a-fA-F]+') THEN 3.0 WHEN regexp_full_match(x, '[A-Za-z0-9]+') THEN 3.7 ELSE 3.8 END AS least
+  FROM p WHERE rank = 3
+    AND NOT regexp_matches(lower(x), 'example|sample|dummy|placeholder|changeme|redacted|your[_-]?(key|token|secret)|abcdefgh|01234567|12345678')
+    AND len(list_filter(range(1, length(x) - 4), lambda i: lower(x[i:i + 5]) = repeat(lower(x[i]), 6))) = 0
+    AND NOT regexp_matches(lower(x), '^sha(1|256|384|512)-')
+    AND NOT regexp_full_match(x, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}')
+    AND NOT regexp_full_match(x, '[0-9/_=+-]*|[A-Za-z/_=+-]*')),
+win AS (SELECT c, i, unnest(string_split(x[i:i + 19], '')) AS ch FROM (SELECT c, x, unnest(range(1, length(x) - 18)) AS i FROM cand)),
+ent AS (SELECT c, i, -sum(n / 20 * log2(n / 20)) AS h FROM (SELECT c, i, ch, count(*) AS n FROM win GROUP BY ALL) GROUP BY ALL),
+hot AS (SELECT cand.r, 3 AS rank, any_value(start) + min(i) - 1 AS start, any_value(start) + max(i) + 19 AS stop
+  FROM ent JOIN cand USING (c) WHERE h >= least - 1e-9 GROUP BY c, cand.r),
+spans AS (SELECT * FROM base UNION ALL
+  SELECT r, rank, start, stop FROM hot WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = hot.r AND b.start < hot.stop AND b.stop > hot.start)),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][rank + 1] || ':' || start || ':' || stop AS s FROM spans),
+per AS (SELECT r, count_if(rank = 0) AS n_assign, count_if(rank = 1) AS n_access, count_if(rank = 2) AS n_hex, count_if(rank = 3) AS n_entropy,
+    string_agg(s, ',' ORDER BY start, rank, stop) FILTER (WHERE rank < 3) AS base, string_agg(s, ',' ORDER BY start, rank, stop) AS spans
+  FROM named GROUP BY r)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+  CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, CAST(coalesce(n_entropy, 0) AS BIGINT) AS n_entropy,
+  sha256(coalesce(per.base, '')) AS base_sha256, coalesce(per.spans, '') AS spans
+FROM d LEFT JOIN per USING (r)
+"""

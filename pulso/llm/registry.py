@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import (best_fit_packing, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
                topk_search, toxicity, warc_derive)
 from .common import id_fold, table
-from .oracles import OP2_SQL, OP7_SQL, OP8_SQL
+from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL
 
 
 def _held_out(buckets: int, held: int):
@@ -37,7 +37,11 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["rank"] < 3)
-    count = {k: F.size(F.filter("secrets", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(secret_scan.KINDS)}
+
+    def of_kind(rank: int):
+        return F.filter("secrets", lambda s: s["rank"] == rank)
+
+    count = {k: F.size(of_kind(rank)).cast("long").alias(f"n_{k}") for rank, k in enumerate(secret_scan.KINDS)}
     return found.select("doc_id", count["assign"], count["access"], count["hex"],
                         F.sha2(secret_scan.labels(base), 256).alias("base_sha256"),
                         secret_scan.labels(F.col("secrets")).alias("spans"), count["entropy"])
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_lm_score": OP2_SQL,
+    "op3_secret_scan": OP3_SQL,
     "op7_decontaminate": OP7_SQL,
     "op8_topk_search": OP8_SQL,
 }

@@ -95,15 +95,15 @@ def test_redact_matches_brute_force(scanned):
 
 
 def test_query_digests(spark):
-    rows = {r["doc_id"]: r for r in registry.op3_secret_scan(spark, "/root/testdata/sf0.001").collect()}
-    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = {r["doc_id"]: r for r in registry.op3_secret_scan(spark, "/root/testdata/sf0.1").collect()}
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()}
     assert rows.keys() == docs.keys()
     for k, r in rows.items():
         spans = _brute(docs[k])
         text = lambda xs: ",".join(f"{secret_scan.KINDS[r]}:{a}:{b}" for a, r, b in xs)
         assert r["spans"] == text(spans)
         assert r["base_sha256"] == hashlib.sha256(text([x for x in spans if x[1] < 3]).encode()).hexdigest()
-        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == k for x in spans) for k in range(3)]
+        assert [r["n_assign"], r["n_access"], r["n_hex"], r["n_entropy"]] == [sum(x[1] == k for x in spans) for k in range(4)]
 
 
 def test_empty_table_and_repeated_rows(spark):
