@@ -8,7 +8,9 @@ links below it, the composite density is
 (zero divisors count as one), so text in few tags is dense and linked text
 is not. A block's density sum adds up the densities of its child blocks. Blocks that say what they are by
 element, role, class or id (navigation, page header, footer, sidebar, notice, advert, form, comments, script) are
-set aside first. The block with the largest density sum is the core of the main text; the smallest density on
+set aside first, but never one around an article or main element, nor one with most of the unlinked text of the article or main
+element around it (of the page, if it names no main element). Reader comments beside an article are set aside at any size. If all
+of a page would go that way, only what is no text (scripts, controls) is set aside. The block with the largest density sum is the core of the main text; the smallest density on
 its path to the body is the threshold. The core grows to its parent while another child of that parent reaches the threshold,
 and to the article or main element around it. Inside the result, link lists below the threshold are left out.
 
@@ -32,6 +34,9 @@ from .htmltree import Node, page_text, parse
 
 ASIDE_TAGS = frozenset("""nav footer aside form script style noscript template iframe object svg canvas button select option textarea head title
     dialog menu xmp noembed noframes video audio search""".split())
+# These hold no text of the page, whatever stands around or in them.
+NO_TEXT = frozenset("""script style noscript template iframe object svg canvas button select option textarea head title
+    xmp noembed noframes video audio""".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 # Words of class and id values.
 ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr
@@ -57,14 +62,52 @@ def _set_aside(node: Node, in_article: bool) -> bool:
     attrs = node.attributes()
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ASIDE_ROLES:
         return True
+    words = _words(attrs)
+    if node.tag in HOLDERS:     # a reader comment may be an article of its own
+        return _comments(words)
+    return bool(words & ASIDE_WORDS or any(w.startswith(ASIDE_STEMS) for w in words) or (not in_article and words & HEADER_WORDS))
+
+
+def _words(attrs: dict[str, str]) -> set[str]:
     words: set[str] = set()
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         parts = WORD.findall(CAMEL.sub(" ", name).lower())
         if parts and parts[0] not in ABOUT_OTHERS:
             words.update(parts)
-    if node.tag in HOLDERS:     # a reader comment may be an article of its own
-        return any(w.startswith("comment") or w in ("reply", "replies") for w in words)
-    return bool(words & ASIDE_WORDS or any(w.startswith(ASIDE_STEMS) for w in words) or (not in_article and words & HEADER_WORDS))
+    return words
+
+
+def _comments(words: set[str]) -> bool:
+    return any(w.startswith("comment") or w in ("reply", "replies") for w in words)
+
+
+def _core_path(nodes: list[Node], up: list[int], named: list[bool], free: list[int], never: list[bool]) -> set[int]:
+    """The blocks that are not set aside whatever they are called: those around an article or main element, and those with
+    most of the unlinked text. ``named`` are the blocks called something aside, ``free`` the unlinked characters below each."""
+    size = len(nodes)
+    talk = [named[k] and bool(n.attrs) and _comments(_words(n.attributes())) for k, n in enumerate(nodes)]
+    under_talk = talk[:]
+    for k in range(1, size):
+        under_talk[k] = talk[k] or under_talk[up[k]]
+    holders = {k for k, n in enumerate(nodes) if n.tag in HOLDERS and not named[k] and not never[k] and free[k]}
+    # An article among reader comments is one of them, unless the page has no other.
+    holders = {k for k in holders if nodes[k].tag == "main" or not under_talk[k]} or holders
+    has_main = any(nodes[k].tag == "main" for k in holders)
+    whole: set[int] = set()
+    for a in holders:
+        a = up[a]
+        while a >= 0 and a not in whole:
+            whole.add(a)
+            a = up[a]
+    scope, in_main = [0] * size, [False] * size
+    for k in range(size):
+        a = up[k]
+        if a >= 0:
+            scope[k], in_main[k] = (a if a in holders else scope[a]), in_main[a]
+        in_main[k] = in_main[k] or (k in holders and nodes[k].tag == "main")
+        if 2 * free[k] > free[scope[k]] and (in_main[k] or not has_main) and not (talk[k] and holders):
+            whole.add(k)
+    return whole
 
 
 def density(c: int, t: int, lc: int, lt: int, body_share: float) -> float:
@@ -84,33 +127,41 @@ def main_text(html: str) -> str:
     number = {id(n): k for k, n in enumerate(nodes)}
     up = [number[id(n.parent)] if n.parent else -1 for n in nodes]
     size = len(nodes)
-    inside, aside = [False] * size, [False] * size
-    c, t, lc, lt = ([0] * size for _ in range(4))
+    inside, never, named = [False] * size, [False] * size, [False] * size
+    chars, linked_chars = [0] * size, [0] * size
     all_c = all_lc = 0
-    # The frame around a main element is not set aside for what it is called.
-    whole: set[int] = set()
-    for k, n in enumerate(nodes):
-        a = up[k] if n.tag == "main" else -1
-        while a >= 0 and a not in whole:
-            whole.add(a)
-            a = up[a]
     for k, n in enumerate(nodes):
         above = up[k]
         inside[k] = n.tag in HOLDERS or (above >= 0 and inside[above])
-        aside[k] = (above >= 0 and aside[above]) or (k not in whole and _set_aside(n, above >= 0 and inside[above]))
-        t[k], lt[k] = n.tags, n.links
+        never[k] = n.tag in NO_TEXT or (above >= 0 and never[above])
+        named[k] = _set_aside(n, above >= 0 and inside[above])
         for p in n.parts:
             if not isinstance(p, Node):
-                chars = len("".join(p[0].split()))
-                c[k] += chars
-                lc[k] += chars * p[1]
+                found = len("".join(p[0].split()))
+                chars[k] += found
+                linked_chars[k] += found * p[1]
         if n.tag not in ("script", "style", "title", "head"):
-            all_c, all_lc = all_c + c[k], all_lc + lc[k]
+            all_c, all_lc = all_c + chars[k], all_lc + linked_chars[k]
+    free = [0 if never[k] else chars[k] - linked_chars[k] for k in range(size)]
+    for k in range(size - 1, 0, -1):
+        free[up[k]] += free[k]
+    whole = _core_path(nodes, up, named, free, never)
+    aside = [False] * size
+    for k in range(size):
+        aside[k] = never[k] or (up[k] >= 0 and aside[up[k]]) or (named[k] and k not in whole)
+    if free[0] and not any(chars[k] > linked_chars[k] and not aside[k] for k in range(size)):
+        aside = never
+    return _grow(nodes, up, aside, chars, linked_chars, all_lc / max(all_c, 1))
+
+
+def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int], linked_chars: list[int], share: float) -> str:
+    """The text of the core and what belongs to it; ``chars`` and ``linked_chars`` count each block's own text."""
+    size = len(nodes)
+    c, lc, t, lt = chars[:], linked_chars[:], [n.tags for n in nodes], [n.links for n in nodes]
     for k in range(size - 1, 0, -1):
         if not aside[k]:
             a = up[k]
             c[a], t[a], lc[a], lt[a] = c[a] + c[k], t[a] + t[k] + 1, lc[a] + lc[k], lt[a] + lt[k]
-    share = all_lc / max(all_c, 1)
     dense = [0.0 if aside[k] else density(c[k], t[k], lc[k], lt[k], share) for k in range(size)]
     total = [0.0] * size
     for k in range(1, size):

@@ -67,3 +67,22 @@ def test_column(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "<p>a", "x"), (3, "<p>a", "x")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["m"]) for r in df.withColumn("m", extract("html")).collect()) == [(1, ""), (2, ""), (3, "a"), (3, "a")]
     assert df.limit(0).withColumn("m", extract("html")).collect() == []
+
+
+WRAPPED = [
+    "<form><h1>T</h1>{0}</form>",
+    "<body><form><nav><a href=/>Home</a></nav><div>{0}</div></form></body>",
+    "<div class='page sidebar-right'><article>{0}</article></div>",
+    "<div class='page sidebar-right'><article>{0}</article><div class=sidebar><p>Short note</p></div></div>",
+    "<div class='post hentry category-social tag-cookies'>{0}</div><div class=cookie-bar>We bake</div>",
+    "<main><form>{0}</form></main><footer>Imprint</footer>",
+    "<div><div class=widget>{0}</div><div class=widget>{0}</div></div>",
+    "<article>{0}</article><section id=comments><article>Long reply. " + "Long reply. " * 99 + "</article></section>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_names_never_cost_the_whole_text(page):
+    text = "".join(f"<p>{P}</p>" for _ in range(3))
+    title = ["T"] if "<h1>" in page else []
+    assert main_text(page.format(text)) == "\n".join(title + [P.strip()] * 3 * page.count("{0}"))
