@@ -11,8 +11,10 @@ element, role, class or id (navigation, page header, footer, sidebar, notice, ad
 set aside first, but never one around an article or main element, nor one with most of the unlinked text of the article or main
 element around it (of the page, if it names no main element). Reader comments beside an article are set aside at any size. If all
 of a page would go that way, only what is no text (scripts, controls) is set aside. The block with the largest density sum is the core of the main text; the smallest density on
-its path to the body is the threshold. The core grows to its parent while another child of that parent reaches the threshold,
-and to the article or main element around it. Inside the result, link lists below the threshold are left out.
+its path to the body, body included, is the threshold. The core grows to its parent while another child of that parent joins,
+and to the article or main element around it; children of the body (or of the page, without body) that join it are kept beside it.
+A block joins unless it is set aside or mostly linked; beside an article or main element it must also reach the threshold.
+Inside the result, link lists below the threshold are left out.
 
 Texts of a block have white space turned into single spaces; blocks stand in page order, one a
 line. Inline elements and line breaks do not end a block.
@@ -172,14 +174,24 @@ def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int],
         core = 0
     path = core
     threshold = dense[core]
-    while path >= 0 and path not in frame:
-        threshold, path = min(threshold, dense[path]), up[path]
+    held = False
+    while path >= 0:
+        threshold, held = min(threshold, dense[path]), held or nodes[path].tag in HOLDERS
+        path = -1 if path in frame else up[path]
     kids: dict[int, list[int]] = {}
     for k in range(1, size):
         kids.setdefault(up[k], []).append(k)
     linked = lambda k: lt[k] > 1 and 2 * lc[k] > c[k]
-    while core not in frame and up[core] not in frame and any(
-            j != core and not aside[j] and dense[j] >= threshold and not linked(j) for j in kids[up[core]]):
+
+    def joins(j: int) -> bool:
+        if j == core or j in frame or aside[j] or linked(j):
+            return False
+        return dense[j] >= threshold > 0 or (not held and 2 * lc[j] < c[j])
+
+    def company(k: int) -> bool:
+        return any(map(joins, kids.get(k, ()))) or (not held and linked_chars[k] < chars[k])
+
+    while core not in frame and up[core] not in frame and company(up[core]):
         core = up[core]
     if core in frame:
         # Blocks side by side: an article or main element with most of the text is the main text.
@@ -188,9 +200,13 @@ def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int],
     while holder >= 0 and nodes[holder].tag not in HOLDERS:
         holder = up[holder]
     if holder >= 0:
-        core = holder
+        core, held = holder, True
+    apart: set[int] = set()
+    if core not in frame and up[core] in frame and any(map(company, frame)):
+        apart = {j for k in frame for j in kids.get(k, ()) if j != core and j not in frame and not joins(j)}
+        core = 0
 
-    left_out = {id(n) for k, n in enumerate(nodes) if aside[k] or (
+    left_out = {id(n) for k, n in enumerate(nodes) if aside[k] or k in apart or (
         k != core and linked(k) and dense[k] < threshold and n.tag not in HEADINGS)}
     return page_text(nodes[core], lambda n: id(n) in left_out)
 

@@ -86,3 +86,25 @@ def test_names_never_cost_the_whole_text(page):
     text = "".join(f"<p>{P}</p>" for _ in range(3))
     title = ["T"] if "<h1>" in page else []
     assert main_text(page.format(text)) == "\n".join(title + [P.strip()] * 3 * page.count("{0}"))
+
+
+SIDE_BY_SIDE = [
+    f"<div><p>{P}</p><p>{P}</p><p>{P}</p></div><div><p>{P}</p></div>",
+    f"<div><p>{P}</p><p>{P}</p><p>{P}</p></div><nav><a href=1>one</a></nav><div><p>{P}</p></div><div><a href=1>{P}</a> <a href=2>{P}</a></div>",
+    f"<article><p>{P}</p><p>{P}</p><p>{P}</p></article><article><p>{P}</p></article>",
+    f"<div><p>{P}</p><p>{P}</p><p>{P}</p></div>{P}",
+    "<section>" + f"<p>{P}</p>" * 5 + "</section><section><p>Short one.</p><p>Short two.</p></section>",
+]
+
+
+@pytest.mark.parametrize("page", SIDE_BY_SIDE)
+def test_blocks_side_by_side_do_not_depend_on_an_enclosing_block(page):
+    want = [P.strip()] * 5 + ["Short one.", "Short two."] if "Short" in page else [P.strip()] * 4
+    for around in ("{}", "<body>{}</body>", "<html><head><title>T</title></head><body>{}</body></html>", "<div>{}</div>", "<body><div>{}</div></body>"):
+        assert main_text(around.format(page)).split("\n") == want, around
+
+
+def test_beside_an_article_only_dense_blocks_are_kept():
+    article = f"<article><p>{P}</p><p>{P}</p></article>"
+    for around in ("<body>{}</body>", "<body><div>{}</div></body>"):
+        assert main_text(around.format(f"{article}<div>Tip</div>")) == f"{P.strip()}\n{P.strip()}"
