@@ -64,3 +64,27 @@ def test_missing_classes_and_empty_tables(spark, docs_of):
         assert all(abs(r["p"] - want) < 1e-6 for r in docs.withColumn("p", tx.predict(docs, tx.fit(docs, labels))).collect())
     none = docs.limit(0)
     assert none.withColumn("p", tx.predict(none, tx.fit(none, spark.createDataFrame([(1, 1)], "doc_id long, toxic int")))).collect() == []
+
+
+def test_pairs_of_terms_as_frequent_in_either_class():
+    """Toxic texts hold both terms or neither, clean ones exactly one: alone, neither term says anything."""
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(3000)]
+
+    def texts(terms, n):
+        return [tx.buckets(" ".join([*rng.choice(words, 60), *terms]).encode()) for _ in range(n)]
+
+    model = tx.train(texts(["zorp"], 400) + texts(["glim"], 400) + texts([], 400) + texts(["zorp", "glim"], 400), np.array([0] * 800 + [1] * 800))
+
+    def score(terms):
+        return tx._sigmoid(tx._raw(model, *tx._rows(model.slot, texts(terms, 50)))[0]).mean()
+
+    assert min(score(["zorp", "glim"]), score([])) > 0.5 > max(score(["zorp"]), score(["glim"]))
+
+
+def test_unseen_texts_stop_the_wide_passes():
+    """Chance differences of many rare words are not learned."""
+    rng = np.random.default_rng(6)
+    found = [np.unique(rng.integers(0, 1 << tx.HASH_BITS, 80).astype(np.int32)) for _ in range(400)]
+    model = tx.train(found, np.arange(400) % 2)
+    assert len(model.w) - 1 <= 5
