@@ -72,10 +72,14 @@ def _integral(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
 
 
-def _canonical_ints(ids: Iterable) -> list[int]:
-    """The ids that print back unchanged as integers; no other text can equal an integral id."""
+BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _canonical_ints(ids: Iterable, data_type: T.DataType) -> list[int]:
+    """The ids that print back unchanged as integers of the type; no other text can equal an id of that type."""
     texts = {str(x).strip() for x in ids}
-    return sorted(int(x) for x in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", x))
+    top = 1 << BITS[type(data_type)] - 1
+    return sorted(n for x in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", x) and -top <= (n := int(x)) < top)
 
 
 def filter_ids(df: DataFrame, ids: Iterable | None, id_col: str = "id") -> DataFrame:
@@ -86,8 +90,9 @@ def filter_ids(df: DataFrame, ids: Iterable | None, id_col: str = "id") -> DataF
     """
     if not ids:
         return df
-    if _integral(df.schema[id_col].dataType):
-        return df.filter(F.col(id_col).isin(_canonical_ints(ids)))
+    kind = df.schema[id_col].dataType
+    if _integral(kind):
+        return df.filter(F.col(id_col).isin([F.lit(n).cast(kind) for n in _canonical_ints(ids, kind)]))
     wanted = sorted({str(x).strip() for x in ids})
     return df.filter(F.trim(F.col(id_col).cast("string")).isin(wanted))
 

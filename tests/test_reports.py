@@ -70,6 +70,14 @@ def test_id_filter_native_type_pushes_down(spark):
     assert filter_ids_table(_resp(spark), ids, "id", "x").count() == 2
 
 
+@pytest.mark.parametrize("kind,top", [("BIGINT", 2**63 - 1), ("INT", 2**31 - 1), ("SMALLINT", 2**15 - 1), ("TINYINT", 127)])
+def test_id_filter_takes_the_whole_range_of_the_type(spark, kind, top):
+    df = spark.createDataFrame([(top,), (-top - 1,), (top - 1,), (0,)], f"id {kind}")
+    ids = [str(top), f" {-top - 1} ", str(top + 1), str(-top - 2), "9" * 25, "-0", "007"]
+    assert sorted(r.id for r in filter_ids(df, ids).collect()) == [-top - 1, top]
+    assert filter_ids(df, ids[2:]).count() == 0
+
+
 def test_survey_kpis_row(spark):
     answers = spark.createDataFrame(
         [(1, "Q1", "4"), (2, "Q1", "1"), (3, "Q1", "n/a"), (1, "Q2", "1"), (2, "Q2", "0.5"), (4, "Q3", "9")],
