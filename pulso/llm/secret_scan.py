@@ -5,7 +5,8 @@ long hex strings). On top, candidate strings are scanned with a sliding window:
 Shannon entropy of the last ``WINDOW`` characters follows from counts that are updated
 by the character that enters and the one that leaves, and is held against the threshold of the candidate's
 character class (hex, alphanumeric, base64). The span from the first to the last window
-above it is a finding, unless an allow-list pattern matches the candidate or it overlaps a base span.
+above it is a finding, unless an allow-list pattern matches the candidate or it overlaps a base span. For masking
+(``overlaps``) a stretch is kept beside the base spans it overlaps unless one of them covers it.
 
 Positions are code points, end exclusive. They come from the lengths of the pieces between matches,
 added up by a scan in blocks, so a text with very many matches stays cheap.
@@ -101,8 +102,9 @@ def entropy_window(candidate: str, thresholds: dict[str, float] = THRESHOLDS, wi
 
 
 def scan(docs: DataFrame, text: str = "text", out: str = "secrets", allow: tuple[str, ...] = ALLOW,
-         thresholds: dict[str, float] = THRESHOLDS) -> DataFrame:
-    """``docs`` with ``out``: array of struct(start, rank, end) in order, rank being the place in ``KINDS``."""
+         thresholds: dict[str, float] = THRESHOLDS, overlaps: bool = False) -> DataFrame:
+    """``docs`` with ``out``: array of struct(start, rank, end) in order, rank being the place in ``KINDS``.
+    ``overlaps`` keeps entropy spans that reach beyond the base spans they overlap."""
     rows = docs.withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = _matches(rows, "__text", {"assign": (ASSIGN, 1), "access": (ACCESS, 0), "hex": (HEX, 0), "entropy": (CANDIDATE, 0)})
     allowed = " OR ".join(f"c.match RLIKE {_quote(p)}" for p in allow) or "false"
@@ -115,9 +117,11 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secrets", allow: tuple
     # An entropy span is dropped if a base span that starts before it reaches into it, or the next span (a base one then) starts inside it.
     rows = rows.withColumn("__base_end", F.expr("transform(__all, s -> if(s.rank = 3, 0, s.end))"))
     rows = rows.withColumn("__base_reach", F.expr(_scan("__base_end", "greatest({0}, {1})", "0")))
+    # With overlaps only one within the base spans before it is dropped; one that starts with a base span sorts after it.
+    apart = "x.r < x.s.end" if overlaps else "(x.r <= x.s.start AND NOT coalesce(x.n.rank < 3 AND x.n.start < x.s.end, false))"
     kept = F.expr("transform(filter(zip_with(arrays_zip(__all, __base_reach), "
                   f"concat(slice(__all, 2, size(__all)), array(CAST(null AS {SPAN[6:-1]}))), (x, n) -> named_struct('s', x.__all, 'r', x.__base_reach, 'n', n)), "
-                  "x -> x.s.rank < 3 OR (x.r <= x.s.start AND NOT coalesce(x.n.rank < 3 AND x.n.start < x.s.end, false))), x -> x.s)")
+                  f"x -> x.s.rank < 3 OR {apart}), x -> x.s)")
     return rows.withColumn(out, F.when(F.size("__all") > 0, kept).otherwise(F.array().cast(SPAN))).select(*docs.columns, out)
 
 
@@ -131,10 +135,10 @@ def labels(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[secret]", overlaps: bool = False) -> DataFrame:
     """``docs`` with every found span replaced by ``mask`` (overlapping spans by one); other texts stay as they are."""
     cols = docs.columns
-    rows = scan(docs, "text", "__secrets").withColumn("__ends", F.expr("transform(__secrets, s -> s.end)"))
+    rows = scan(docs, "text", "__secrets", overlaps=overlaps).withColumn("__ends", F.expr("transform(__secrets, s -> s.end)"))
     rows = rows.withColumn("__reach", F.expr(_scan("__ends", "greatest({0}, {1})", "0")))
     # Before each span stands the text from where the spans before it end; nothing if they reach into it.
     parts = F.expr("zip_with(__secrets, concat(array(0), slice(__reach, 1, size(__reach) - 1)), (s, r) -> "

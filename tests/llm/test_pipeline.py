@@ -127,3 +127,11 @@ def test_language_stage_rejects_only_what_has_no_language(spark):
     kept = {r["doc_id"] for r in cp.keep_known_languages(spark, docs, "").collect()}
     assert kept == {*range(60), 62}
     assert language_id.UNDETERMINED == "und"
+
+
+def test_no_part_of_a_secret_beside_another_is_left(spark):
+    """The assignment starts inside the high-entropy stretch; the key before it is masked too."""
+    key = "aB3xK9qLm2Zr7TyW5pVd"
+    docs = spark.createDataFrame([(1, f"see /{key}/token=abcd1234 here", None), (2, f"token={key} here", None)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in cp.mask_secrets(spark, docs, SF).collect()}
+    assert key not in got[1] and "abcd1234" not in got[1] and got[1].endswith(" here") and got[2] == "[secret] here"
