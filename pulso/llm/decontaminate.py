@@ -209,7 +209,7 @@ def _finder(shared):
 
 
 def _blocks(benchmark: DataFrame, item_id: str, window: int, block_words: int) -> list[DataFrame]:
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col("text").cast("string").alias("text")).distinct()
     words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10ffff}]+")))).first()[0] or 0
     n = max(1, -(-words // block_words))
     return [items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]

@@ -82,3 +82,16 @@ def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert [r["f"]["n_hit"] for r in dc.annotate(docs_of([(1, "a b"), (2, None)]), bench, out="f").collect()] == [0, 0]
     assert dc.remove(docs_of([]), spark.createDataFrame(ITEMS, "item_id long, text string")).collect() == []
+
+
+def test_copies_of_a_benchmark_row_are_dealt_once(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    rows = [("a", text)] * 50 + [("b", text), ("a", text + " twelve"), ("c", None), ("c", None)]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    assert len(dc._blocks(bench, "item_id", 10, 100)) == 1
+    many = dc._blocks(bench, "item_id", 10, 20)
+    dealt = [(r["item"], r["text"]) for b in many for r in b.collect()]
+    assert len(many) == 2 and len(dealt) == len(set(dealt)) == 4
+    docs = spark.createDataFrame([(1, "zero " + text), (2, "nothing")], "doc_id long, text string")
+    hit = {r["doc_id"]: r["found"] for r in dc.annotate(docs, bench, 10, block_words=20).collect()}
+    assert (hit[1]["n_hit"], list(hit[1]["items"]), hit[2]["n_hit"]) == (11, ["a", "b"], 0)
