@@ -124,3 +124,37 @@ SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesc
   sha256(coalesce(per.base, '')) AS base_sha256, coalesce(per.spans, '') AS spans
 FROM d LEFT JOIN per USING (r)
 """
+
+def _cluster_sql(k: int = 8, rounds: int = 10) -> str:
+    """Every round as two tables: the nearest centroid of each vector, then floored means by division with a remainder that is never negative."""
+    out = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS INTEGER) AS c, v
+  FROM kept QUALIFY c < {k}
+)"""]
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(kept.v) AS v,
+    min([list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c]) AS near
+  FROM kept CROSS JOIN c{i} GROUP BY r
+)""")
+        if i < rounds:
+            out.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS v
+    FROM (SELECT c, d, sum(x) AS s, count(*) AS n FROM (SELECT near[2] AS c, unnest(v) AS x, unnest(range(64)) AS d FROM a{i}) GROUP BY ALL) GROUP BY c
+  ) m USING (c)
+)""")
+    return ",\n".join(out) + f"""
+SELECT vec_id, CAST(near[2] AS INTEGER) AS cluster, CAST(near[1] AS BIGINT) AS distance,
+  CAST(sum(near[1]) OVER (PARTITION BY near[2]) AS BIGINT) AS cluster_inertia, CAST(sum(near[1]) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON near[2] = c
+"""
+
+
+OP11_SQL = _cluster_sql()

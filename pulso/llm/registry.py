@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit_packing, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
+from . import (best_fit_packing, centroid_cluster, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
                topk_search, toxicity, warc_derive)
 from .common import id_fold, table
-from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL
+from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP11_SQL
 
 
 def _held_out(buckets: int, held: int):
@@ -86,6 +86,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op11_centroid_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_cluster.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed="3", dim=64, scale=1024)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_main_text": op9_main_text,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_centroid_cluster": op11_centroid_cluster,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -104,4 +111,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_secret_scan": OP3_SQL,
     "op7_decontaminate": OP7_SQL,
     "op8_topk_search": OP8_SQL,
+    "op11_centroid_cluster": OP11_SQL,
 }
