@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (best_fit_packing, centroid_cluster, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
-               topk_search, toxicity, warc_derive)
+               token_count, topk_search, toxicity, warc_derive)
 from .common import id_fold, table
 from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP11_SQL
 
@@ -92,6 +93,13 @@ def op11_centroid_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
 
 
+def op12_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "n_tokens", token_count.n_tokens(spark, "text", public_tokenizers.path("byte_bpe_50k.json")))
+    return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+                          (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -104,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_centroid_cluster": op11_centroid_cluster,
+    "op12_token_count": op12_token_count,
 }
 
 ORACLE_SQL: dict[str, str] = {
