@@ -158,3 +158,72 @@ FROM a{rounds} JOIN c{rounds} ON near[2] = c
 
 
 OP11_SQL = _cluster_sql()
+
+
+def _least(*ways: str) -> str:
+    """The cheapest of (cost, audit) rows, NULL ones aside; equal costs by audit."""
+    return f"list_min(list_filter([{', '.join(ways)}], lambda w: w.c IS NOT NULL))"
+
+
+def _way(place: str, cost: str, edit: str, when: str = "true") -> str:
+    return f"CASE WHEN {when} THEN {{'c': {place}.c + {cost}, 'a': {place}.a || '{edit}'}} END"
+
+
+def _repair_sql() -> str:
+    """Whole audits as strings, one row of every conversation per step; the damage is dealt by the same checksum as elsewhere."""
+    stays = "f IN (0, 3)"
+    more = "5 * CAST(f = 3 AS INT)"
+    edit = lambda place, initial, to: [_way(place, more, "K", f"{stays} AND i = '{initial}'")] + ([_way(place, f"1 + {more}", "R", stays)] if to else [])
+    step = {
+        "e": [_way("e", "2", "D")],
+        "s": [_way("s", "2", "D"), *edit("e", "s", False)],
+        "u": [_way("u", "2", "D"), *(w for p in ("e", "s", "p") for w in edit(p, "u", True))],
+        "p": [_way("p", "2", "D"), *edit("u", "a", True)],
+    }
+    inserted = (f"SELECT *, {_least('p0', _way('u', '5', 'I'))} AS p FROM (SELECT * EXCLUDE (u, p), p AS p0, "
+                f"{_least('u', _way('e', '5', 'I'), _way('s', '5', 'I'), _way('p', '5', 'I'))} AS u FROM %s)")
+    crc = CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    white = r"\x20\x09-\x0D"
+    return rf"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS kind FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM dealt WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER w AS k, role[1] AS i, lag(role[1]) OVER w || role[1] AS pair,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), turns AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, CASE WHEN NOT regexp_matches(text, '[^{white}]') THEN 1 WHEN nth > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][{white}]*$') THEN 3 ELSE 0 END AS f FROM placed
+), dp AS (
+  SELECT c, 0::BIGINT AS k, {{'c': 0, 'a': ''}} AS e, {{'c': NULL::INTEGER, 'a': NULL::VARCHAR}} AS s, s AS u, s AS p FROM turns GROUP BY c
+  UNION ALL
+  SELECT c, k, {_least(*step['e'])} AS e, {_least(*step['s'])} AS s, {_least(*step['u'])} AS u, {_least(*step['p'])} AS p
+  FROM (SELECT x.* EXCLUDE (k), turns.k, i, f FROM ({inserted % 'dp'}) x JOIN turns ON turns.c = x.c AND turns.k = x.k + 1)
+), done AS (
+  SELECT c, best.c AS cost, best.a AS audit FROM (SELECT c, {_least('e', 'p')} AS best FROM ({inserted % '(SELECT * FROM dp QUALIFY k = max(k) OVER (PARTITION BY c))'}))
+), edits AS (
+  SELECT c, n, audit[n] AS edit, n - length(replace(audit[1:n], 'I', '')) AS inserted, length(replace(audit[1:n], 'D', '')) AS m
+  FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS n FROM done)
+), kept AS (
+  SELECT edits.c, m, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, CASE WHEN edit = 'K' THEN role END AS role,
+    max(CASE WHEN m = 1 AND edit = 'K' AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY edits.c) AS led
+  FROM edits LEFT JOIN turns ON turns.c = edits.c AND turns.k = n - inserted AND edit <> 'I' WHERE edit <> 'D'
+), lines AS (
+  SELECT c, string_agg(coalesce(role, CASE WHEN (m - led) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY m) AS lines FROM kept GROUP BY c
+), counted AS (
+  SELECT c, any_value(conv_id) AS conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(f = 1) AS blank,
+    count_if(f = 2) AS duplicate, count_if(f = 3) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY c
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN done USING (c) LEFT JOIN lines USING (c)
+"""
+
+
+OP13_SQL = _repair_sql()

@@ -12,10 +12,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit_packing, centroid_cluster, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
+from . import (best_fit_packing, centroid_cluster, conversation_repair, decontaminate, language_id, lm_score, main_text, secret_scan, simhash_dedup,
                token_count, topk_search, toxicity, warc_derive)
 from .common import id_fold, table
-from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP11_SQL
+from .oracles import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP11_SQL, OP13_SQL
 
 
 def _held_out(buckets: int, held: int):
@@ -100,6 +100,10 @@ def op12_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -113,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_centroid_cluster": op11_centroid_cluster,
     "op12_token_count": op12_token_count,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -121,4 +126,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
     "op8_topk_search": OP8_SQL,
     "op11_centroid_cluster": OP11_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
