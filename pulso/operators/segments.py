@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import answered_label, answered_raw, norm_label, norm_label_loose, plain_label
 from ..sources.dims import COHORT_VARIANTS, NPS_VARIANTS
+from ..sources.letters import quoted
 
 
 def classify_normalised(norm: Column, vocab: Mapping[str, Iterable[str]], loose: bool = False) -> Column:
@@ -59,11 +60,13 @@ def with_segments(df: DataFrame, cohort_col: str | None = "cohort_raw", nps_col:
 
 
 def row_nonblank(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """the row has at least one non-null cell."""
+    """the row has at least one non-null cell. Where labels repeat, the cells have to be of one type."""
     from functools import reduce
 
     cols = columns or df.columns
-    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols], F.lit(False))
+    if len(set(cols)) < len(cols):
+        return F.expr("coalesce(*)").isNotNull()
+    return reduce(lambda a, b: a | b, [F.col(quoted(c)).isNotNull() for c in cols], F.lit(False))
 
 
 # --- F1: ID filter ------------------------------------------------------------

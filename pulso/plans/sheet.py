@@ -10,31 +10,43 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.hierarchy import hierarchy_report
 from ..operators.segments import filter_ids
 from ..sources import layout
 from ..sources.dims import DemographicGroup, HierarchyNode
-from ..sources.letters import column_name, index_to_letter, select_letters
+from ..sources.letters import by_position, index_to_letter, position_name, select_letters
+from ..sources.sheets import Sheet
 from .demographics import demographic_report
 from .kpis import survey_kpis
 from .question_matrix import question_matrix
 
 
-def sheet_reports(sheet: DataFrame, hierarchy: Sequence[HierarchyNode] = (),
+def sheet_reports(sheet: DataFrame | Sheet, hierarchy: Sequence[HierarchyNode] = (),
                   demographics: Sequence[DemographicGroup] = (), universe: DataFrame | float | None = None,
                   template: DataFrame | None = None, ids: Iterable | None = None, row_ord_col: str | None = None,
                   label_mode: str = "raw", default_agg: str = "unweighted") -> dict[str, DataFrame]:
     """{"consolidado", "por_pregunta", "indice_clima", "demografia", "comentarios"} -> DataFrame.
 
-    An ID filter cuts the sheet itself, before it is unpivoted. The demographic
-    report orders categories by their first row, so it needs ``row_ord_col``.
+    Columns are addressed by position alone, so labels may hold anything and repeat. An ID filter cuts the sheet
+    itself, before it is unpivoted. The demographic report orders categories by their first row: ``row_ord_col`` names
+    the ordinal; a ``Sheet`` read with ``ordinal=True`` has its own.
     """
+    if isinstance(sheet, Sheet):
+        sheet, row_ord_col = sheet.rows, row_ord_col or ("row_ord" if "row_ord" in sheet.rows.columns else None)
+    if row_ord_col:     # behind the cells, where it takes no letter
+        at = sheet.columns.index(row_ord_col)
+        sheet = by_position(sheet)
+        sheet = sheet.select(*sheet.columns, F.col(f"c{at}").alias("row_ord"))
+        sheet, row_ord_col = (sheet.drop(f"c{at}") if at == len(sheet.columns) - 2 else sheet), "row_ord"
+    else:
+        sheet = by_position(sheet)
     if ids:
-        sheet = filter_ids(sheet, ids, column_name(sheet, layout.ROLE_LETTERS["id"]))
+        sheet = filter_ids(sheet, ids, position_name(sheet, layout.ROLE_LETTERS["id"]))
     demo_groups = layout.resolve_groups(sheet, list(demographics))
-    # Demographic columns are kept in the respondents table under their own names.
-    roles = {g.column: _letter_of(sheet, g.column) for g in demo_groups if _letter_of(sheet, g.column)}
+    # Demographic columns are kept in the respondents table under their position's name.
+    roles = {g.column: index_to_letter(int(g.column[1:])) for g in demo_groups if g.column in sheet.columns}
     respondents, answers = layout.split_sheet(sheet, row_ord_col, roles)
     questions, members = layout.kpi_questions()
     out = {
@@ -47,12 +59,6 @@ def sheet_reports(sheet: DataFrame, hierarchy: Sequence[HierarchyNode] = (),
         out["indice_clima"] = hierarchy_report(answers, list(hierarchy), default_agg)
     if demo_groups:
         if not row_ord_col:
-            raise ValueError("the demographic report needs row_ord_col: categories are ordered by their first row")
+            raise ValueError("the demographic report needs row_ord_col, or a sheet read with ordinal=True: categories are ordered by their first row")
         out["demografia"] = demographic_report(respondents, demo_groups, "nps_raw", None, label_mode)
     return out
-
-
-def _letter_of(sheet: DataFrame, name: str) -> str | None:
-    if name in sheet.columns:
-        return index_to_letter(sheet.columns.index(name))
-    return None

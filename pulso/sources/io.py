@@ -14,37 +14,28 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Cell texts a spreadsheet/pandas reader treats as missing by default.
-NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-             "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
-
+from .letters import quoted
+from .sheets import NA_TOKENS, read_sheet
 
 def read_survey(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None,
-                na_tokens: Iterable[str] | None = NA_TOKENS, **options: str) -> DataFrame:
-    """Read a survey sheet. CSV is read with a header row and all cells as STRING;
-    files split over tasks unless cells hold line breaks (``multiLine="true"``).
+                na_tokens: Iterable[str] | None = NA_TOKENS, ordinal: bool = False, **options: str) -> DataFrame:
+    """The rows of a survey sheet under their labels; ``sheets.read_sheet`` also gives positions and rejected records.
 
-    Text cells equal to an NA token become NULL (numeric columns of a typed
-    source are left alone).
+    CSV cells are STRING, and every file is read by its own header; files split over tasks unless cells hold line breaks
+    (``multiLine="true"``). Text cells equal to an NA token become NULL (numeric columns of a typed source are left
+    alone). ``ordinal`` adds ``row_ord``, the place of every row in the sheet.
     """
-    reader = spark.read
-    if schema:
-        reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    df = reader.format(fmt).load(path)
-    if not na_tokens:
-        return df
-    tokens = list(na_tokens)
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if f.dataType.simpleString() == "string":
-            c = F.when(~c.isin(*tokens), c)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    if schema:      # a declared schema fixes names and order
+        if ordinal:
+            raise ValueError("a sheet is numbered by its files' own layout: leave the schema out")
+        if fmt == "csv":
+            options = {"header": "true", **options}
+        df = spark.read.schema(schema).options(**options).format(fmt).load(path)
+        cells = [F.when(~F.col(quoted(f.name)).isin(*na_tokens), F.col(quoted(f.name))).alias(f.name)
+                 if na_tokens and f.dataType.simpleString() == "string" else F.col(quoted(f.name)) for f in df.schema.fields]
+        return df.select(*cells)
+    multi_line = str(options.pop("multiLine", "false")).lower() == "true"
+    return read_sheet(spark, path, fmt, ordinal, multi_line, options.pop("sep", ","), na_tokens, **options).labelled()
 
 
 def _jfs(spark: SparkSession, path: str):

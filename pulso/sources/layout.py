@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .dims import DemographicGroup, Question
-from .letters import column_name, letter_range, wide_to_canonical
+from .letters import letter_range, position_name, wide_to_canonical
 
 # Column letters of the respondent roles.
 ROLE_LETTERS = {
@@ -128,10 +128,10 @@ def split_sheet(sheet: DataFrame, row_ord_col: str | None = None,
 
 
 def resolve_groups(sheet: DataFrame, groups: list[DemographicGroup]) -> list[DemographicGroup]:
-    """Demographic groups with their letters replaced by the sheet's column names
+    """Demographic groups with their letters replaced by positions of the sheet, ``by_position``
     (unresolvable letters such as '?' stay as they are and are skipped later)."""
     out = []
     for g in groups:
-        name = column_name(sheet, g.column) if g.column and g.column != "?" else None
+        name = position_name(sheet, g.column) if g.column and g.column != "?" else None
         out.append(DemographicGroup(g.group, name or g.column, g.order, g.normalize))
     return out
