@@ -6,6 +6,7 @@ them runs small jobs (materialised pre-aggregates, the bounded fetch of a label
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,11 @@ from .plans.question_matrix import question_matrix
 from .plans.sheet import sheet_reports
 from .sources import fixtures as fx
 from .session import stage_path
-from .sources.dims import question_dim, template_from_table
+from .sources.dims import (DemographicGroup, demographic_groups, hierarchy_nodes, question_dim, read_demographic_json,
+                           read_hierarchy_json, template_from_table)
 from .sources.io import list_reports, read_report, write_report
-from .sources.letters import index_to_letter, select_letters
+from .sources.letters import index_to_letter, select_letters, wide_to_canonical
+from .sources.sheets import read_sheet, write_sheet
 
 # Fixed parameters of the ID-filter queries: literal ids (with padding to
 # exercise trimming, plus one that matches nothing).
@@ -368,6 +371,96 @@ def q_sheet_kpis(spark, sf_dir):
     return sheet_reports(wide_sheet(spark, sf_dir), universe=_universe(spark, sf_dir))["consolidado"]
 
 
+# --- sheets as files ------------------------------------------------------------
+
+# Fixed parameters: labels with dots, a repeat and backticks, and the order of the columns in each of four files.
+SHEET_LABELS = ("ID.", "¿Nombre?", "x`y", "x`y", "Saldo. 1")
+SHEET_ORDERS = ((0, 1, 2, 3, 4), (4, 2, 0, 3, 1), (2, 1, 3, 4, 0), (1, 4, 2, 3, 0))
+
+
+def _customer_sheet(spark, sf_dir):
+    """The customers in files of four column orders, and one of records that are no rows."""
+    c = fx.table(spark, sf_dir, "customer")
+    base = stage_path(spark, "customer-sheet")
+    fields = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
+    folders = [f"{base}/order{i}" for i in range(len(SHEET_ORDERS))] + [f"{base}/broken"]
+    for i, (order, folder) in enumerate(zip(SHEET_ORDERS, folders)):
+        part = c.filter(F.col("c_custkey") % len(SHEET_ORDERS) == i)
+        write_sheet(part.select(*[fields[j] for j in order]), folder, [SHEET_LABELS[j] for j in order])
+    broken = c.filter(F.col("c_custkey") % 97 == 0).select(
+        F.concat(F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, F.lit(',"open')).otherwise(F.lit(",too,many"))).alias("value"))
+    broken.write.text(f"{base}/lines")
+    # every file of records begins with its header, as files of a sheet do
+    lines = spark.read.text(f"{base}/lines")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines.select(F.when(first, F.concat(F.lit("ID.,¿Nombre?\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(folders[-1])
+    return read_sheet(spark, folders)
+
+
+def q_sheet_csv_read(spark, sf_dir):
+    rows = _customer_sheet(spark, sf_dir).rows
+    return rows.select(F.col("c0").cast("bigint").alias("c_custkey"), F.col("c1").alias("c_name"), F.col("c2").cast("int").alias("c_nationkey"),
+                       F.col("c3").alias("c_mktsegment"), F.col("c4").cast("double").alias("c_acctbal"))
+
+
+def q_sheet_csv_rejects(spark, sf_dir):
+    rejects = _customer_sheet(spark, sf_dir).rejects
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(F.substring_index("record", ",", 1).cast("bigint")).alias("key_sum"))
+
+
+def q_sheet_row_ordinal(spark, sf_dir):
+    """Orders written in key order, numbered again from CSV and from Parquet files."""
+    base = stage_path(spark, "ordinal-sheet")
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority").repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey")
+    write_sheet(o, f"{base}/csv")
+    o.write.parquet(f"{base}/parquet")
+    both = [read_sheet(spark, f"{base}/{fmt}", fmt, ordinal=True).rows.select(F.lit(fmt).alias("fmt"), "row_ord", F.col("c0").cast("bigint").alias("o_orderkey"))
+            for fmt in ("csv", "parquet")]
+    return both[0].unionByName(both[1])
+
+
+def q_sheet_demographics(spark, sf_dir):
+    """The demographic report of a CSV sheet whose rows have no ordinal but their place."""
+    folder = f"{stage_path(spark, 'demographic-sheet')}/csv"
+    r = fx.respondents(spark, sf_dir).repartitionByRange(6, "row_ord").sortWithinPartitions("row_ord")
+    write_sheet(r.select("id", "nps_raw", "dem_segment_raw", "dem_status_raw"), folder, ["ID.", "NPS.", "Área.", "Área."])
+    sheet = read_sheet(spark, folder, ordinal=True)
+    roles = {"id": "A", "nps_raw": "B", "dem_segment_raw": "C", "dem_status_raw": "D"}
+    return demo.demographic_report(wide_to_canonical(sheet.rows, {}, roles, "row_ord")[0], fx.FIXTURE_DEMOGRAPHICS)
+
+
+def q_demographic_free_text(spark, sf_dir):
+    """A free-text demographic with as many labels as rows beside one with few."""
+    o = fx.table(spark, sf_dir, "orders")
+    r = o.select(F.col("o_orderkey").alias("row_ord"), F.lit("Pasivo").alias("nps_raw"), F.col("o_orderpriority").alias("few"),
+                 F.concat_ws(" ", F.lit("pedido"), F.col("o_orderkey").cast("string"), F.col("o_orderpriority")).alias("many"))
+    groups = [DemographicGroup("FEW", "few", (), {}), DemographicGroup("MANY", "many", (), {})]
+    return demo.with_index(demo.label_table(r, groups)).select("index", "grupo", "label", F.col("general").cast("bigint").alias("general"), "first_seen")
+
+
+def _mapping_file(spark, name, content):
+    """A mapping file in the shared stage folder."""
+    path = stage_path(spark, name)
+    spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def q_demographic_mapped(spark, sf_dir):
+    """Groups, and the NPS column as a default, from a mapping file; labels with their prefix."""
+    mapping = {"defaults": {"npsColumn": "nps_raw"}, "groups": [
+        {"group": g.group, "column": g.column, "order": list(g.order), "normalize": dict(g.normalize)} for g in fx.FIXTURE_DEMOGRAPHICS]}
+    groups, defaults = demographic_groups(read_demographic_json(spark, _mapping_file(spark, "demographics", mapping)))
+    return demo.demographic_report(fx.respondents(spark, sf_dir), groups, defaults["npsColumn"], label_mode="prefixed")
+
+
+def q_hierarchy_mapped(spark, sf_dir):
+    """The tree from a mapping file with columns as comma-separated text and the aggregation as a default."""
+    mapping = {"defaults": {"groupAggregation": "unweighted"}, "rows": [
+        {"label": n.label, "kind": n.kind, "columns": " , ".join(n.columns), "children": list(n.children)} for n in fx.FIXTURE_HIERARCHY]}
+    nodes, defaults = hierarchy_nodes(read_hierarchy_json(spark, _mapping_file(spark, "hierarchy", mapping)))
+    return hierarchy_report(fx.answers(spark, sf_dir), nodes, defaults["groupAggregation"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nps_overall": q_nps_overall,
     "nps_by_cohort": q_nps_by_cohort,
@@ -409,4 +502,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "number_forms": q_number_forms,
     "sheet_question_matrix": q_sheet_question_matrix,
     "sheet_kpis": q_sheet_kpis,
+    "sheet_csv_read": q_sheet_csv_read,
+    "sheet_csv_rejects": q_sheet_csv_rejects,
+    "sheet_row_ordinal": q_sheet_row_ordinal,
+    "sheet_demographics": q_sheet_demographics,
+    "demographic_free_text": q_demographic_free_text,
+    "demographic_mapped": q_demographic_mapped,
+    "hierarchy_mapped": q_hierarchy_mapped,
 }

@@ -29,11 +29,12 @@ def apportion(df: DataFrame, partition_cols: Sequence[str], weight_col: str, uni
               tie_cols: Sequence[str], out_col: str) -> DataFrame:
     """Add ``out_col`` = apportioned units / ``units`` (DOUBLE); NULL where the partition total is <= 0."""
     parts, place = list(partition_cols), F.struct(*[F.col(c) for c in tie_cols])
-    weighed = df.withColumn("__w", F.col(weight_col).cast("bigint"))
+    # 28 digits: room for any BIGINT weight times any units, and for sums of them
+    weighed = df.withColumn("__w", F.col(weight_col).cast("bigint").cast("decimal(28,0)"))
     totals = weighed.groupBy(*parts).agg(F.sum("__w").alias("__tot"))
     shared = (weighed.join(totals, parts)
-              .withColumn("__floor", F.when(F.col("__tot") > 0, F.expr(f"(__w * {int(units)}) div __tot")))
-              .withColumn("__key", F.when(F.col("__tot") > 0, F.struct((-F.expr(f"(__w * {int(units)}) % __tot")).alias("r"), place.alias("p")))))
+              .withColumn("__floor", F.when(F.col("__tot") > 0, F.expr(f"(__w * {int(units)}BD) div __tot")))
+              .withColumn("__key", F.when(F.col("__tot") > 0, F.struct((-F.expr(f"(__w * {int(units)}BD) % __tot")).alias("r"), place.alias("p")))))
     # Three branches below read these rows.
     shared = materialize(shared, "apportion")
     need = shared.groupBy(*parts).agg((F.lit(units) - F.sum("__floor")).alias("__need"))

@@ -181,8 +181,11 @@ FROM seg"""
     q.update(_matrix_and_matching())
     q["hierarchy_rollup"] = _hierarchy_sql()
     q.update(_demographics_sql())
-    q["report_roundtrip"] = q["demographic_report"]
+    q["report_roundtrip"] = q["sheet_demographics"] = q["demographic_report"]
+    q["demographic_mapped"] = q["demographic_report"].replace("w1.display_raw AS variable", "w1.label AS variable")
+    q["hierarchy_mapped"] = q["hierarchy_rollup"]
     q.update(_misc_sql())
+    q.update(_files_sql())
     return q
 
 
@@ -232,6 +235,22 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
     return q
 
 
+def _files_sql() -> dict[str, str]:
+    """What was written is what is read."""
+    return {
+        "sheet_csv_read": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal FROM customer",
+        "sheet_csv_rejects": """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'quotes' ELSE 'cells' END AS reason, count(*) AS n,
+  CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer WHERE c_custkey % 97 = 0 GROUP BY 1""",
+        "sheet_row_ordinal": """SELECT fmt, row_number() OVER (PARTITION BY fmt ORDER BY o_orderkey) - 1 AS row_ord, o_orderkey
+FROM orders, (VALUES ('csv'), ('parquet')) f(fmt)""",
+        "demographic_free_text": """
+WITH few AS (SELECT o_orderpriority AS label, count(*) AS general, min(o_orderkey) AS first_seen FROM orders GROUP BY 1),
+many AS (SELECT concat_ws(' ', 'pedido', CAST(o_orderkey AS VARCHAR), o_orderpriority) AS label, 1 AS general, o_orderkey AS first_seen FROM orders)
+SELECT CAST(row_number() OVER (ORDER BY grupo, first_seen) - 1 AS BIGINT) AS index, grupo, label, CAST(general AS BIGINT) AS general, first_seen
+FROM (SELECT 'FEW' AS grupo, * FROM few UNION ALL SELECT 'MANY', * FROM many)""",
+    }
+
+
 def _sheet_sql() -> dict[str, str]:
     """The wide sheet: one cell per row and question (its smallest text); Q1..Q7 stand at AL..AR and, again, at
     the sub-components IC..IF (axis IB) and IH..IJ (axis IG)."""

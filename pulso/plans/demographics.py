@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import EMPTY_LIKE, norm_label, plain_label, plain_without_prefix, strip_numeric_prefix
 from ..operators.apportion import apportion
+from ..operators.numbering import running_index
 from ..operators.segments import filter_ids
 from ..session import materialize
 from ..sources.dims import NPS_VARIANTS, DemographicGroup
@@ -151,22 +152,9 @@ def _remap_implicit(pre: DataFrame, group_ords: list[int]) -> DataFrame:
 
 
 def with_index(labels: DataFrame) -> DataFrame:
-    """W3 + O1/O2/O6: 0-based running index in (group order, label order, count desc, first seen).
-
-    A row number within each group plus the group's offset (the number of
-    labels of the groups before it). The offsets come from a per-group count,
-    which has at most one row per configured group, so no window ever spans
-    the whole table.
-    """
-    w = Window.partitionBy("group_ord").orderBy("order_idx", F.col("general").desc(), "first_seen")
-    ranked = labels.withColumn("__rn", F.row_number().over(w))
-    sizes = ranked.groupBy("group_ord").agg(F.count(F.lit(1)).alias("__size"))
-    offsets = sizes.select("group_ord", (F.sum("__size").over(Window.orderBy("group_ord")) - F.col("__size"))
-                           .alias("__offset"))
-    # Written once: the apportionments read these report rows several times.
-    return materialize(ranked.join(F.broadcast(offsets), "group_ord")
-                       .withColumn("index", (F.col("__offset") + F.col("__rn") - 1).cast("bigint"))
-                       .drop("__rn", "__offset"), "demographics-index")
+    """W3 + O1/O2/O6: 0-based running index in (group order, label order, count desc, first seen)."""
+    order = [F.col("group_ord"), F.col("order_idx"), F.col("general").desc(), F.col("first_seen"), F.col("label")]
+    return running_index(labels, order, "index", "demographics")
 
 
 def nps_shares(labels: DataFrame) -> DataFrame:
