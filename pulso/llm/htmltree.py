@@ -22,12 +22,24 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr"}, {"table", "thead", "tbody", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "thead": ({"thead", "tbody", "tfoot"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
             "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
-MARKUP = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)
-    |<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?>[^>"']++|"[^"]{0,65536}"|'[^']{0,65536}')*+|[^>]*)>""", re.S | re.X)
+# A comment, a declaration, or the name of a tag, whose attributes are read by ``_tag_end``.
+MARKUP = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)""", re.S)
+IN_TAG = re.compile(r"""[>"']""")
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Where the ``>`` stands that ends a tag, outside quoted values of any length; -1 if there is none."""
+    while m := IN_TAG.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        at = html.find(m[0], m.end()) + 1
+        if not at:
+            return -1
+    return -1
+
+
 class Node:
     """A block element; ``parts`` are texts and child blocks in page order, each text with a link flag."""
 
@@ -49,21 +61,28 @@ def parse(html: str, links: list[str] | None = None) -> list[Node]:
     nodes, here = [root], root
     link_depth = 0
     at = 0
+    quotes = True       # until a tag does not end by its quotes: it and all later ones end at the first >
 
     def text(s: str) -> None:
         if s:
             here.parts.append((unescape(s), link_depth > 0))
 
     while True:
-        m = MARKUP.search(html, at)
+        m, stop = MARKUP.search(html, at), -1
+        if m and m["tag"]:
+            if quotes:
+                stop = _tag_end(html, m.end())
+                quotes = stop >= 0
+            stop = stop if quotes else html.find(">", m.end())
+            m = m if stop >= 0 else None        # nothing after this place is a tag
         text(html[at:m.start()] if m else html[at:])
         if not m:
             return nodes
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
+        if not m["tag"]:
+            at = m.end()
             continue
-        tag = tag.lower()
+        at, attrs = stop + 1, html[m.end():stop]
+        tag = m["tag"].lower()
         if m["end"]:
             if tag not in BLOCK:
                 if tag == "a":
@@ -82,7 +101,7 @@ def parse(html: str, links: list[str] | None = None) -> list[Node]:
                 here.links += 1
                 link_depth = 1
                 if links is not None:
-                    links += [unescape(v[2] or v[3] or v[4] or "").strip() for v in ATTR.finditer(m["attrs"]) if v[1].lower() == "href"][:1]
+                    links += [unescape(v[2] or v[3] or v[4] or "").strip() for v in ATTR.finditer(attrs) if v[1].lower() == "href"][:1]
             elif tag == "br":
                 here.parts.append((" ", False))
             continue
@@ -98,7 +117,7 @@ def parse(html: str, links: list[str] | None = None) -> list[Node]:
                     here = node.parent
                     break
                 node = node.parent
-        node = Node(tag, m["attrs"], here)
+        node = Node(tag, attrs, here)
         here.parts.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -106,7 +125,7 @@ def parse(html: str, links: list[str] | None = None) -> list[Node]:
             inner = html[at:end.start()] if end else html[at:]
             node.parts.append((unescape(inner) if tag in ("title", "textarea") else inner, False))
             at = end.end() if end else len(html)
-        elif tag not in VOID and not m["attrs"].endswith("/"):
+        elif tag not in VOID and not attrs.endswith("/"):
             here = node
             if tag != "a":
                 link_depth = 0

@@ -14,7 +14,9 @@ of a page would go that way, only what is no text (scripts, controls) is set asi
 its path to the body, body included, is the threshold. The core grows to its parent while another child of that parent joins,
 and to the article or main element around it; children of the body (or of the page, without body) that join it are kept beside it.
 A block joins unless it is set aside or mostly linked; beside an article or main element it must also reach the threshold.
-Inside the result, link lists below the threshold are left out.
+Beside the core, link lists below the threshold are left out; inside it, and inside the article or main element around it, linked text stays. Names
+do not count there on what holds text itself (headings, paragraphs, quotations, lists' items, tables and their cells): a heading's id says what the heading says.
+Where the body itself is the core, such a block's class still counts, its id does not.
 
 Texts of a block have white space turned into single spaces; blocks stand in page order, one a
 line. Inline elements and line breaks do not end a block.
@@ -56,23 +58,31 @@ WORD = re.compile(r"[a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _set_aside(node: Node, in_article: bool) -> bool:
+# These hold text themselves; their names say what the text is about.
+TEXT_TAGS = HEADINGS | frozenset("blockquote li dt dd pre figure figcaption table caption thead tbody tfoot tr td th".split())
+KEEP, BY_ID, BY_NAME, BY_KIND = range(4)
+
+
+def _set_aside(node: Node, in_article: bool) -> int:
+    """What sets a block aside: nothing, the id of a block that holds text, another name of one, or what the block is."""
     if node.tag in ASIDE_TAGS or (node.tag == "header" and not in_article):
-        return True
+        return BY_KIND
     if node.tag in ("#root", "html", "body") or not node.attrs:
-        return False
+        return KEEP
     attrs = node.attributes()
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ASIDE_ROLES:
-        return True
-    words = _words(attrs)
+        return BY_KIND
     if node.tag in HOLDERS:     # a reader comment may be an article of its own
-        return _comments(words)
-    return bool(words & ASIDE_WORDS or any(w.startswith(ASIDE_STEMS) for w in words) or (not in_article and words & HEADER_WORDS))
+        return BY_KIND if _comments(_words(attrs)) else KEEP
+    said = lambda words: bool(words & ASIDE_WORDS or any(w.startswith(ASIDE_STEMS) for w in words) or (not in_article and words & HEADER_WORDS))
+    if node.tag not in TEXT_TAGS:
+        return BY_KIND if said(_words(attrs)) else KEEP
+    return BY_NAME if said(_words(attrs, ("class",))) else BY_ID if said(_words(attrs, ("id",))) else KEEP
 
 
-def _words(attrs: dict[str, str]) -> set[str]:
+def _words(attrs: dict[str, str], of: tuple[str, ...] = ("class", "id")) -> set[str]:
     words: set[str] = set()
-    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+    for name in " ".join(attrs.get(a, "") for a in of).split():
         parts = WORD.findall(CAMEL.sub(" ", name).lower())
         if parts and parts[0] not in ABOUT_OTHERS:
             words.update(parts)
@@ -83,11 +93,11 @@ def _comments(words: set[str]) -> bool:
     return any(w.startswith("comment") or w in ("reply", "replies") for w in words)
 
 
-def _core_path(nodes: list[Node], up: list[int], named: list[bool], free: list[int], never: list[bool]) -> set[int]:
+def _core_path(nodes: list[Node], up: list[int], named: list[int], free: list[int], never: list[bool]) -> set[int]:
     """The blocks that are not set aside whatever they are called: those around an article or main element, and those with
     most of the unlinked text. ``named`` are the blocks called something aside, ``free`` the unlinked characters below each."""
     size = len(nodes)
-    talk = [named[k] and bool(n.attrs) and _comments(_words(n.attributes())) for k, n in enumerate(nodes)]
+    talk = [bool(named[k] and n.attrs) and _comments(_words(n.attributes())) for k, n in enumerate(nodes)]
     under_talk = talk[:]
     for k in range(1, size):
         under_talk[k] = talk[k] or under_talk[up[k]]
@@ -129,7 +139,7 @@ def main_text(html: str) -> str:
     number = {id(n): k for k, n in enumerate(nodes)}
     up = [number[id(n.parent)] if n.parent else -1 for n in nodes]
     size = len(nodes)
-    inside, never, named = [False] * size, [False] * size, [False] * size
+    inside, never, named = [False] * size, [False] * size, [KEEP] * size
     chars, linked_chars = [0] * size, [0] * size
     all_c = all_lc = 0
     for k, n in enumerate(nodes):
@@ -148,16 +158,21 @@ def main_text(html: str) -> str:
     for k in range(size - 1, 0, -1):
         free[up[k]] += free[k]
     whole = _core_path(nodes, up, named, free, never)
-    aside = [False] * size
-    for k in range(size):
-        aside[k] = never[k] or (up[k] >= 0 and aside[up[k]]) or (named[k] and k not in whole)
+
+    def without(least: int) -> list[bool]:
+        out = [False] * size
+        for k in range(size):
+            out[k] = never[k] or (up[k] >= 0 and out[up[k]]) or (named[k] >= least and k not in whole)
+        return out
+
+    aside = without(BY_ID)
     if free[0] and not any(chars[k] > linked_chars[k] and not aside[k] for k in range(size)):
-        aside = never
-    return _grow(nodes, up, aside, chars, linked_chars, all_lc / max(all_c, 1))
+        return _grow(nodes, up, never, never, never, chars, linked_chars, all_lc / max(all_c, 1))
+    return _grow(nodes, up, aside, without(BY_NAME), without(BY_KIND), chars, linked_chars, all_lc / max(all_c, 1))
 
 
-def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int], linked_chars: list[int], share: float) -> str:
-    """The text of the core and what belongs to it; ``chars`` and ``linked_chars`` count each block's own text."""
+def _sums(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int], linked_chars: list[int], share: float) -> tuple[list, list, list, list, list]:
+    """Per block: characters, linked characters and links below it, composite density, and the sum of its child blocks' densities."""
     size = len(nodes)
     c, lc, t, lt = chars[:], linked_chars[:], [n.tags for n in nodes], [n.links for n in nodes]
     for k in range(size - 1, 0, -1):
@@ -168,11 +183,19 @@ def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int],
     total = [0.0] * size
     for k in range(1, size):
         total[up[k]] += dense[k]
+    return c, lc, lt, dense, total
+
+
+def _grow(nodes: list[Node], up: list[int], aside: list[bool], in_body: list[bool], in_core: list[bool], chars: list[int], linked_chars: list[int], share: float) -> str:
+    """The text of the core and what belongs to it; ``chars`` and ``linked_chars`` count each block's own text. Blocks are left out by
+    ``aside``, but by ``in_core`` below the core, or by ``in_body`` if that is the body."""
+    size = len(nodes)
+    c, lc, lt, dense, total = _sums(nodes, up, aside, chars, linked_chars, share)
     frame = {k for k, n in enumerate(nodes) if n.tag in ("#root", "html", "body")}
     core = max((k for k in range(size) if not aside[k]), key=lambda k: (total[k], -k))
     if total[core] <= 0:
         core = 0
-    path = core
+    path = first = core
     threshold = dense[core]
     held = False
     while path >= 0:
@@ -201,13 +224,18 @@ def _grow(nodes: list[Node], up: list[int], aside: list[bool], chars: list[int],
         holder = up[holder]
     if holder >= 0:
         core, held = holder, True
+    # What is below the densest block, or below the article or main element around it, is text of its own.
+    own, own_aside = (holder, in_core) if holder >= 0 else (first, in_body if first in frame else in_core)
+    below = [False] * size
+    for k in range(size):
+        below[k] = k == own or (up[k] >= 0 and below[up[k]])
     apart: set[int] = set()
     if core not in frame and up[core] in frame and any(map(company, frame)):
         apart = {j for k in frame for j in kids.get(k, ()) if j != core and j not in frame and not joins(j)}
         core = 0
 
-    left_out = {id(n) for k, n in enumerate(nodes) if aside[k] or k in apart or (
-        k != core and linked(k) and dense[k] < threshold and n.tag not in HEADINGS)}
+    left_out = {id(n) for k, n in enumerate(nodes) if k in apart or (own_aside[k] if below[k] else aside[k] or (
+        k != core and linked(k) and dense[k] < threshold and n.tag not in HEADINGS))}
     return page_text(nodes[core], lambda n: id(n) in left_out)
 
 

@@ -108,3 +108,101 @@ def test_beside_an_article_only_dense_blocks_are_kept():
     article = f"<article><p>{P}</p><p>{P}</p></article>"
     for around in ("<body>{}</body>", "<body><div>{}</div></body>"):
         assert main_text(around.format(f"{article}<div>Tip</div>")) == f"{P.strip()}\n{P.strip()}"
+
+
+INSIDE = [
+    "<h2 id='social-and-economic-impact'>Impact</h2>",
+    "<p id=share-prices>Prices rose.</p>",
+    "<blockquote class=reply>So they said.</blockquote>",
+    "<h2>References</h2><ol><li><a href=1>One book</a><li><a href=2>Another book</a></ol>",
+    "<table><tr><td><a href=1>Cell</a></td><td><a href=2>Other cell</a></td></tr></table>",
+    "<h3 class='comment-count' id=related-work>Related work</h3><ul><li id=footer-1>Note</li></ul>",
+]
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<body><nav><a href=/>Home</a></nav><main>{}</main><footer>F</footer></body>",
+                                    "<body><div class=content>{}</div><div class=sidebar>Side</div></body>"])
+@pytest.mark.parametrize("part", INSIDE)
+def test_nothing_of_the_article_is_dropped(part, around):
+    inner = f"<p>{P}</p>{part}<p>{P}</p><p>{P}</p>"
+    want = [x for x in (" ".join(entities.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"<(?=/?(?:p|h\d|li|ol|ul|td|tr|table|blockquote)\b)", inner.replace("<", "\n<")) for b in [b.split(">", 1)[-1]]) if x]
+    assert main_text(around.format(inner)).split("\n") == want
+
+
+def test_but_what_the_contract_names_goes():
+    inner = (f"<p>{P}</p><nav><a href=1>x</a></nav><div class=advert>{P}</div><form>{P}</form><aside>{P}</aside><div role=dialog>{P}</div>"
+             f"<ol class=comment-list><li>{P}</li></ol><div class=cookie-notice>{P}</div><script>1</script><style>p</style><p>{P}</p>")
+    assert main_text(f"<article>{inner}</article>") == f"{P.strip()}\n{P.strip()}"
+
+
+def test_long_attribute_values_are_read_as_short_ones():
+    for n in (600, 65_000, 70_000, 2_000_000):
+        image = "data:image/svg+xml," + "x" * n + "<svg xmlns='a'><text>secret svg text</text></svg>"
+        assert main_text(f'<article><p>{P}</p><img src="{image}"><p title="{image}">{P}</p></article>') == f"{P.strip()}\n{P.strip()}"
+
+
+def test_tags_that_never_end():
+    assert main_text("<article><p>a</p><p title=\"un>closed</p><p>next</p></article>") == "a\nclosed\nnext"
+    assert main_text("x <b") == "x <b"
+    main_text("<a \">\" " * 30_000)     # ends in reasonable time
+    main_text("<a href=\"" * 30_000)
+
+
+# The wrong block has more blocks, the right one denser text.
+DENSITY_DECIDES = [
+    (f"<article><p>{P}</p><p>{P}</p></article><div>Tip</div>", [P.strip()] * 2),
+    ("<article>" + "<p>See <a href=1>more</a></p>" * 10 + f"</article><article><p>{P * 4}</p><p>{P * 4}</p></article>", [(P * 4).strip()] * 2),
+    (f"<article><p>{P * 3}</p><p>{P * 3}</p></article><section>" + "<p>Tag <a href=1>x</a></p>" * 8 + "</section>", [(P * 3).strip()] * 2),
+]
+
+
+@pytest.mark.parametrize("page, want", DENSITY_DECIDES)
+def test_density_decides_between_blocks(page, want, monkeypatch):
+    page = f"<html><body>{page}</body></html>"
+    assert main_text(page).split("\n") == want
+    monkeypatch.setattr("pulso.llm.main_text.density", lambda *x: 1.0)
+    assert main_text(page).split("\n") != want
+
+
+def test_density_sums_equal_a_plain_recursion():
+    import math
+    import random
+
+    from pulso.llm import main_text as mt
+    from pulso.llm.htmltree import Node, parse
+
+    rng = random.Random(9)
+
+    def page(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice(["word ", "more words here ", "<a href=1>link</a> ", "<b>bold</b> ", "<br>"]) * rng.randint(0, 4)
+        return "".join(f"<{t}>{page(depth - 1)}</{t}>" for t in rng.choices(["div", "section", "p", "ul"], k=rng.randint(0, 4)))
+
+    def plain(n):       # characters, tags, linked characters, links: of a block and below
+        own = [(len("".join(x[0].split())), x[1]) for x in n.parts if not isinstance(x, Node)]
+        c, t, lc, lt = sum(x for x, _ in own), n.tags, sum(x for x, linked in own if linked), n.links
+        for k in (x for x in n.parts if isinstance(x, Node)):
+            kc, kt, klc, klt = plain(k)
+            c, t, lc, lt = c + kc, t + kt + 1, lc + klc, lt + klt
+        return c, t, lc, lt
+
+    def dense(n, share):
+        c, t, lc, lt = plain(n)
+        if c == 0:
+            return 0.0
+        base = math.log(c / (c - lc or 1) * lc + share * c + math.e)
+        value = math.log(c / (lc or 1) * (t or 1) / (lt or 1), base) if base > 1 + 1e-9 else 1.0
+        return c / (t or 1) * max(value, 0.0)
+
+    for _ in range(200):
+        nodes = parse(page(4))
+        number = {id(n): k for k, n in enumerate(nodes)}
+        up = [number[id(n.parent)] if n.parent else -1 for n in nodes]
+        own = [[x for x in n.parts if not isinstance(x, Node)] for n in nodes]
+        chars = [sum(len("".join(x.split())) for x, _ in parts) for parts in own]
+        linked = [sum(len("".join(x.split())) for x, link in parts if link) for parts in own]
+        share = sum(linked) / max(sum(chars), 1)
+        _, _, _, got, total = mt._sums(nodes, up, [False] * len(nodes), chars, linked, share)
+        for k, n in enumerate(nodes):
+            assert math.isclose(got[k], dense(n, share), abs_tol=1e-9)
+            assert math.isclose(total[k], sum(dense(x, share) for x in n.parts if isinstance(x, Node)), abs_tol=1e-9)
