@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from ..sources.letters import quoted
 from .common import text_bytes
 
 WINDOW = 10
@@ -246,12 +247,12 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_shar
            min_span: int = 1) -> DataFrame:
     """``docs`` without benchmark passages: spans of ``min_span`` words or more are cut out, and a document
     with over ``max_share`` of its words hit is dropped. Clean texts stay as they are."""
-    cols = docs.columns
-    found = annotate(docs, benchmark, window, out="__found")
-    spans = F.filter("__found.spans", lambda s: s["last"] - s["first"] + 1 >= min_span)
-    kept = found.filter(F.col("__found.n_hit") <= F.lit(max_share) * F.col("__found.n_words"))
-    kept = kept.withColumn("__spans", spans).withColumn("__cut", cut("text", F.col("__spans")))
-    changed = {"text": F.col("__cut")}
-    if "n_chars" in cols:
-        changed["n_chars"] = F.when(F.size("__spans") > 0, F.length("__cut").cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumns(changed).select(*cols)
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), "text")
+    found = annotate(packed, benchmark, window)
+    spans = F.filter("found.spans", lambda s: s["last"] - s["first"] + 1 >= min_span)
+    kept = found.filter(F.col("found.n_hit") <= F.lit(max_share) * F.col("found.n_words")).select("row", "text", spans.alias("spans"))
+    kept = kept.withColumn("cut", cut("text", F.col("spans")))
+    changed = {"text": F.col("cut")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("cut").cast("long")).otherwise(F.col("row").getField("n_chars"))
+    return kept.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

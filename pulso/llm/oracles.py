@@ -87,28 +87,37 @@ def _any_case(words: str) -> str:
 _ASSIGN = f"(?:{_any_case('password|passwd|secret|token|api_?key')})" + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 
 
-def _found(rank: int, pattern: str, group: int = 0) -> str:
-    return (f"SELECT r, {rank} AS rank, regexp_extract_all(t, '{pattern}') AS f, regexp_extract_all(t, '{pattern}', {group}) AS v, "
-            f"string_split_regex(t, '{pattern}') AS g FROM d")
+def _found(rank: int, pattern: str, group: int = 0, of: str = "t") -> str:
+    return (f"SELECT r, {rank} AS rank, regexp_extract_all({of}, '{pattern}') AS f, regexp_extract_all({of}, '{pattern}', {group}) AS v, "
+            f"string_split_regex({of}, '{pattern}') AS g FROM d")
 
 
+def _blank(text: str, pattern: str, also: str = "true") -> str:
+    """Spaces in place of the matches that also fulfil a condition on ``m``."""
+    blanked = f"list_transform(regexp_extract_all({text}, '{pattern}'), lambda m: CASE WHEN {also} THEN repeat(' ', length(m)) ELSE m END)"
+    return f"array_to_string(list_transform(list_zip(string_split_regex({text}, '{pattern}'), {blanked}), lambda p: p[1] || coalesce(p[2], '')), '')"
+
+
+_WORDS = "example|sample|dummy|placeholder|changeme|redacted|yourkey|yourtoken|yoursecret|abcdefgh|01234567|12345678"
+_RUNS = "|".join(f"{c}{{6,}}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789/_=-") + "|[+]{6,}"
+
 # Matches with the lengths of what stands before them added up; every window's entropy from a fresh count of its characters.
 OP3_SQL = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+WITH given AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+pieces AS (SELECT *, CASE WHEN regexp_matches(t, '[A-Za-z0-9+/_=-]{{20,}}') THEN {_blank('t', '[A-Za-z0-9+]+', f"regexp_matches(lower(m), '{_WORDS}')")} ELSE '' END AS p FROM given),
+d AS (SELECT *, {_blank('p', _RUNS)} AS o FROM pieces),
 m AS ({_found(0, _ASSIGN, 1)} UNION ALL {_found(1, 'AKIA[A-Z0-9]+')} UNION ALL {_found(2, '[0-9a-f]+')}
-  UNION ALL {_found(3, '[A-Za-z0-9+/_=-]{20,}')}),
+  UNION ALL {_found(3, '[A-Za-z0-9+/_=-]{20,}', of='o')}),
 e AS (SELECT r, rank, unnest(f) AS x, unnest(v) AS v, unnest(g[:len(f)]) AS gap, unnest(range(1, len(f) + 1)) AS k FROM m WHERE len(f) > 0),
 p AS (SELECT r, rank, x, v, CAST(sum(length(gap) + length(x)) OVER (PARTITION BY r, rank ORDER BY k) AS BIGINT) AS stop FROM e),
 base AS (SELECT r, rank, stop - length(x) AS start, stop FROM p
   WHERE (rank = 0 AND length(v) >= 8) OR (rank = 1 AND length(x) >= 16) OR (rank = 2 AND length(x) >= 32)),
 cand AS (SELECT row_number() OVER () AS c, r, x, stop - length(x) AS start,
-    CASE WHEN regexp_full_match(x, '[0-9a-fA-F]+') THEN 3.0 WHEN regexp_full_match(x, '[A-Za-z0-9]+') THEN 3.7 ELSE 3.8 END AS least
+    CASE WHEN regexp_full_match(x, '[0-9a-fA-F]+') THEN 3.0 WHEN regexp_full_match(x, '[A-Za-z/_=+-]+') THEN 4.05 WHEN regexp_full_match(x, '[A-Za-z0-9]+') THEN 3.7 ELSE 3.8 END AS least
   FROM p WHERE rank = 3
-    AND NOT regexp_matches(lower(x), 'example|sample|dummy|placeholder|changeme|redacted|your[_-]?(key|token|secret)|abcdefgh|01234567|12345678')
-    AND len(list_filter(range(1, length(x) - 4), lambda i: lower(x[i:i + 5]) = repeat(lower(x[i]), 6))) = 0
     AND NOT regexp_matches(lower(x), '^sha(1|256|384|512)-')
     AND NOT regexp_full_match(x, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}')
-    AND NOT regexp_full_match(x, '[0-9/_=+-]*|[A-Za-z/_=+-]*')),
+    AND NOT regexp_full_match(x, '[0-9/_=+-]*')),
 win AS (SELECT c, i, unnest(string_split(x[i:i + 19], '')) AS ch FROM (SELECT c, x, unnest(range(1, length(x) - 18)) AS i FROM cand)),
 ent AS (SELECT c, i, -sum(n / 20 * log2(n / 20)) AS h FROM (SELECT c, i, ch, count(*) AS n FROM win GROUP BY ALL) GROUP BY ALL),
 hot AS (SELECT cand.r, 3 AS rank, any_value(start) + min(i) - 1 AS start, any_value(start) + max(i) + 19 AS stop

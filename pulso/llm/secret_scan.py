@@ -4,15 +4,16 @@ Base detectors are three patterns (assignments to a secret-like name, access key
 long hex strings). On top, candidate strings are scanned with a sliding window: the
 Shannon entropy of the last ``WINDOW`` characters follows from counts that are updated
 by the character that enters and the one that leaves, and is held against the threshold of the candidate's
-character class (hex, alphanumeric, base64). The span from the first to the last window
-above it is a finding, unless an allow-list pattern matches the candidate or it overlaps a base span. For masking
+character class (hex, letters, alphanumeric, base64). The span from the first to the last window
+above it is a finding, unless the candidate as a whole is a number, a UUID or a checksum, or it overlaps a base span. Allow-listed words blank only the
+piece they stand in (between separators), and runs of one character only themselves, so a key beside them is a candidate of its own. For masking
 (``overlaps``) a stretch is kept beside the base spans it overlaps unless one of them covers it.
 
 Positions are code points, end exclusive. They come from the lengths of the pieces between matches,
 added up by a scan in blocks, so a text with very many matches stays cheap.
 
 Defined results: NULL and empty texts have no spans; repeated rows repeat; an empty table gives
-an empty result. All columns of the input are kept; the added column is named by the caller.
+an empty result. All columns of the input are kept, whatever their names; the added column is named by the caller and takes the place of one of that name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.letters import quoted
+
 # The base detectors and the least length of the group given with each.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,14 +34,16 @@ ASSIGN_LEAST = 8
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Bits per character of a window of 20, by class: random hex lies near 3.3, random base64 near 4.1, words near 3.4.
-THRESHOLDS = {"hex": 3.0, "alnum": 3.7, "base64": 3.8}
+# Bits per character of a window of 20, by class: random hex lies near 3.3, random letters near 4.0, random base64 near 4.1, words near 3.4.
+THRESHOLDS = {"hex": 3.0, "letters": 4.05, "alnum": 3.7, "base64": 3.8}
+ALLOW_WORDS = ("example", "sample", "dummy", "placeholder", "changeme", "redacted", "yourkey", "yourtoken", "yoursecret", "abcdefgh", "01234567", "12345678")
+PIECE = "[A-Za-z0-9+]"
+REPEATS = 6
+# Candidates that are no secrets as a whole: checksums, UUIDs, numbers and dates.
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|changeme|redacted|your[_-]?(key|token|secret)",
-    r"(?i)abcdefgh|01234567|12345678|(.)\1{5,}",
     r"^(?i:sha(1|256|384|512))-",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[0-9/_=+-]*$|^[A-Za-z/_=+-]*$",  # numbers and dates, words and paths
+    r"^[0-9/_=+-]*$",
 )
 SCAN_BLOCK = 256
 
@@ -88,6 +93,7 @@ def entropy_window(candidate: str, thresholds: dict[str, float] = THRESHOLDS, wi
     pairs = (f"zip_with({chars}, slice(concat(array_repeat('', {window}), {chars}), 1, length({candidate})), "
              f"(i, o) -> named_struct('i', {at('i')}, 'o', {at('o')}))")
     limit = (f"CASE WHEN {candidate} RLIKE '^[0-9a-fA-F]+$' THEN {thresholds['hex']}D "
+             f"WHEN {candidate} RLIKE '^[A-Za-z/_=+-]+$' THEN {thresholds['letters']}D "
              f"WHEN {candidate} RLIKE '^[A-Za-z0-9]+$' THEN {thresholds['alnum']}D ELSE {thresholds['base64']}D END")
     entering = "element_at(a.counts, x.i)"
     leaving = "(element_at(a.counts, x.o) + if(x.o = x.i, 1, 0))"
@@ -101,12 +107,23 @@ def entropy_window(candidate: str, thresholds: dict[str, float] = THRESHOLDS, wi
     return f"aggregate({pairs}, {start}, (a, x) -> {step}, a -> named_struct('first', a.first, 'last', a.last))"
 
 
-def scan(docs: DataFrame, text: str = "text", out: str = "secrets", allow: tuple[str, ...] = ALLOW,
+def _blanked(text: Column, words: tuple[str, ...]) -> Column:
+    """The text with spaces in place of pieces that hold an allow-listed word, and of runs of one character."""
+    # A piece is looked at from its first character only, so long ones stay cheap.
+    allowed = (rf"(?<!{PIECE})(?={PIECE}*?(?i:{'|'.join(words)})){PIECE}+|" if words else "") + rf"([A-Za-z0-9+/_=-])\1{{{REPEATS - 1},}}"
+    blanks = F.transform(F.regexp_extract_all(text, F.lit(allowed), F.lit(0)), lambda m: F.repeat(F.lit(" "), F.length(m)))
+    whole = F.array_join(F.zip_with(F.split(text, allowed, -1), F.concat(blanks, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+    return F.when(text.rlike(CANDIDATE) & text.rlike(allowed), whole).otherwise(text)
+
+
+def scan(docs: DataFrame, text: str = "text", out: str = "secrets", allow: tuple[str, ...] = ALLOW, allow_words: tuple[str, ...] = ALLOW_WORDS,
          thresholds: dict[str, float] = THRESHOLDS, overlaps: bool = False) -> DataFrame:
     """``docs`` with ``out``: array of struct(start, rank, end) in order, rank being the place in ``KINDS``.
     ``overlaps`` keeps entropy spans that reach beyond the base spans they overlap."""
-    rows = docs.withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit("")))
-    rows = _matches(rows, "__text", {"assign": (ASSIGN, 1), "access": (ACCESS, 0), "hex": (HEX, 0), "entropy": (CANDIDATE, 0)})
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("__row"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("__text"))
+    rows = rows.withColumn("__open", _blanked(F.col("__text"), allow_words))
+    rows = _matches(rows, "__text", {"assign": (ASSIGN, 1), "access": (ACCESS, 0), "hex": (HEX, 0)})
+    rows = _matches(rows, "__open", {"entropy": (CANDIDATE, 0)})
     allowed = " OR ".join(f"c.match RLIKE {_quote(p)}" for p in allow) or "false"
     hot = f"transform(array({entropy_window('c.match', thresholds)}), w -> if(w.first < 0, null, named_struct('start', c.start + w.first, 'rank', 3, 'end', c.start + w.last)))[0]"
     base = "transform(__m_{0}, x -> named_struct('start', x.start, 'rank', {1}, 'end', x.end))"
@@ -122,7 +139,8 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secrets", allow: tuple
     kept = F.expr("transform(filter(zip_with(arrays_zip(__all, __base_reach), "
                   f"concat(slice(__all, 2, size(__all)), array(CAST(null AS {SPAN[6:-1]}))), (x, n) -> named_struct('s', x.__all, 'r', x.__base_reach, 'n', n)), "
                   f"x -> x.s.rank < 3 OR {apart}), x -> x.s)")
-    return rows.withColumn(out, F.when(F.size("__all") > 0, kept).otherwise(F.array().cast(SPAN))).select(*docs.columns, out)
+    spans = F.when(F.size("__all") > 0, kept).otherwise(F.array().cast(SPAN))
+    return rows.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns if c != out], spans.alias(out))
 
 
 def _quote(pattern: str) -> str:
@@ -137,15 +155,13 @@ def labels(spans: Column) -> Column:
 
 def redact(docs: DataFrame, mask: str = "[secret]", overlaps: bool = False) -> DataFrame:
     """``docs`` with every found span replaced by ``mask`` (overlapping spans by one); other texts stay as they are."""
-    cols = docs.columns
-    rows = scan(docs, "text", "__secrets", overlaps=overlaps).withColumn("__ends", F.expr("transform(__secrets, s -> s.end)"))
-    rows = rows.withColumn("__reach", F.expr(_scan("__ends", "greatest({0}, {1})", "0")))
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), "text")
+    rows = scan(packed, "text", "secrets", overlaps=overlaps).withColumn("ends", F.expr("transform(secrets, s -> s.end)"))
+    rows = rows.withColumn("reach", F.expr(_scan("ends", "greatest({0}, {1})", "0")))
     # Before each span stands the text from where the spans before it end; nothing if they reach into it.
-    parts = F.expr("zip_with(__secrets, concat(array(0), slice(__reach, 1, size(__reach) - 1)), (s, r) -> "
+    parts = F.expr("zip_with(secrets, concat(array(0), slice(reach, 1, size(reach) - 1)), (s, r) -> "
                    f"if(s.start < r, '', concat(substring(text, r + 1, s.start - r), '{mask}')))")
-    text = F.when(F.size("__secrets") > 0, F.concat(F.array_join(parts, ""), F.expr("substring(text, element_at(__reach, -1) + 1)"))).otherwise(F.col("text"))
-    rows = rows.withColumn("__clean", text)
-    changed = {"text": F.col("__clean")}
-    if "n_chars" in cols:
-        changed["n_chars"] = F.when(F.size("__secrets") > 0, F.length("__clean").cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumns(changed).select(*cols)
+    found = F.size("secrets") > 0
+    rows = rows.withColumn("clean", F.when(found, F.concat(F.array_join(parts, ""), F.expr("substring(text, element_at(reach, -1) + 1)"))).otherwise(F.col("text")))
+    changed = {"text": F.col("clean"), "n_chars": F.when(found, F.length("clean").cast("long")).otherwise(F.col("row").getField("n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return rows.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -135,3 +135,15 @@ def test_no_part_of_a_secret_beside_another_is_left(spark):
     docs = spark.createDataFrame([(1, f"see /{key}/token=abcd1234 here", None), (2, f"token={key} here", None)], "doc_id long, text string, source string")
     got = {r["doc_id"]: r["text"] for r in cp.mask_secrets(spark, docs, SF).collect()}
     assert key not in got[1] and "abcd1234" not in got[1] and got[1].endswith(" here") and got[2] == "[secret] here"
+
+
+def test_columns_with_working_names_are_kept(spark):
+    extra = ["__found", "__spans", "__cut", "__language", "__text", "row", "found", "language", "a.b"]
+    text = "the dog said token=abcdefgh12345 and alpha beta gamma delta and the house"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame([(i, text if i == 1 else f"the cat and the dog {i}", "en", "s", 9, *extra) for i in range(1, 4)], schema)
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
+    for out in (cp.keep_known_languages(spark, docs, ""), cp.decontaminate.remove(docs, bench, window=4), cp.mask_secrets(spark, docs, "")):
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert len(rows) == 3 and all(tuple(r)[5:] == tuple(extra) for r in rows)

@@ -11,6 +11,9 @@ from pulso.llm import registry, secret_scan
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
+KEY = "q7Zk2mVx9LrT4wYb8NcJ5sHd3PfG6uAe1RtKqWzX"
+LETTERS = "qZkmVxLrTwYbNcJsHdPfGuAeRtKqWzXoIyMvBjUh"
+
 
 def _brute(text):
     """Spans found with plain regular expressions and windows counted anew."""
@@ -19,11 +22,14 @@ def _brute(text):
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     more = []
-    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+    hide = lambda m: " " * len(m[0])
+    shown = re.sub("[A-Za-z0-9+]+", lambda m: hide(m) if any(w in m[0].lower() for w in secret_scan.ALLOW_WORDS) else m[0], text)
+    shown = re.sub(r"([A-Za-z0-9+/_=-])\1{5,}", hide, shown)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", shown):
         c = m[0]
-        if any(re.search(p, c) for p in secret_scan.ALLOW[:2] + (r"^(?i:sha(1|256|384|512))-", *secret_scan.ALLOW[3:])):
+        if re.match("(?i)sha(1|256|384|512)-", c) or re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9/_=+-]*", c):
             continue
-        kind = "hex" if re.fullmatch("[0-9a-fA-F]+", c) else "alnum" if re.fullmatch("[A-Za-z0-9]+", c) else "base64"
+        kind = "hex" if re.fullmatch("[0-9a-fA-F]+", c) else "letters" if re.fullmatch("[A-Za-z/_=+-]+", c) else "alnum" if re.fullmatch("[A-Za-z0-9]+", c) else "base64"
         hot = []
         for i in range(len(c) - 19):
             w = c[i:i + 20]
@@ -51,6 +57,8 @@ def _random_texts():
         for _ in range(rng.randint(1, 14)):
             t += rng.choice(bits) if rng.random() < 0.6 else "".join(rng.choice(rng.choice([b64, "0123456789abcdef", "ABCDEF0123456789"])) for _ in range(rng.randint(1, 45)))
         texts.append(t)
+    texts += ["path/" + KEY + "/example", "my_sample_" + KEY, KEY + "AAAAAA" + KEY[::-1], "sample_key=" + KEY, "-" * 9 + "dummy" + KEY + "=" + KEY, LETTERS, "a/" + LETTERS,
+              "x" * 70000 + "example" + "y" * 70000, "src/main/resources/application/configuration/defaults", "example/" * 50]
     texts.append(" ".join("token=" + "".join(rng.choice(b64) for _ in range(12)) for _ in range(1500)))
     texts.append("".join(rng.choice(b64) for _ in range(3000)))
     return texts
@@ -115,3 +123,19 @@ def test_empty_table_and_repeated_rows(spark):
 def test_plan_has_no_python(spark):
     plan = registry.op3_secret_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+@pytest.mark.parametrize("text", [f"path/{KEY}/example", f"my_sample_{KEY}", f"{KEY}AAAAAA{KEY}", LETTERS, f"see {LETTERS}."])
+def test_a_key_beside_an_allowed_word_is_found_and_masked(spark, text):
+    clean = secret_scan.redact(spark.createDataFrame([(1, text)], "doc_id long, text string"), overlaps=True).first()["text"]
+    assert "[secret]" in clean and KEY[4:-4] not in clean and LETTERS[4:-4] not in clean
+
+
+def test_columns_with_working_names_are_kept(spark):
+    names = ["__text", "__all", "__row", "__open", "__m_hex", "secrets", "row", "ends", "reach", "clean", "a.b"]
+    df = spark.createDataFrame([("token=abcdefgh1 x", *names)], ", ".join(f"`{n}` string" for n in ["text", *names]))
+    got = secret_scan.redact(df).first()
+    assert list(got.__fields__) == ["text", *names] and tuple(got) == ("[secret] x", *names)
+    found = secret_scan.scan(df, out="found").first()
+    assert tuple(found)[:-1] == ("token=abcdefgh1 x", *names) and len(found["found"]) == 1
+    assert secret_scan.scan(df).columns == [c for c in df.columns if c != "secrets"] + ["secrets"]
