@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pulso.llm import best_fit_packing, decontaminate, language_id, secret_scan, simhash_dedup
 from pulso.llm.common import id_fold, table
 from pulso.session import materialize
+from pulso.sources.letters import quoted
 
 # A text whose nearest codeword is hardly nearer than any other has no language that was learned.
 MIN_LANGUAGE_SCORE = 0.3
@@ -31,9 +32,10 @@ MIN_LANGUAGE_SCORE = 0.3
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.filter((id_fold("doc_id", 5) != 0) & F.col("text").isNotNull()))
-    found = docs.withColumn("__language", language_id.predict(docs, model))
-    known = (F.col("__language.lang") != language_id.UNDETERMINED) & (F.col("__language.score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(known).drop("__language")
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), "text")
+    found = packed.select("row", language_id.predict(packed, model).alias("language"))
+    known = found.filter((F.col("language.lang") != language_id.UNDETERMINED) & (F.col("language.score") >= MIN_LANGUAGE_SCORE))
+    return known.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
