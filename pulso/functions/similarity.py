@@ -36,6 +36,19 @@ def ratcliff_ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(_ratcliff_series, "double")(a, b)
 
 
+def ratcliff_from(a: Column, b: Column, threshold: float) -> Column:
+    """The gestalt ratio where it can reach the threshold by the texts' lengths and shared characters, else NULL."""
+
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, matcher = [], SequenceMatcher(None, "", "")
+        for x, y in zip(a, b):
+            matcher.set_seqs(x, y)
+            out.append(matcher.ratio() if matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold else None)
+        return pd.Series(out, dtype="float64")
+
+    return F.pandas_udf(score, "double")(a, b)
+
+
 def best_ratcliff_udf(candidates: list[tuple[int, str, str]], threshold: float = 0.0):
     """Pandas UDF: best (value, score, ord) of one label against a bounded candidate list.
 
@@ -47,7 +60,7 @@ def best_ratcliff_udf(candidates: list[tuple[int, str, str]], threshold: float =
     """
     cands = list(candidates)
 
-    @F.pandas_udf("value STRING, score DOUBLE, ord INT")
+    @F.pandas_udf("value STRING, score DOUBLE, ord BIGINT")
     def best(labels: pd.Series) -> pd.DataFrame:
         # One matcher per candidate: the candidate is seq2, whose index is
         # built once per batch; each label only swaps seq1.
@@ -71,6 +84,6 @@ def best_ratcliff_udf(candidates: list[tuple[int, str, str]], threshold: float =
             vals.append(best_v)
             scores.append(best_s if best_v is not None else None)
             ords.append(best_o)
-        return pd.DataFrame({"value": vals, "score": scores, "ord": pd.array(ords, dtype="Int32")})
+        return pd.DataFrame({"value": vals, "score": scores, "ord": pd.array(ords, dtype="Int64")})
 
     return best

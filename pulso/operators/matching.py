@@ -15,11 +15,9 @@ Two physical strategies with the same results at every size and in every mode
 * inline (dimension size checked <= ``max_inline``): the dimension becomes a
   literal map / array in the plan and each row is resolved with native map
   lookups and higher-order functions — no join, no shuffle;
-* banded join (larger dimensions): exact, normalised and prefix stages are
-  equi-joins (a key is listed under each of its prefixes); the fuzzy stage joins on
-  the key lengths a label can reach above the threshold (the measures are
-  bounded by 2*min/(la+lb) resp. min/max; ``SLACK`` keeps the bounds on the safe side
-  of floating point) and keeps the best candidate with a map-side maximum per label.
+* joins (larger dimensions): exact, normalised and prefix stages are equi-joins (a key is listed under each of its
+  prefixes); the fuzzy stage is the lossless join of ``similarity_join`` and keeps the best candidate with a
+  map-side maximum per label. Low thresholds are asked for only where no near key is found.
 
 A candidate without any similarity never matches, whatever the threshold.
 """
@@ -29,14 +27,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_ratcliff_udf, levenshtein_ratio, ratcliff_ratio
+from ..functions.similarity import best_ratcliff_udf, levenshtein_ratio
 from ..functions.text import norm_label, norm_label_loose, plain_label
+from ..session import materialize
+from .similarity_join import SLACK, candidates, scored
 
 _MATCH_COLS = ("match_value", "match_method", "match_score")
 # Candidate lists up to this size are scored as unrolled column expressions.
 UNROLL_MAX = 256
-# Length bounds only sort out candidates; the score itself decides, so they may be wider than exact.
-SLACK = 1e-6
+# Below this threshold the bounds say little, so labels look for near keys first; one that has a key this near need not look further.
+LOOSE, NEAR = 0.6, 0.9
 
 
 def _probe(lab: Column, mode: str) -> Column:
@@ -88,7 +88,7 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
     # or NULL. Candidates below it are NULL structs, which greatest/array_max
     # skip, so the winner is the same as "best overall, then threshold".
     if not cands:
-        top = F.lit(None).cast("struct<s:double,neg_o:int,v:string>")
+        top = F.lit(None).cast("struct<s:double,neg_o:bigint,v:string>")
     elif metric == "ratcliff":
         best = best_ratcliff_udf(cands, threshold)(probe)
         top = F.when(best["score"] >= t, F.struct(best["score"].alias("s"), (-best["ord"]).alias("neg_o"),
@@ -105,10 +105,10 @@ def _inline(labels: DataFrame, dim_rows: list[tuple[int, str, str]], threshold:
 
         if len(cands) <= UNROLL_MAX:
             # Unrolled: one plain expression per candidate, all inside codegen.
-            structs = [cand(F.lit(k), F.lit(len(k)), F.lit(o), F.lit(v)) for o, k, v in cands]
+            structs = [cand(F.lit(k), F.lit(len(k)), F.lit(o).cast("bigint"), F.lit(v)) for o, k, v in cands]
             top = F.greatest(*structs) if len(structs) > 1 else structs[0]
         else:
-            arr = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(k).alias("k"), F.lit(len(k)).alias("n"),
+            arr = F.array(*[F.struct(F.lit(o).cast("bigint").alias("o"), F.lit(k).alias("k"), F.lit(len(k)).alias("n"),
                                      F.lit(v).alias("v")) for o, k, v in cands])
             top = F.array_max(F.filter(F.transform(arr, lambda e: cand(e["k"], e["n"], e["o"], e["v"])),
                                        lambda x: x.isNotNull()))
@@ -138,9 +138,9 @@ def _lit_map(d: dict[str, str]) -> Column:
     return F.create_map(*[x for kv in d.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
 
 
-def _banded(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mode: str,
+def _joined(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mode: str,
             sole_fallback: bool) -> DataFrame:
-    """Resolve distinct labels (``__lab``, ``__probe``) against a dimension (o, k, v) of any size."""
+    """Resolve distinct labels (``__lab``, ``__probe``) against a dimension (o, k, v) of any size, by joins."""
     row = F.struct("o", "k", "v")
     keys = dim.withColumn("nk", _probe(F.col("k"), mode))
     if mode == "label":   # the last row of a key wins, at the place of its first one
@@ -160,18 +160,14 @@ def _banded(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mo
     found = found.select("__lab", "__probe", "__ev", "__nv")
 
     t = 0.0 if mode == "best" else float(threshold)
-    n = F.length("__probe")
-    shrink = t / (2 - t) if metric == "ratcliff" else t
-    longest = folded.agg(F.max(F.length("nk"))).first()[0] or 0
-    low = F.greatest(F.ceil(n * F.lit(shrink) - F.lit(SLACK)), F.lit(0))
-    high = F.least(F.floor(n / F.lit(shrink) + F.lit(SLACK)), F.lit(longest)) if shrink > 0 else F.lit(longest)
-    residue = found.filter(F.col("__ev").isNull() & F.col("__nv").isNull() & (low <= high))
-    probes = residue.select("__lab", "__probe", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("__len"))
-    pairs = probes.join(folded.withColumn("__len", F.length("nk")), "__len")
-    score = ratcliff_ratio(F.col("__probe"), F.col("nk")) if metric == "ratcliff" else \
-        levenshtein_ratio(F.col("nk"), F.col("__probe"))
-    best = (pairs.withColumn("s", score).filter((F.col("s") >= F.lit(t)) & (F.col("s") > 0))
-            .groupBy("__lab").agg(F.max(F.struct(F.col("s"), (-F.col("no")).alias("neg_o"), F.col("nv").alias("v"))).alias("__top")))
+    open_ = materialize(found.filter(F.col("__ev").isNull() & F.col("__nv").isNull()).select("__lab", "__probe"), "match-open")
+    keyed = materialize(folded, "match-keys")
+    best = None
+    if t < LOOSE:
+        best = materialize(_nearest(open_, keyed, NEAR, metric), "match-nearest")
+        open_ = open_.join(best.select("__lab"), "__lab", "left_anti")
+    rest = _nearest(open_, keyed, t, metric)
+    best = rest if best is None else best.unionByName(rest)
     fallback = none
     if mode == "best" or (mode == "name" and sole_fallback):
         size, first = dim.agg(F.count(F.lit(1)), F.min(row)).first()
@@ -185,6 +181,15 @@ def _banded(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mo
                       method.alias("match_method"), F.when(before, F.col("__top.s")).alias("match_score"))
 
 
+def _nearest(labels: DataFrame, keyed: DataFrame, t: float, metric: str) -> DataFrame:
+    """(__lab, __top): the best key of every label that has one with a score of t or more."""
+    pairs = candidates(labels.select(F.col("__probe").alias("text")).distinct(), keyed.select(F.col("nk").alias("text")), t, metric)
+    near = scored(pairs, t, metric)
+    best = (near.join(keyed, near["key"] == keyed["nk"])
+            .groupBy("probe").agg(F.max(F.struct(F.col("s"), (-F.col("no")).alias("neg_o"), F.col("nv").alias("v"))).alias("__top")))
+    return labels.join(best, labels["__probe"] == best["probe"]).select("__lab", "__top")
+
+
 def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str = "label",
                  value_col: str = "question_id", ord_col: str = "ord", threshold: float = 0.75,
                  metric: str = "ratcliff", mode: str = "label", max_inline: int = 5000,
@@ -205,7 +210,7 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
     lab = F.col(label_col).cast("string")
     # One bounded job both checks the size and fetches an inline-sized dimension:
     # at most max_inline + 1 rows ever reach the driver.
-    fetched = (dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
+    fetched = (dim.select(F.col(ord_col).cast("bigint").alias("o"), F.col(key_col).cast("string").alias("k"),
                           F.col(value_col).cast("string").alias("v"))
                .filter(F.col("k").isNotNull()).limit(max_inline + 1).collect())
     if len(fetched) <= max_inline:
@@ -219,9 +224,9 @@ def match_labels(left: DataFrame, label_col: str, dim: DataFrame, key_col: str =
         return left.join(res, lab.eqNullSafe(res["__lab"]), "left").drop("__lab")
     labels = (left.select(lab.alias("__lab"), _probe(lab, mode).alias("__probe"))
               .filter(F.col("__lab").isNotNull()).distinct())
-    keyed = dim.select(F.col(ord_col).cast("int").alias("o"), F.col(key_col).cast("string").alias("k"),
+    keyed = dim.select(F.col(ord_col).cast("bigint").alias("o"), F.col(key_col).cast("string").alias("k"),
                        F.col(value_col).cast("string").alias("v")).filter(F.col("k").isNotNull())
-    res = _banded(labels, keyed, threshold, metric, mode, sole_fallback)
+    res = _joined(labels, keyed, threshold, metric, mode, sole_fallback)
     return left.join(res, lab == res["__lab"], "left").drop("__lab")
 
 

@@ -149,3 +149,67 @@ def test_ratcliff_query_against_brute_force(spark):
            for r in entry.queries()["label_match_ratcliff"](spark, sf).collect()}
     assert got == expected
     assert {m for _, m in got.values()} == {"exact", "normalized", "fuzzy", None}
+
+
+def test_bigint_ordinals(spark):
+    big = 2**31 + 7
+    dim = spark.createDataFrame([(big, "alpha beta", "x"), (big + 1, "gamma", "y"), (big + 2, "alpha bete", "z")], "ord BIGINT, label STRING, question_id STRING")
+    left = spark.createDataFrame([("alpha beto",), ("gamma",)], "q STRING")
+    for cap in (0, 5000):
+        for metric in ("ratcliff", "levenshtein"):
+            got = {r.q: r.match_value for r in match_labels(left, "q", dim, metric=metric, max_inline=cap).collect()}
+            assert got == {"alpha beto": "x", "gamma": "y"}
+
+
+def _texts(n, seed):
+    import random
+
+    rng = random.Random(seed)
+    words = ["red", "blue", "small", "ring", "bolt", "gear", "widget", "año", "aaaa", "b"]
+    out = {"", "a", "aa", "ab", "é"}
+    while len(out) < n:
+        t = " ".join(rng.choices(words, k=rng.randint(1, 5)))
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randint(0, len(t))
+            t = t[:i] + rng.choice(["", "x", "e", "aa"]) + t[i + rng.randint(0, 2):]
+        out.add(t)
+    return sorted(out)
+
+
+def _lev(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return 1 - row[-1] / max(len(a), len(b))
+
+
+def test_similarity_join_loses_no_pair(spark, monkeypatch):
+    from pulso.operators import similarity_join as sj
+
+    a, b = _texts(70, 1), _texts(90, 2)
+    left, right = (spark.createDataFrame([(t,) for t in x], "text STRING") for x in (a, b))
+    measures = {"ratcliff": lambda x, y: SequenceMatcher(None, x, y).ratio(), "levenshtein": _lev}
+    for postings in (4096, 3):
+        monkeypatch.setattr(sj, "POSTINGS", postings)
+        for metric, measure in measures.items():
+            for t in (0.1, 0.5, 0.7, 0.85, 0.95) if postings == 4096 else (0.7,):
+                want = {(x, y) for x in a for y in b if x and y and measure(x, y) >= t}
+                got = [tuple(r) for r in sj.candidates(left, right, t, metric).collect()]
+                assert len(got) == len(set(got)) and want <= set(got), (metric, t)
+
+
+def test_similarity_join_meets_far_less_than_all_pairs_of_near_lengths(spark):
+    """Names of parts against each other, which share most of their words: candidates beside pairs whose lengths alone allow a match."""
+    from pyspark.sql import functions as F
+
+    from pulso.operators.similarity_join import candidates, scored
+
+    p = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    names = p.select(F.concat_ws(" ", "p_name", "p_type", "p_brand", F.col("p_partkey").cast("string")).alias("text")).distinct()
+    texts = [r[0] for r in names.collect()]
+    for metric, shrink in (("levenshtein", 0.9), ("ratcliff", 0.9 / 1.1)):
+        met = candidates(names, names, 0.9, metric)
+        near = sum(min(len(a), len(b)) >= shrink * max(len(a), len(b)) for a in texts for b in texts)
+        assert len(texts) <= scored(met, 0.9, metric).count() <= met.count() < near / 4
