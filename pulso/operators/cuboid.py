@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.numeric import likert_score, to_number
 from .segments import row_nonblank, with_segments
 
@@ -49,23 +50,23 @@ def respondent_cuboid(df: DataFrame, value_cols: dict[str, str] | None = None,
         names.append(name)
         if col and col in df.columns:
             v = to_number(F.col(col))
-            aggs += [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_cnt")]
+            aggs += [*exact.sums(v, name), F.count(v).alias(f"{name}_cnt")]
         else:
-            aggs += [F.lit(None).cast("double").alias(f"{name}_sum"), F.lit(0).cast("bigint").alias(f"{name}_cnt")]
+            aggs += [*exact.no_sums(name), F.lit(0).cast("bigint").alias(f"{name}_cnt")]
     raw = src.groupBy(*keys).agg(*aggs)
     seg = with_segments(raw, cohort_col, nps_col, response_col, loose=loose)
     if "__responded" in keys:
         seg = seg.withColumn("responded", F.col("__responded"))
     folded = [F.sum("n").alias("n")]
     for name in names:
-        folded += [F.sum(f"{name}_sum").alias(f"{name}_sum"), F.sum(f"{name}_cnt").alias(f"{name}_cnt")]
+        folded += [*exact.add_up(name), F.sum(f"{name}_cnt").alias(f"{name}_cnt")]
     return seg.groupBy("cohort", "nps_class", "responded").agg(*folded)
 
 
 def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
                   score_col: str = "score_raw", cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
                   loose: bool = False, segments: bool = False) -> DataFrame:
-    """(question_id[, cohort, nps_class]) -> sum / count of the clipped 1..4 score.
+    """(question_id[, cohort, nps_class]) -> exact sum (``exact.likert_sum``) / count of the clipped 1..4 score.
 
     Without ``respondents`` no join is needed: General scores, or segments too if the
     answers carry their row's label columns (``segments``). Otherwise the
@@ -79,7 +80,7 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
         keys = [c for c in (cohort_col, nps_col) if c in answers.columns]
         return _fold_answers(answers.select("question_id", *keys, s.alias("s")), keys, cohort_col, nps_col, loose)
     if respondents is None:
-        return answers.groupBy("question_id").agg(F.sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
+        return answers.groupBy("question_id").agg(exact.likert_sum(s).alias("s_sum"), F.count(s).alias("s_cnt"))
     keys = [c for c in (cohort_col, nps_col) if c in respondents.columns]
     seg = respondents.select("row_ord", *keys)
     # Parse/clip before the join and keep only answers with a value: the join
@@ -90,7 +91,7 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
 
 
 def _fold_answers(scored: DataFrame, keys: list[str], cohort_col: str, nps_col: str, loose: bool) -> DataFrame:
-    raw = scored.groupBy("question_id", *keys).agg(F.sum("s").alias("s_sum"), F.count("s").alias("s_cnt"))
+    raw = scored.groupBy("question_id", *keys).agg(exact.likert_sum(F.col("s")).alias("s_sum"), F.count("s").alias("s_cnt"))
     cls = with_segments(raw, cohort_col, nps_col, loose=loose)
     return cls.groupBy("question_id", "cohort", "nps_class").agg(F.sum("s_sum").alias("s_sum"),
                                                                  F.sum("s_cnt").alias("s_cnt"))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.numeric import TEN_OVER_THREE, likert_score, zero_as_null
 from ..sources.dims import HierarchyNode
 
@@ -70,7 +71,7 @@ def column_means(answers: DataFrame, score_col: str = "score_raw", column_col: s
     """Per source column: mean of the clipped 1..4 values (columns without data are absent)."""
     s = likert_score(F.col(score_col))
     return (answers.groupBy(F.col(column_col).alias("column"))
-            .agg(F.try_divide(F.sum(s), F.count(s).cast("double")).alias("col_mean"))
+            .agg(exact.likert_mean(exact.likert_sum(s), F.count(s)).alias("col_mean"))
             .filter(F.col("col_mean").isNotNull()))
 
 

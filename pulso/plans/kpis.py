@@ -14,6 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.numeric import or_zero, pct, safe_ratio, scale4_to_10, zero_as_null
 from ..operators.cuboid import answer_cuboid, respondent_cuboid
 from ..operators.segments import filter_ids
@@ -28,10 +29,9 @@ def _n_where(cond: Column) -> Column:
 
 
 def _mean(prefix: str, cond: Column | None = None, scale: int = 2) -> Column:
-    s, c = F.col(f"{prefix}_sum"), F.col(f"{prefix}_cnt")
-    if cond is not None:
-        s, c = F.when(cond, s), F.when(cond, c)
-    return or_zero(F.bround(F.try_divide(F.sum(s), F.sum(c).cast("double")), scale))
+    c = F.col(f"{prefix}_cnt")
+    c = c if cond is None else F.when(cond, c)
+    return or_zero(F.bround(F.try_divide(exact.total(prefix, cond), F.sum(c).cast("double")), scale))
 
 
 def parse_universe(value: float | int | str | None) -> float:
@@ -138,7 +138,7 @@ def question_scores(answers: DataFrame, respondents: DataFrame | None = None, id
         keep = filter_ids(respondents, ids, id_col).select("row_ord")
         answers = answers.join(keep, "row_ord", "left_semi")
     cube = answer_cuboid(answers)
-    mean4 = F.try_divide(F.col("s_sum"), F.col("s_cnt").cast("double"))
+    mean4 = exact.likert_mean(F.col("s_sum"), F.col("s_cnt"))
     return cube.select("question_id", F.col("s_cnt").alias("n_valid"),
                        or_zero(scale4_to_10(mean4)).alias("score10"))
 

@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.numeric import or_zero, scale4_to_10
 from ..operators.cuboid import answer_cuboid
 from ..operators.matching import match_labels
@@ -47,7 +48,7 @@ def segment_scores(answers: DataFrame, respondents: DataFrame | None, ids: Itera
         cond = F.lit(True) if fcol is None else (F.col(fcol) == F.lit(fval))
         s = F.sum(F.when(cond, F.col("s_sum")))
         c = F.sum(F.when(cond, F.col("s_cnt")))
-        cols.append(or_zero(scale4_to_10(F.try_divide(s, c.cast("double")))).alias(name))
+        cols.append(or_zero(scale4_to_10(exact.likert_mean(s, c))).alias(name))
     return cube.groupBy("question_id").agg(*cols)
 
 

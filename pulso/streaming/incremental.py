@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import exact
 from ..functions.numeric import pct, to_number
 from ..operators.segments import with_segments
 from ..plans import kpis
@@ -27,18 +28,18 @@ from ..sources.dims import COHORT_KEYS, COHORT_SLUG
 
 def raw_cube_stream(responses: DataFrame, cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
                     satisfaction_col: str | None = "satisfaction_raw") -> DataFrame:
-    """Streaming aggregate: (cohort_raw, nps_raw) -> n, sat_sum, sat_cnt."""
+    """Streaming aggregate: (cohort_raw, nps_raw) -> n, the exact sum of the satisfaction, sat_cnt."""
     v = to_number(F.col(satisfaction_col)) if satisfaction_col else F.lit(None).cast("double")
     return (responses.groupBy(F.col(cohort_col).alias("cohort_raw"), F.col(nps_col).alias("nps_raw"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("sat_sum"), F.count(v).alias("sat_cnt")))
+            .agg(F.count(F.lit(1)).alias("n"), *exact.sums(v, "sat"), F.count(v).alias("sat_cnt")))
 
 
 def fold_cube(raw_cube: DataFrame) -> DataFrame:
     """Classify the spellings of a raw cube and fold them into the KPI cube shape."""
     seg = with_segments(raw_cube, "cohort_raw", "nps_raw")
     return seg.groupBy("cohort", "nps_class", "responded").agg(
-        F.sum("n").alias("n"), F.sum("sat_sum").alias("sat_sum"), F.sum("sat_cnt").alias("sat_cnt"),
-        F.lit(None).cast("double").alias("cond_sum"), F.lit(0).cast("bigint").alias("cond_cnt"))
+        F.sum("n").alias("n"), *exact.add_up("sat"), F.sum("sat_cnt").alias("sat_cnt"),
+        *exact.no_sums("cond"), F.lit(0).cast("bigint").alias("cond_cnt"))
 
 
 def kpi_metrics(raw_cube: DataFrame) -> DataFrame:
