@@ -165,6 +165,18 @@ def q_label_unmatched(spark, sf_dir):
     return unmatched(m).select("p_partkey", "wanted")
 
 
+def q_label_match_many(spark, sf_dir):
+    """J3, W5 against a dimension of as many keys as rows, by joins: suppliers with their nation, one character of each left out."""
+    s, n = fx.table(spark, sf_dir, "supplier"), fx.table(spark, sf_dir, "nation")
+    k = F.col("s_suppkey")
+    names = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", F.concat_ws(" ", "s_name", "n_name").alias("name"))
+    wanted = names.withColumn("pos", (k % 20 + 1).cast("int")).select(
+        "s_suppkey", F.concat(F.substring(F.col("name"), F.lit(1), F.col("pos") - 1), F.expr("substring(name, pos + 1)")).alias("wanted"))
+    dim = names.select((k + F.lit(1 << 33)).alias("ord"), "name", k.alias("key"))
+    m = match_labels(wanted, "wanted", dim, "name", "key", "ord", threshold=0.95, metric="levenshtein", max_inline=0)
+    return m.select("s_suppkey", "wanted", "match_value", "match_method", "match_score")
+
+
 def _wanted_names(spark, sf_dir):
     p = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     n = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -477,6 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "question_matrix_template": q_question_matrix_template,
     "label_match": q_label_match,
     "label_match_ratcliff": q_label_match_ratcliff,
+    "label_match_many": q_label_match_many,
     "label_unmatched": q_label_unmatched,
     "name_resolve": q_name_resolve,
     "name_resolve_ratcliff": q_name_resolve_ratcliff,

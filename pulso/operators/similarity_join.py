@@ -25,7 +25,8 @@ from ..functions.similarity import levenshtein_ratio, ratcliff_from
 # Length and overlap bounds only sort out candidates; the measure itself decides, so they may be wider than exact.
 SLACK = 1e-6
 LONGEST = 2048          # lengths looked at for the bound on pairs; it grows in steps with the length
-MEET = 4                # rare grams that two texts share, where the bound allows
+# Rare grams that two texts share, where the bound allows: more of them mean fewer pairs to measure, but more rows to find those.
+MEET = {"levenshtein": 1, "ratcliff": 4}
 POSTINGS = 4096         # keys of one gram that one part holds
 METRICS = ("ratcliff", "levenshtein")
 
@@ -77,7 +78,7 @@ def _graded(texts: DataFrame, t: float, metric: str) -> DataFrame:
     rows = rows.withColumn("grams", F.when(F.col("kind") == 2, _numbered(F.col("text"), q)).otherwise(_numbered(F.col("text"), 1)))
     least = F.when(F.col("kind") == 2, _least_shared(F.col("n"), t, metric, q)).otherwise(_least_shared(F.col("n"), t, metric, 1))
     least = F.greatest(least, F.lit(1)).cast("int")
-    meet = F.least(least, F.lit(MEET))
+    meet = F.least(least, F.lit(MEET[metric]))
     return rows.select("text", "kind", "grams", (F.size("grams") - least + meet).alias("take"), meet.alias("meet"), (F.col("n") >= first_long).alias("long"))
 
 

@@ -186,6 +186,7 @@ FROM seg"""
     q["hierarchy_mapped"] = q["hierarchy_rollup"]
     q.update(_misc_sql())
     q.update(_files_sql())
+    q["label_match_many"] = _match_many_sql()
     return q
 
 
@@ -251,6 +252,23 @@ FROM (SELECT 'FEW' AS grupo, * FROM few UNION ALL SELECT 'MANY', * FROM many)"""
     }
 
 
+def _match_many_sql() -> str:
+    """Every wanted name against every key, by the measure itself."""
+    return f"""
+WITH names AS (SELECT s_suppkey, concat_ws(' ', s_name, n_name) AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+w AS (SELECT s_suppkey, concat(substr(name, 1, CAST(s_suppkey % 20 AS INT)), substr(name, CAST(s_suppkey % 20 AS INT) + 2)) AS wanted FROM names),
+keys AS (SELECT {loose('name')} AS nk, min(s_suppkey) AS o, max(s_suppkey) AS v FROM names GROUP BY 1),
+p AS (SELECT s_suppkey, wanted, {loose('wanted')} AS probe FROM w),
+early AS (SELECT p.*, coalesce(e.v, n.v) AS v, CASE WHEN e.v IS NOT NULL THEN 'exact' WHEN n.v IS NOT NULL THEN 'normalized' END AS method
+  FROM p LEFT JOIN (SELECT name, max(s_suppkey) AS v FROM names GROUP BY 1) e ON e.name = wanted LEFT JOIN keys n ON n.nk = probe),
+scored AS (SELECT s_suppkey, k.o, k.v, 1.0::DOUBLE - levenshtein(probe, k.nk)::DOUBLE / greatest(length(probe), length(k.nk)) AS s
+  FROM early JOIN keys k ON early.method IS NULL AND abs(length(probe) - length(k.nk)) <= 3),
+best AS (SELECT * FROM scored WHERE s >= 0.95 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s DESC, o) = 1)
+SELECT early.s_suppkey, wanted, CAST(coalesce(early.v, best.v) AS VARCHAR) AS match_value,
+  CASE WHEN method IS NOT NULL THEN method WHEN best.v IS NOT NULL THEN 'fuzzy' END AS match_method, best.s AS match_score
+FROM early LEFT JOIN best USING (s_suppkey)"""
+
+
 def _sheet_sql() -> dict[str, str]:
     """The wide sheet: one cell per row and question (its smallest text); Q1..Q7 stand at AL..AR and, again, at
     the sub-components IC..IF (axis IB) and IH..IJ (axis IG)."""
