@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,11 @@ from .plans import kpis
 from .plans.question_matrix import question_matrix
 from .plans.sheet import sheet_reports
 from .sources import fixtures as fx
-from .session import stage_path
+from .session import materialize, stage_path
 from .sources.dims import (DemographicGroup, demographic_groups, hierarchy_nodes, question_dim, read_demographic_json,
                            read_hierarchy_json, template_from_table)
 from .sources.io import list_reports, read_report, write_report
+from .sources.publish import manifest, publish, published
 from .sources.letters import index_to_letter, select_letters, wide_to_canonical
 from .sources.sheets import read_sheet, write_sheet
 
@@ -341,6 +343,17 @@ def q_report_publish(spark, sf_dir):
     return left[0].unionByName(left[1]).unionByName(left[2])
 
 
+def q_report_versions(spark, sf_dir):
+    """Three versions published over each other; the reports of the last one and their rows."""
+    counts = materialize(q_demographic_counts(spark, sf_dir).select("grupo", "label"), "versions-counts")
+    base = stage_path(spark, "versions")
+    publish({"consolidado": counts, "comentarios": counts}, base)
+    publish({"demografia": counts.filter("grupo = 'SEGMENT'")}, base)
+    publish({"consolidado": counts.limit(0), "indice_clima": counts.select("grupo").distinct()}, base, drop=("comentarios", "indice_clima"))
+    reports = [published(spark, base, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name in manifest(spark, base)]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _number_forms(spark, sf_dir):
     """One number text per line item, in the spellings a survey cell may hold."""
     li = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
@@ -512,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comments_by_id": q_comments_by_id,
     "report_roundtrip": q_report_roundtrip,
     "report_publish": q_report_publish,
+    "report_versions": q_report_versions,
     "number_forms": q_number_forms,
     "sheet_question_matrix": q_sheet_question_matrix,
     "sheet_kpis": q_sheet_kpis,

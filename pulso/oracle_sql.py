@@ -220,6 +220,9 @@ SELECT l_orderkey, l_linenumber, raw, {num('raw')} AS num, {num("replace(raw, ',
 SELECT m.mode, m.reports, (SELECT count(*) FROM ord) AS n_rows
 FROM (VALUES ('keep-others 0', 'comentarios,consolidado,demografia'), ('only 0', 'demografia'),
   ('keep-others 2', 'consolidado,demografia')) AS m(mode, reports)"""
+    q["report_versions"] = _demographics_sql()["demographic_counts"].rsplit("SELECT grupo, label", 1)[0] + """
+SELECT 'consolidado' AS report, 0::BIGINT AS n_rows UNION ALL SELECT 'demografia', count(*) FROM ord WHERE grupo = 'SEGMENT'
+UNION ALL SELECT 'indice_clima', count(DISTINCT grupo) FROM ord"""
     q.update(_sheet_sql())
     q["numeric_coerce_clip"] = ans + f"""SELECT score_raw, {num('score_raw')} AS num, {clip(num('score_raw'))} AS clipped,
   count(*) AS n FROM answers GROUP BY score_raw"""

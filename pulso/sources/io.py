@@ -3,7 +3,7 @@
 There is no xlsx source in Spark; survey sheets are read from Parquet or
 CSV (exported sheets), with every cell as text and the usual spreadsheet
 "not available" tokens turned into NULL, like a spreadsheet reader does.
-Reports are written as one Parquet folder (or catalog table) per report.
+Reports are written as one Parquet folder per report.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .letters import quoted
 from .sheets import NA_TOKENS, read_sheet
 
+
 def read_survey(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None,
                 na_tokens: Iterable[str] | None = NA_TOKENS, ordinal: bool = False, **options: str) -> DataFrame:
     """The rows of a survey sheet under their labels; ``sheets.read_sheet`` also gives positions and rejected records.
@@ -57,8 +58,8 @@ def write_report(df: DataFrame, base: str, name: str, mode: str = "keep-others",
                  drop: Iterable[str] = ()) -> str:
     """S5 + S6: write ``df`` as report ``name`` under ``base`` (replacing only that report).
 
-    The rows go to a hidden folder first, which then takes the report's name, so readers
-    and failed runs never meet half a report.
+    The rows go to a hidden folder first, which then takes the report's name, so nobody meets half a
+    report; the old one is moved aside and removed last. ``publish.publish`` switches several reports at once.
 
     ``mode``: "keep-others" leaves the other reports; "only" removes every
     other report under ``base``. ``drop`` removes the named reports, but never
@@ -71,10 +72,16 @@ def write_report(df: DataFrame, base: str, name: str, mode: str = "keep-others",
     hidden = f"{base.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
     df.write.parquet(hidden)
     fs, new = _jfs(spark, hidden)
-    old = _jfs(spark, target)[1]
-    fs.delete(old, True)
+    old, aside = _jfs(spark, target)[1], _jfs(spark, f"{hidden}-old")[1]
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"cannot move {target} aside")
     if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
         raise OSError(f"cannot publish {target}")
+    if had:
+        fs.delete(aside, True)
     victims = set(drop)
     if mode == "only":
         victims |= set(list_reports(spark, base))
