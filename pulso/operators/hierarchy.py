@@ -44,20 +44,27 @@ def visit_order(nodes: Sequence[HierarchyNode]) -> list[str]:
 
 
 def heights(nodes: Sequence[HierarchyNode], default_agg: str = "unweighted") -> dict[str, int]:
-    """Height of each node among the edges that are actually rolled up."""
+    """Height of each node among the edges that are actually rolled up; a cycle or a child without a row is an error."""
     index = {n.label: n for n in nodes}
-    memo: dict[str, int] = {}
-
-    def h(label: str) -> int:
-        if label not in memo:
-            n = index[label]
-            kids = _rolled_children(n, default_agg)
-            memo[label] = 0 if not kids else 1 + max(h(c) for c in kids)
-        return memo[label]
-
+    height: dict[str, int] = {}
     for n in nodes:
-        h(n.label)
-    return memo
+        todo, open_ = [n.label], set()
+        while todo:
+            label = todo[-1]
+            if label not in index:
+                raise ValueError(f"hierarchy has no row for the child {label!r}")
+            kids = _rolled_children(index[label], default_agg)
+            waiting = [c for c in kids if c not in height]
+            if waiting and label not in height:
+                if label in open_:
+                    raise ValueError(f"cycle in hierarchy at {label!r}")
+                open_.add(label)
+                todo += waiting
+                continue
+            height[label] = 1 + max(height[c] for c in kids) if kids else 0
+            open_.discard(label)
+            todo.pop()
+    return height
 
 
 def _rolled_children(n: HierarchyNode, default_agg: str) -> tuple[str, ...]:

@@ -177,3 +177,20 @@ def test_apportion_of_one_large_group_matches_plain_ranking(spark):
         assert [got[0, i] for i in range(len(weights))] == [f / units for f in floors]
         assert round(sum(got[0, i] for i in range(len(weights))) * units) == units
         assert [got[1, i] for i in range(3)] == [None] * 3 and got[2, 0] == 1.0
+
+
+def test_heights_of_deep_trees_and_broken_ones():
+    import pytest
+
+    from pulso.operators.hierarchy import heights
+    from pulso.sources.dims import HierarchyNode
+
+    deep = [HierarchyNode(f"n{i}", "group", (), (f"n{i + 1}",)) for i in range(5000)] + [HierarchyNode("n5000", "value", ("a",))]
+    assert heights(deep)["n0"] == 5000
+    shared = [HierarchyNode("r", "group", (), ("a", "b")), HierarchyNode("a", "group", (), ("b",)), HierarchyNode("b", "value", ("x",))]
+    assert heights(shared) == {"r": 2, "a": 1, "b": 0}
+    loop = [HierarchyNode("r", "value", ("x",)), HierarchyNode("a", "group", (), ("b",)), HierarchyNode("b", "group", (), ("c",)), HierarchyNode("c", "group", (), ("a",))]
+    with pytest.raises(ValueError, match="cycle"):
+        heights(loop)
+    with pytest.raises(ValueError, match="no row"):
+        heights([HierarchyNode("r", "group", (), ("gone",))])
