@@ -63,6 +63,32 @@ def respondent_cuboid(df: DataFrame, value_cols: dict[str, str] | None = None,
     return seg.groupBy("cohort", "nps_class", "responded").agg(*folded)
 
 
+BLOCK = 16      # columns of a sheet that one aggregate row adds up: two sums each stay within the columns that Spark compiles
+
+
+def sheet_cuboid(cells: DataFrame, questions: dict[str, str], cohort: str | None, nps: str | None) -> DataFrame:
+    """(question_id, cohort_raw, nps_raw) -> exact sum / count of the clipped score, added up column by column.
+
+    ``questions`` maps question ids to columns of a wide sheet. A respondent becomes one row per block of columns, not one per question: the
+    sums of a block are taken side by side for each spelling of cohort and NPS answer, and only that small result is turned into a row per
+    question.
+    """
+    ids = list(questions)
+    label = lambda c, name: (F.col(c) if c else F.lit(None)).cast("string").alias(name)
+    keys = [label(cohort, "cohort_raw"), label(nps, "nps_raw")]
+    blocks = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)] or [[]]
+    none = F.lit(None).cast("double")
+    rows = [F.struct(F.lit(b).alias("block"), *[(likert_score(F.col(questions[block[i]])) if i < len(block) else none).alias(f"v{i}") for i in range(BLOCK)])
+            for b, block in enumerate(blocks)]
+    long = cells.select(*keys, F.inline(F.array(*rows)))
+    sums = [a for i in range(BLOCK) for a in (exact.likert_sum(F.col(f"v{i}")).alias(f"s{i}"), F.count(f"v{i}").alias(f"c{i}"))]
+    small = long.groupBy("block", "cohort_raw", "nps_raw").agg(*sums)
+    each = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"s{i}").alias("s_sum"), F.col(f"c{i}").alias("s_cnt")) for i in range(BLOCK)]))
+    names = F.array(*[F.lit(q) for q in ids]) if ids else F.array().cast("array<string>")
+    out = small.select("block", "cohort_raw", "nps_raw", each).withColumn("question_id", F.get(names, F.col("block") * BLOCK + F.col("i")))
+    return out.filter(F.col("question_id").isNotNull()).select("question_id", "cohort_raw", "nps_raw", "s_sum", "s_cnt")
+
+
 def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
                   score_col: str = "score_raw", cohort_col: str = "cohort_raw", nps_col: str = "nps_raw",
                   loose: bool = False, segments: bool = False) -> DataFrame:
@@ -75,6 +101,10 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
     (partial aggregation in the join stage); classification runs on that
     small result and a last aggregate folds spellings into classes.
     """
+    if "s_sum" in answers.columns:      # added up already, as by ``sheet_cuboid``
+        if not segments:
+            return answers.groupBy("question_id").agg(F.sum("s_sum").alias("s_sum"), F.sum("s_cnt").alias("s_cnt"))
+        return _fold_classes(answers, cohort_col, nps_col, loose)
     s = likert_score(F.col(score_col))
     if respondents is None and segments:
         keys = [c for c in (cohort_col, nps_col) if c in answers.columns]
@@ -92,6 +122,10 @@ def answer_cuboid(answers: DataFrame, respondents: DataFrame | None = None,
 
 def _fold_answers(scored: DataFrame, keys: list[str], cohort_col: str, nps_col: str, loose: bool) -> DataFrame:
     raw = scored.groupBy("question_id", *keys).agg(exact.likert_sum(F.col("s")).alias("s_sum"), F.count("s").alias("s_cnt"))
+    return _fold_classes(raw, cohort_col, nps_col, loose)
+
+
+def _fold_classes(raw: DataFrame, cohort_col: str, nps_col: str, loose: bool) -> DataFrame:
     cls = with_segments(raw, cohort_col, nps_col, loose=loose)
     return cls.groupBy("question_id", "cohort", "nps_class").agg(F.sum("s_sum").alias("s_sum"),
                                                                  F.sum("s_cnt").alias("s_cnt"))

@@ -76,6 +76,9 @@ def _rolled_children(n: HierarchyNode, default_agg: str) -> tuple[str, ...]:
 
 def column_means(answers: DataFrame, score_col: str = "score_raw", column_col: str = "question_id") -> DataFrame:
     """Per source column: mean of the clipped 1..4 values (columns without data are absent)."""
+    if "s_sum" in answers.columns:      # added up already, as by ``cuboid.sheet_cuboid``
+        mean = exact.likert_mean(F.sum("s_sum"), F.sum("s_cnt"))
+        return answers.groupBy(F.col(column_col).alias("column")).agg(mean.alias("col_mean")).filter(F.col("col_mean").isNotNull())
     s = likert_score(F.col(score_col))
     return (answers.groupBy(F.col(column_col).alias("column"))
             .agg(exact.likert_mean(exact.likert_sum(s), F.count(s)).alias("col_mean"))

@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 from ..functions.similarity import best_ratcliff_udf, levenshtein_ratio
 from ..functions.text import norm_label, norm_label_loose, plain_label
 from ..session import materialize
-from .similarity_join import SLACK, candidates, scored
+from .similarity_join import SLACK, candidates, near_lengths, scored
 
 _MATCH_COLS = ("match_value", "match_method", "match_score")
 # Candidate lists up to this size are scored as unrolled column expressions.
 UNROLL_MAX = 256
+# So few pairs of open labels and keys are measured as they are, by the lengths that can match; rarity of grams has nothing to say there.
+FEW_PAIRS = 2000
 # Below this threshold the bounds say little, so labels look for near keys first; one that has a key this near need not look further.
 LOOSE, NEAR = 0.6, 0.9
 
@@ -183,7 +185,9 @@ def _joined(labels: DataFrame, dim: DataFrame, threshold: float, metric: str, mo
 
 def _nearest(labels: DataFrame, keyed: DataFrame, t: float, metric: str) -> DataFrame:
     """(__lab, __top): the best key of every label that has one with a score of t or more."""
-    pairs = candidates(labels.select(F.col("__probe").alias("text")).distinct(), keyed.select(F.col("nk").alias("text")), t, metric)
+    probes, keys = labels.select(F.col("__probe").alias("text")).distinct(), keyed.select(F.col("nk").alias("text"))
+    few = labels.count() * keyed.count() <= FEW_PAIRS
+    pairs = near_lengths(probes, keys, t, metric) if few else candidates(probes, keys, t, metric)
     near = scored(pairs, t, metric)
     best = (near.join(keyed, near["key"] == keyed["nk"])
             .groupBy("probe").agg(F.max(F.struct(F.col("s"), (-F.col("no")).alias("neg_o"), F.col("nv").alias("v"))).alias("__top")))

@@ -105,6 +105,16 @@ def _prefixes(graded: DataFrame, rarity: DataFrame) -> DataFrame:
     return ranked.select(*of, F.explode(F.slice("ranked", F.lit(1), F.greatest("take", F.lit(0)))).alias("g")).select(*of, "g.gram")
 
 
+def near_lengths(probes: DataFrame, keys: DataFrame, threshold: float, metric: str) -> DataFrame:
+    """(probe, key): all pairs of non-empty texts whose lengths allow the threshold, joined on the length."""
+    n, shrink = F.length("text"), F.lit(_shrink(float(threshold), metric))
+    longest = keys.agg(F.max(F.length("text"))).first()[0] or 0
+    low = F.greatest(F.ceil(n * shrink - F.lit(SLACK)), F.lit(1)).cast("int")
+    high = F.least(F.floor(F.try_divide(n, shrink) + F.lit(SLACK)), F.lit(longest)).cast("int")
+    asked = probes.filter((n > 0) & (low <= F.coalesce(high, F.lit(longest)))).select(F.col("text").alias("probe"), F.explode(F.sequence(low, F.coalesce(high, F.lit(longest)))).alias("length"))
+    return asked.join(keys.filter(n > 0).select(F.col("text").alias("key"), n.alias("length")), "length").select("probe", "key")
+
+
 def candidates(probes: DataFrame, keys: DataFrame, threshold: float, metric: str) -> DataFrame:
     """(probe, key): all pairs of distinct non-empty texts (column ``text`` of either side) whose measure can reach the threshold."""
     if metric not in METRICS:

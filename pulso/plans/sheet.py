@@ -1,8 +1,7 @@
 """All five reports from one letter-addressed survey sheet (the classic layout).
 
-The sheet is split once into canonical respondents + long answers
-(``layout.split_sheet``); every report then reads one of those two
-DataFrames, as the answers carry the cohort and NPS cells of their row.
+The sheet is split into canonical respondents (``layout.split_sheet``) and the answers' sums by question and spelling of cohort and
+NPS answer (``cuboid.sheet_cuboid``); every report then reads one of those two DataFrames.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.cuboid import sheet_cuboid
 from ..operators.hierarchy import hierarchy_report
 from ..operators.segments import filter_ids
 from ..sources import layout
@@ -47,7 +47,11 @@ def sheet_reports(sheet: DataFrame | Sheet, hierarchy: Sequence[HierarchyNode] =
     demo_groups = layout.resolve_groups(sheet, list(demographics))
     # Demographic columns are kept in the respondents table under their position's name.
     roles = {g.column: index_to_letter(int(g.column[1:])) for g in demo_groups if g.column in sheet.columns}
-    respondents, answers = layout.split_sheet(sheet, row_ord_col, roles)
+    respondents, _ = layout.split_sheet(sheet, row_ord_col, roles)
+    # The answers are only ever added up: per column of the sheet, before they become rows. The reports below share the small table.
+    place = {q: position_name(sheet, letter) for q, letter in layout.answer_letters().items()}
+    answers = sheet_cuboid(sheet, {q: c for q, c in place.items() if c}, position_name(sheet, layout.ROLE_LETTERS["cohort_raw"]),
+                           position_name(sheet, layout.ROLE_LETTERS["nps_raw"]))
     questions, members = layout.kpi_questions()
     out = {
         "consolidado": survey_kpis(respondents, answers, questions, universe=universe,

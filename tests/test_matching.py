@@ -69,6 +69,19 @@ def test_strategies_agree_over_thresholds_metrics_and_modes(spark):
     assert (hit.match_method, hit.match_score) == ("fuzzy", 0.8)
 
 
+def test_similarity_join_gives_the_matches_of_the_other_strategies(spark, monkeypatch):
+    from pulso.operators import matching
+
+    dim = spark.createDataFrame([(i, k, f"v{i}") for i, k in enumerate(_texts(60, 3))], "ord INT, label STRING, question_id STRING")
+    left = spark.createDataFrame([(w,) for w in [*_texts(50, 4), None]], "q STRING")
+    for metric, mode, t in (("ratcliff", "label", 0.75), ("levenshtein", "name", 0.5), ("levenshtein", "label", 0.8), ("ratcliff", "best", 0.0)):
+        run = lambda cap: sorted(map(str, match_labels(left, "q", dim, threshold=t, metric=metric, mode=mode, max_inline=cap).collect()))  # noqa: E731,B023
+        monkeypatch.setattr(matching, "FEW_PAIRS", 0)
+        joined = run(0)
+        monkeypatch.setattr(matching, "FEW_PAIRS", 10**6)
+        assert joined == run(0) == run(5000), (metric, mode, t)
+
+
 def test_name_resolution_ignores_accents(spark):
     names = spark.createDataFrame([(0, "Opinión 2024")], "o INT, n STRING")
     left = spark.createDataFrame([("Opinio",), ("OPINIÓN",)], "w STRING")
