@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(registry.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
