@@ -16,6 +16,7 @@ filter). All bounds are necessary, so no pair is lost; where none holds (t near
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from ..functions.similarity import levenshtein_ratio, ratcliff_from
 
 # Length and overlap bounds only sort out candidates; the measure itself decides, so they may be wider than exact.
 SLACK = 1e-6
-LONGEST = 2048          # lengths looked at for the bound on pairs; it grows in steps with the length
+LONGEST = 2048          # lengths looked at for the bound on longer grams
 # Rare grams that two texts share, where the bound allows: more of them mean fewer pairs to measure, but more rows to find those.
 MEET = {"levenshtein": 1, "ratcliff": 4}
 POSTINGS = 4096         # keys of one gram that one part holds
@@ -36,25 +37,21 @@ def _shrink(t: float, metric: str) -> float:
     return t / (2 - t) if metric == "ratcliff" else t
 
 
-def _shared(a: Column, b: Column, t: float, metric: str, gram: int) -> Column:
-    """How many characters (``gram`` 1) or longer grams two texts of these lengths share if their measure reaches t."""
-    if metric == "ratcliff":
-        matched = F.ceil((a + b) * F.lit(t / 2) - F.lit(SLACK))
-        return matched if gram == 1 else 3 * matched - 1 - (a + b)
-    longer = F.greatest(a, b)
-    edits = F.floor(longer * F.lit(1 - t) + F.lit(SLACK))
-    return longer - (gram - 1) - gram * edits
-
-
 def _gram(t: float, metric: str) -> int:
     """Longer grams are rarer, but an edit takes more of them."""
     return 3 if metric == "levenshtein" and 3 * (1 - t) <= 0.8 else 2
 
 
-def _least_shared(n: Column, t: float, metric: str, gram: int) -> Column:
-    """The bound for the shortest partner a text of length n can have; longer ones share more."""
-    least = F.greatest(F.ceil(n * F.lit(_shrink(t, metric)) - F.lit(SLACK)), F.lit(0))
-    return _shared(n, least, t, metric, gram)
+def _least_shared(n: Column | int, t: float, metric: str, gram: int, ceil: Callable = F.ceil) -> Column | int:
+    """How many characters (``gram`` 1) or longer grams a text of length n shares with any partner that reaches t.
+
+    The bounds of a pair go up and down by whole edits or blocks with the partner's length; without that rounding they only grow with it, so the shortest
+    partner gives a number that holds for all.
+    """
+    if metric == "ratcliff":
+        both = n + ceil(n * _shrink(t, metric) - SLACK)
+        return ceil(both * (t / 2) - SLACK) if gram == 1 else ceil(both * (1.5 * t - 1) - SLACK) - 1
+    return ceil(n * (1 - gram * (1 - t)) - gram * SLACK) - (gram - 1)
 
 
 def _numbered(text: Column, gram: int) -> Column:
@@ -83,18 +80,8 @@ def _graded(texts: DataFrame, t: float, metric: str) -> DataFrame:
 
 
 def _first_long(t: float, metric: str) -> int:
-    """The length from which on the bound on pairs says something; beyond all lengths if it never does."""
-    says = [_bound(n, t, metric) >= 1 for n in range(1, LONGEST)]
-    return LONGEST - says[::-1].index(False) if says[-1] and False in says else 1 if all(says) else 1 << 30
-
-
-def _bound(n: int, t: float, metric: str) -> int:
-    """``_least_shared`` of pairs for one length."""
-    least = max(math.ceil(n * _shrink(t, metric) - SLACK), 0)
-    if metric == "ratcliff":
-        return 3 * math.ceil((n + least) * t / 2 - SLACK) - 1 - (n + least)
-    q = _gram(t, metric)
-    return n - (q - 1) - q * math.floor(n * (1 - t) + SLACK)
+    """The length from which on the bound on longer grams says something; beyond all lengths if it does not for usual ones."""
+    return next((n for n in range(1, LONGEST) if _least_shared(n, t, metric, _gram(t, metric), math.ceil) >= 1), 1 << 30)
 
 
 def _prefixes(graded: DataFrame, rarity: DataFrame) -> DataFrame:

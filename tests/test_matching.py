@@ -213,6 +213,27 @@ def test_similarity_join_loses_no_pair(spark, monkeypatch):
                 assert len(got) == len(set(got)) and want <= set(got), (metric, t)
 
 
+def test_bounds_hold_for_every_partner_length():
+    """The bound of a pair falls by whole edits or blocks between neighbouring lengths; what a text is asked for never exceeds it."""
+    import math
+
+    from pulso.operators import similarity_join as sj
+
+    for metric in sj.METRICS:
+        for t in (0.1, 0.5, 0.55, 0.6, 0.68, 0.74, 0.75, 0.8, 0.9, 0.95, 1.0):
+            q, shrink = sj._gram(t, metric), sj._shrink(t, metric)
+            for n in range(1, 90):
+                for m in range(max(1, math.ceil(n * shrink - 1e-9)), math.floor(n / shrink + 1e-9) + 1 if shrink else 200):
+                    for gram in {1, q}:
+                        if metric == "ratcliff":
+                            matched = math.ceil((n + m) * t / 2 - 1e-9)
+                            pair = matched if gram == 1 else 3 * matched - 1 - (n + m)
+                        else:
+                            pair = max(n, m) - (gram - 1) - gram * math.floor(max(n, m) * (1 - t) + 1e-9)
+                        asked = sj._least_shared(n, t, metric, gram, math.ceil)
+                        assert asked <= max(pair, 0), (metric, t, n, m, gram)
+
+
 def test_similarity_join_meets_far_less_than_all_pairs_of_near_lengths(spark):
     """Names of parts against each other, which share most of their words: candidates beside pairs whose lengths alone allow a match."""
     from pyspark.sql import functions as F
