@@ -11,6 +11,10 @@ A text that must share c of its n grams with a partner shares m of its n - c + m
 meet on rare grams only, and on ``MEET`` of them: on pairs or triples if both are long enough for the bound on those to say something, else on characters. Grams that many keys begin with are split: the keys are
 dealt to parts and a text asks every part. Who met is measured; before the gestalt ratio, which is costly, the shared characters of the pair are counted (count
 filter). All bounds are necessary, so no pair is lost; where none holds (t near 0), every text with a character in common is a candidate.
+
+Numbered names have no rare grams: a gram of digits stands in a fixed share of them, and texts that meet on one of those are a share of all pairs. So pairs
+that the edit ratio allows one edit at most (by their longer text, of up to ``ONE_EDIT`` characters) meet on what is left of either when one character goes
+instead: one edit apart means equal, or equal after that. Who meets so is two edits apart at most, however frequent the grams are. The other pairs meet on grams.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ LONGEST = 2048          # lengths looked at for the bound on longer grams
 # Rare grams that two texts share, where the bound allows: more of them mean fewer pairs to measure, but more rows to find those.
 MEET = {"levenshtein": 1, "ratcliff": 4}
 POSTINGS = 4096         # keys of one gram that one part holds
+ONE_EDIT = 128          # longer texts have as many shortened forms, each as long; they meet on grams
 METRICS = ("ratcliff", "levenshtein")
 
 
@@ -61,12 +66,45 @@ def _numbered(text: Column, gram: int) -> Column:
     return F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).cast("string")))
 
 
+def _meets_shortened(longer: Column, t: float, metric: str) -> Column:
+    """Whether a pair with this longer length meets on shortened forms; true up to some length and false from there on."""
+    if metric != "levenshtein":
+        return F.lit(False)
+    edits = F.floor(longer * F.lit(1 - t) + F.lit(SLACK))
+    return (edits < 1) | ((edits == 1) & (longer <= F.lit(ONE_EDIT)))
+
+
+def _shortened(texts: DataFrame, t: float) -> DataFrame:
+    """(text, form): hashes of the text itself and, if a pair with it may have an edit, of the text without each of its characters."""
+    text, n = F.col("text"), F.length("text")
+    without = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, n)))
+    some = F.floor((n + 1) * F.lit(1 - t) + F.lit(SLACK)) >= 1   # one edit changes the length by one at most
+    # texts are few bytes beside their forms, so they are dealt out by number, not by size
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = texts.filter((n > 0) & _meets_shortened(n, t, "levenshtein")).repartition(parts)
+    forms = texts.select("text", F.explode(F.when(some & (n <= ONE_EDIT), F.array_distinct(F.concat(F.array(text), without))).otherwise(F.array(text))).alias("form"))
+    # two texts of one character have nothing in common without it
+    return forms.filter(F.col("form") != "").select("text", F.xxhash64("form").alias("form"))
+
+
+def _met_shortened(probes: DataFrame, keys: DataFrame, t: float) -> DataFrame:
+    """(probe, key): the pairs of one edit at most, and some of two; equal hashes of other forms are candidates too many."""
+    asked, listed = (_shortened(side, t).withColumnRenamed("text", name) for side, name in ((probes, "probe"), (keys, "key")))
+    a, b = F.length("probe"), F.length("key")
+    longer = F.greatest(a, b)
+    near = _meets_shortened(longer, t, "levenshtein") & (longer - F.least(a, b) <= F.floor(longer * F.lit(1 - t) + F.lit(SLACK)))
+    # forms count as small before they are spread out, and would all be broadcast
+    return asked.join(listed.hint("merge"), "form").filter(near).select("probe", "key").distinct()
+
+
 def _graded(texts: DataFrame, t: float, metric: str) -> DataFrame:
     """(text, kind, grams, take, meet, long): longer grams (kind 2) of a text that is long enough for them, characters (1) of one that is not or may meet such a one.
 
     ``take`` is the number of rarest grams of which ``meet`` are shared with any partner.
     """
     texts = texts.filter(F.length("text") > 0).withColumn("n", F.length("text"))
+    longest_partner = F.try_divide(F.col("n"), F.lit(_shrink(t, metric))) + F.lit(1)
+    texts = texts.filter(F.coalesce(~_meets_shortened(longest_partner, t, metric), F.lit(True)))   # all others have no pair that meets on grams
     first_long = _first_long(t, metric)
     shortest_partner = F.ceil(F.col("n") * F.lit(_shrink(t, metric)) - F.lit(SLACK))
     kinds = F.filter(F.array(F.when(F.col("n") >= first_long, F.lit(2)), F.when(shortest_partner < first_long, F.lit(1))), lambda k: k.isNotNull())
@@ -118,9 +156,10 @@ def candidates(probes: DataFrame, keys: DataFrame, threshold: float, metric: str
     a, b = F.length("probe"), F.length("key")
     near = F.least(a, b) >= F.greatest(a, b) * F.lit(_shrink(t, metric)) - F.lit(SLACK)
     # two long texts meet on longer grams, all others on characters
-    met = asked.join(listed, [*on, "part"]).filter(near & ((F.col("kind") == 2) | ~F.col("long") | ~F.col("key_long")))
-    return (met.groupBy("probe", "key").agg(F.count(F.lit(1)).alias("n"), F.first(F.least("meet", "key_meet")).alias("enough"))
-            .filter(F.col("n") >= F.col("enough")).select("probe", "key"))
+    met = asked.join(listed, [*on, "part"]).filter(near & ~_meets_shortened(F.greatest(a, b), t, metric) & ((F.col("kind") == 2) | ~F.col("long") | ~F.col("key_long")))
+    met = (met.groupBy("probe", "key").agg(F.count(F.lit(1)).alias("n"), F.first(F.least("meet", "key_meet")).alias("enough"))
+           .filter(F.col("n") >= F.col("enough")).select("probe", "key"))
+    return met.unionByName(_met_shortened(probes, keys, t)) if metric == "levenshtein" else met
 
 
 def scored(pairs: DataFrame, t: float, metric: str) -> DataFrame:

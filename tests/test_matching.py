@@ -247,3 +247,48 @@ def test_similarity_join_meets_far_less_than_all_pairs_of_near_lengths(spark):
         met = candidates(names, names, 0.9, metric)
         near = sum(min(len(a), len(b)) >= shrink * max(len(a), len(b)) for a in texts for b in texts)
         assert len(texts) <= scored(met, 0.9, metric).count() <= met.count() < near / 4
+
+
+def test_pairs_of_one_edit_meet_without_frequent_grams(spark):
+    """Numbered names share all their grams with a fixed part of the others: who meets grows with the names, not with their pairs."""
+    from pyspark.sql import functions as F
+
+    from pulso.operators.similarity_join import candidates, scored
+
+    met = {}
+    for n in (500, 4000):
+        k = F.col("id") * 7919 % 100_000
+        names = spark.range(n).select("id", F.format_string("supplier%09d %s", k, F.element_at(F.array(*map(F.lit, ["france", "peru", "japan"])), (k % 3 + 1).cast("int"))).alias("text"))
+        pos = (F.col("id") % 15 + 1).cast("int")
+        wanted = names.select(F.concat(F.expr("left(text, int(id % 15))"), F.substring("text", pos + 1, F.length("text"))).alias("text")).distinct()
+        pairs = candidates(wanted, names.select("text"), 0.95, "levenshtein").cache()
+        assert scored(pairs, 0.95, "levenshtein").select("probe").distinct().count() == wanted.count()
+        met[n] = pairs.count()
+        pairs.unpersist()
+    assert met[4000] < 16 * met[500] and met[4000] < 4 * 4000, met
+
+
+def test_pairs_of_one_edit_and_of_more_are_all_found(spark, monkeypatch):
+    """Lengths on both sides of the place where a second edit is allowed, of the one where the first is, and of the longest shortened text."""
+    import random
+
+    from pulso.operators import similarity_join as sj
+
+    rng, texts = random.Random(5), ["a", "b", "aa", "aaa", "é", "ab", "ba"]
+    for n in (4, 5, 6, 9, 10, 11, 18, 19, 20, 21, 38, 39, 40, 41, 42):
+        base = "".join(rng.choices("ab1é", k=n))
+        texts.append(base)
+        for _ in range(4):
+            t = base
+            for _ in range(rng.randint(1, 3)):
+                i = rng.randint(0, len(t))
+                t = t[:i] + rng.choice(["", "b", "2", "é"]) + t[i + rng.randint(0, 1):]
+            texts.append(t)
+    texts = sorted(set(texts) - {""})
+    side = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    for longest in (128, 20):
+        monkeypatch.setattr(sj, "ONE_EDIT", longest)
+        for t in (0.0, 0.5, 0.8, 0.9, 0.95, 1.0) if longest == 128 else (0.95,):
+            want = {(x, y) for x in texts for y in texts if _lev(x, y) >= t and _lev(x, y) > 0}
+            met = [tuple(r) for r in sj.candidates(side, side, t, "levenshtein").collect()]
+            assert len(met) == len(set(met)) and want <= set(met), (t, longest)
